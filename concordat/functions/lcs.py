@@ -93,74 +93,91 @@ def ratio_pairs(left: list[str], right: list[str]) -> np.ndarray:
     return np.where(same, 100, scores).astype(np.int32)
 
 
-class NameBlock:
-    """A bounded set of names prepared for repeated best-match searches."""
+class _LengthClass:
+    """Names of similar length, longest first, with their letter counts."""
 
-    def __init__(self, names: list[str], ordinals: np.ndarray):
+    def __init__(self, names: list[str], ids: np.ndarray):
         lengths = _lengths(names)
-        longest_first = np.argsort(-lengths, kind="stable")
-        self.lengths = lengths[longest_first]
-        self.ordinals = np.asarray(ordinals)[longest_first]
-        codes = _code_points([names[i] for i in longest_first])
+        order = np.argsort(-lengths, kind="stable")
+        self.lengths = lengths[order]
+        self.ids = ids[order]
+        codes = _code_points([names[i] for i in order])
         self.alphabet, dense = np.unique(codes, return_inverse=True)
-        self.codes = dense.reshape(codes.shape).astype(np.uint32)
+        self.codes = np.ascontiguousarray(dense.reshape(codes.shape).astype(np.int32).T)
         # Letter counts bound the common subsequence from above; folding letters into a fixed
         # number of bins can only raise the bound.
-        self.counts = np.zeros((len(names), _HISTOGRAM_BINS), dtype=np.int32)
-        rows = np.repeat(np.arange(len(names)), codes.shape[1])
-        flat = codes.ravel()
-        kept = flat != 0
-        np.add.at(self.counts, (rows[kept], flat[kept] % _HISTOGRAM_BINS), 1)
-        self.counts = np.ascontiguousarray(self.counts.T)
-
-    def _bound(self, query: str) -> np.ndarray:
+        counts = np.zeros((len(names), _HISTOGRAM_BINS), dtype=np.int32)
+        rows, places = np.nonzero(codes)
+        np.add.at(counts, (rows, codes[rows, places] % _HISTOGRAM_BINS), 1)
+        self.counts = np.ascontiguousarray(counts.T)
+
+    def bound(self, query: str) -> np.ndarray:
+        """No row's score exceeds its entry here."""
         letters = np.bincount(
             [ord(ch) % _HISTOGRAM_BINS for ch in query], minlength=_HISTOGRAM_BINS
         )
-        overlap = np.zeros(len(self.lengths), dtype=np.int64)
+        overlap = np.zeros(len(self.lengths), dtype=np.int32)
         for letter in np.flatnonzero(letters):
-            overlap += np.minimum(self.counts[letter], letters[letter])
+            overlap += np.minimum(self.counts[letter], np.int32(letters[letter]))
         return ratio(overlap, self.lengths + len(query))
 
-    def _score(self, query: str, rows: np.ndarray) -> np.ndarray:
+    def score(self, query: str, rows: np.ndarray) -> np.ndarray:
         """Similarity of ``query`` to the given rows, which must be in ascending order."""
         words = -(-len(query) // _WORD)
         masks = np.zeros((words, len(self.alphabet)), dtype=np.uint64)
-        place = {int(code): slot for slot, code in enumerate(self.alphabet)}
-        for position, ch in enumerate(query):
-            slot = place.get(ord(ch))
-            if slot is not None:
+        slots = np.searchsorted(self.alphabet, [ord(ch) for ch in query])
+        for position, (slot, ch) in enumerate(zip(slots, query)):
+            if slot < len(self.alphabet) and self.alphabet[slot] == ord(ch):
                 masks[position // _WORD, slot] |= np.uint64(1) << np.uint64(position % _WORD)
         lengths = self.lengths[rows]
-        codes = np.ascontiguousarray(self.codes[rows, : int(lengths[0])].T)
+        everything = len(rows) == len(self.lengths)
         state = _ones(words, len(rows))
         # Rows run from long to short, so those still having a character form a prefix.
-        alive = np.searchsorted(-lengths, -np.arange(codes.shape[0]), side="left")
-        for column, count in zip(codes, alive):
+        alive = np.searchsorted(-lengths, -np.arange(int(lengths[0])), side="left")
+        for place, count in enumerate(alive):
+            column = self.codes[place] if everything else self.codes[place].take(rows[:count])
             head = [row[:count] for row in state]
-            _advance(head, [mask[column[:count]] for mask in masks])
+            _advance(head, [mask.take(column[:count]) for mask in masks])
             for row, part in zip(state, head):
                 row[:count] = part
         return ratio(_zero_bits(state, len(query)), lengths + len(query))
 
-    def best(self, query: str) -> tuple[int, int] | None:
-        """Highest score and, among equals, the lowest ordinal; none where every score is 0."""
-        if not query or not self.lengths.size:
+
+class NameBlock:
+    """A bounded set of names prepared for repeated best-match searches.
+
+    Names are grouped by the magnitude of their length, so that one very long name does not widen
+    the tables of all the others and classes out of reach are passed over.
+    """
+
+    def __init__(self, names: list[str], ids: np.ndarray):
+        ids = np.asarray(ids)
+        magnitude = np.array([len(name).bit_length() for name in names])
+        self.classes = [
+            _LengthClass([names[i] for i in np.flatnonzero(magnitude == m)], ids[magnitude == m])
+            for m in np.unique(magnitude[magnitude > 0])
+        ]
+
+    def best(self, query: str) -> tuple[int, object] | None:
+        """Highest score and, among equals, the lowest id; none where every score is 0."""
+        if not query:
             return None
-        bound = self._bound(query)
-        top, winner = 0, -1
-        first = np.argpartition(-bound, min(_PROBE, len(bound)) - 1)[:_PROBE]
-        rows = np.sort(first)
-        done = np.zeros(len(bound), dtype=bool)
-        while rows.size and self.lengths[rows[0]] > 0:
-            scores = self._score(query, rows)
-            done[rows] = True
-            here = int(scores.max())
-            if here > 0:
-                ordinal = int(self.ordinals[rows[scores == here]].min())
-                if here > top or (here == top and ordinal < winner):
-                    top, winner = here, ordinal
-            rows = np.flatnonzero(
-                ~done & ((bound > top) | ((bound == top) & (self.ordinals < winner)))
-            )
-        return (top, winner) if winner >= 0 else None
+        top, winner = 0, None
+        bounds = [(group, group.bound(query)) for group in self.classes]
+        for group, bound in sorted(bounds, key=lambda entry: -int(entry[1].max())):
+            done = np.zeros(len(bound), dtype=bool)
+            rows = np.argpartition(-bound, min(_PROBE, len(bound)) - 1)[:_PROBE]
+            rows = np.sort(rows[bound[rows] >= max(top, 1)])
+            while rows.size:
+                scores = group.score(query, rows)
+                done[rows] = True
+                here = int(scores.max())
+                if here > 0 and here >= top:
+                    candidate = min(group.ids[rows[scores == here]].tolist())
+                    if here > top or candidate < winner:
+                        top, winner = here, candidate
+                reach = bound > top
+                if winner is not None:
+                    reach |= (bound == top) & (group.ids < winner)
+                rows = np.flatnonzero(reach & ~done)
+        return None if winner is None else (top, winner)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from concordat.functions.lcs import ratio_pairs
 
@@ -44,7 +45,7 @@ def token_sort_key(column: Column) -> Column:
     return F.array_join(F.array_sort(words), " ")
 
 
-@F.pandas_udf("int")
+@F.pandas_udf(T.IntegerType())
 def _ratio(left: pd.Series, right: pd.Series) -> pd.Series:
     return pd.Series(ratio_pairs(left.tolist(), right.tolist()))
 

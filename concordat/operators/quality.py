@@ -52,7 +52,8 @@ def non_null_share(column: str) -> Column:
 def percent_text(share: Column) -> Column:
     """A share of four places as a percentage of one, half rounded up."""
     tenths = F.floor((F.round(share * 10000) + 5) / 10).cast("bigint")
-    return F.concat(F.floor(tenths / 10).cast("string"), F.lit("."), (tenths % 10).cast("string"), F.lit("%"))
+    whole, rest = F.floor(tenths / 10).cast("string"), (tenths % 10).cast("string")
+    return F.concat(whole, F.lit("."), rest, F.lit("%"))
 
 
 def alerts() -> Column:
@@ -90,7 +91,9 @@ def batch_report(results: DataFrame) -> DataFrame:
     totals = results.agg(
         *status_counts(), overall_score().alias("overall_quality_score"), *shares
     )
-    entries = F.array(*[F.struct(F.lit(n), F.col(f"share_{n}")) for n in filled])
+    entries = F.array(
+        *[F.struct(F.lit(n).alias("k"), F.col(f"share_{n}").alias("v")) for n in filled]
+    )
     measured = F.filter(entries, lambda entry: F.col("total_records") > 0)
     return totals.select(
         *_REPORT_COUNTS,

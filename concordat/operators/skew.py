@@ -1,13 +1,17 @@
-"""Joins whose left side may have a key that holds a large share of all rows."""
+"""Equi-joins that hold up whatever share of the rows one key has."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 _SALT = "__salt"
 _PIECES = "__pieces"
 
+# A right side within both limits is broadcast.
+BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 64 * 1024 * 1024
 # A key below this many rows is never worth splitting, whatever its share.
 MIN_HOT_ROWS = 20_000
 
@@ -16,19 +20,45 @@ def _shuffle_partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def hot_keys(df: DataFrame, key: str, min_rows: int = MIN_HOT_ROWS) -> DataFrame:
-    """Keys holding more rows than an average shuffle partition, and how many such parts each is.
+def _bytes(df: DataFrame) -> Column:
+    """About how many bytes a row holds: its texts, and eight for each column."""
 
-    At most one key per shuffle partition can be that frequent, so the result is small whatever
-    the input; counting combines on the map side.
+    def texts(column: Column, kind: T.DataType) -> list[Column]:
+        if isinstance(kind, T.StringType):
+            return [F.coalesce(F.octet_length(column), F.lit(0))]
+        if isinstance(kind, T.StructType):
+            return [size for field in kind for size in texts(column[field.name], field.dataType)]
+        return []
+
+    sizes = [size for field in df.schema for size in texts(F.col(field.name), field.dataType)]
+    return sum(sizes, F.lit(8 * len(df.columns))).cast("bigint")
+
+
+def fits_broadcast(df: DataFrame) -> bool:
+    """Whether ``df``, counted and measured, is small enough to send to every executor.
+
+    Only flat rows of texts and numbers can be measured; others are never broadcast.
+    """
+    kinds = [field.dataType for field in df.schema]
+    if any(isinstance(kind, (T.ArrayType, T.MapType, T.BinaryType)) for kind in kinds):
+        return False
+    rows, size = df.agg(F.count("*"), F.sum(_bytes(df))).first()
+    return rows <= BROADCAST_ROWS and (size or 0) <= BROADCAST_BYTES
+
+
+def hot_keys(df: DataFrame, key: str, min_rows: int = MIN_HOT_ROWS) -> DataFrame | None:
+    """Keys with more rows than an average shuffle partition, and how many such parts each makes.
+
+    At most one key per shuffle partition can be that frequent, which bounds the result.  Counting
+    combines on the map side.  None where no key is.
     """
-    parts = _shuffle_partitions(df)
     counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n"))
-    total = counts.agg(F.sum("n").alias("n")).scalar()
-    fair = F.greatest(total / parts, F.lit(float(min_rows)))
-    return counts.where(F.col("n") > fair).select(
-        key, F.ceil(F.col("n") / fair).cast("int").alias(_PIECES)
-    )
+    total, most = counts.agg(F.sum("n"), F.max("n")).first()
+    fair = max((total or 0) / _shuffle_partitions(df), min_rows)
+    if (most or 0) <= fair:
+        return None
+    pieces = F.ceil(F.col("n") / F.lit(fair)).cast("int").alias(_PIECES)
+    return counts.where(F.col("n") > fair).select(key, pieces)
 
 
 def _spread(columns: list[str], pieces: Column) -> Column:
@@ -41,7 +71,26 @@ def _spread(columns: list[str], pieces: Column) -> Column:
     return F.pmod(F.xxhash64(*columns) + F.spark_partition_id(), pieces).cast("int")
 
 
-def salted_join(
+def _salted(
+    left: DataFrame, right: DataFrame, key: str, how: str, hot: DataFrame | None
+) -> DataFrame:
+    """Join on the key and a salt: rows of a hot key, and those without a key, are dealt over
+    many partitions, and the one right-hand row of a hot key is repeated once per piece."""
+    none = F.when(F.col(key).isNull(), _spread(left.columns, F.lit(_shuffle_partitions(left))))
+    if hot is None:
+        dealt = left.withColumn(_SALT, F.coalesce(none, F.lit(0)))
+        return dealt.join(right.withColumn(_SALT, F.lit(0)), [key, _SALT], how).drop(_SALT)
+    hot = F.broadcast(hot)
+    split = F.when(F.col(_PIECES).isNotNull(), _spread(left.columns, F.col(_PIECES)))
+    dealt = left.join(hot, key, "left").withColumn(_SALT, F.coalesce(none, split, F.lit(0)))
+    copies = F.sequence(F.lit(0), F.coalesce(F.col(_PIECES), F.lit(1)) - 1)
+    repeated = right.join(hot, key, "left").withColumn(_SALT, F.explode(copies))
+    return (
+        dealt.drop(_PIECES).join(repeated.drop(_PIECES), [key, _SALT], how).drop(_SALT)
+    )
+
+
+def lookup_join(
     left: DataFrame,
     right: DataFrame,
     key: str,
@@ -51,20 +100,10 @@ def salted_join(
 ) -> DataFrame:
     """Equi-join on ``key`` where ``right`` has one row per key.
 
-    Rows of a hot key, and rows whose key is null, are dealt over many partitions; the single
-    right-hand row of a hot key is repeated once per piece.  ``how`` may be ``left``, ``inner``,
-    ``left_semi`` or ``left_anti``.
+    A right side measured small is broadcast, so the left one is not shuffled at all.  Beyond
+    that both are shuffled, with hot keys found by counting and split.  ``how`` may be ``left``,
+    ``inner``, ``left_semi`` or ``left_anti``.
     """
-    hot = F.broadcast(hot_keys(left, key, min_hot_rows))
-    parts = F.lit(_shuffle_partitions(left))
-    slot = (
-        F.when(F.col(key).isNull(), _spread(left.columns, parts))
-        .when(F.col(_PIECES).isNotNull(), _spread(left.columns, F.col(_PIECES)))
-        .otherwise(0)
-    )
-    dealt = left.join(hot, key, "left").withColumn(_SALT, slot).drop(_PIECES)
-    copies = F.sequence(F.lit(0), F.coalesce(F.col(_PIECES), F.lit(1)) - 1)
-    repeated = (
-        right.join(hot, key, "left").withColumn(_SALT, F.explode(copies)).drop(_PIECES)
-    )
-    return dealt.join(repeated, [key, _SALT], how).drop(_SALT)
+    if fits_broadcast(right):
+        return left.join(F.broadcast(right), key, how)
+    return _salted(left, right, key, how, hot_keys(left, key, min_hot_rows))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from concordat import schemas as S
 from concordat.functions.checks import checked, is_missing_lei
 from concordat.functions.text import present
-from concordat.operators.skew import salted_join
+from concordat.operators.skew import lookup_join
 
 _KEY = "__lei"
 
@@ -23,12 +23,17 @@ def match_registry(clients: DataFrame, registry: DataFrame) -> DataFrame:
     records = registry.where(F.col("lei").isNotNull()).select(
         F.col("lei").alias(_KEY), F.struct(*S.REGISTRY_COLUMNS).alias("record")
     )
-    return salted_join(keyed, records, _KEY, "left").drop(_KEY)
+    return lookup_join(keyed, records, _KEY, "left").drop(_KEY)
 
 
-def validate(clients: DataFrame, registry: DataFrame, **rules) -> DataFrame:
-    """Result row for every client row, duplicates included; ``rules`` as for ``checked``."""
-    return match_registry(clients, registry).select(*checked(F.col("record"), **rules))
+def validate(
+    clients: DataFrame, registry: DataFrame, keep: tuple[str, ...] = (), **rules
+) -> DataFrame:
+    """Result row for every client row, duplicates included.
+
+    ``keep`` names client columns to carry along; ``rules`` are those of ``checked``.
+    """
+    return match_registry(clients, registry).select(*checked(F.col("record"), **rules), *keep)
 
 
 def verify_identifiers(identifiers: DataFrame, registry: DataFrame, **rules) -> DataFrame:
@@ -49,7 +54,7 @@ def not_found(clients: DataFrame, registry: DataFrame) -> DataFrame:
     """Client rows with an identifier the registry does not know."""
     given = clients.where(~is_missing_lei(F.col("entity_lei")))
     known = registry.select(F.col("lei").alias("entity_lei"))
-    return salted_join(given, known, "entity_lei", "left_anti").select(clients.columns)
+    return lookup_join(given, known, "entity_lei", "left_anti").select(clients.columns)
 
 
 def unmatched_clients(clients: DataFrame, results: DataFrame) -> DataFrame:
@@ -59,4 +64,4 @@ def unmatched_clients(clients: DataFrame, results: DataFrame) -> DataFrame:
         .select("client_id")
         .distinct()
     )
-    return salted_join(clients, wanted, "client_id", "left_semi").select(clients.columns)
+    return lookup_join(clients, wanted, "client_id", "left_semi").select(clients.columns)
