@@ -35,12 +35,12 @@ def overall_score() -> Column:
     of rows.
     """
     tenths = F.sum(F.round(F.col("quality_score") * 10).cast("bigint"))
-    return F.coalesce(F.round(tenths / (F.count("quality_score") * 10), 4), F.lit(0.0))
+    return F.coalesce(F.round(F.try_divide(tenths, F.count("quality_score") * 10), 4), F.lit(0.0))
 
 
 def filled_share(column: str) -> Column:
     """Share of rows with a non-empty value, to three places."""
-    return F.round(F.count_if(present(F.col(column))) / F.count("*"), 3)
+    return F.round(F.try_divide(F.count_if(present(F.col(column))), F.count("*")), 3)
 
 
 def non_null_share(column: str) -> Column:

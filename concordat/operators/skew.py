@@ -49,8 +49,8 @@ def fits_broadcast(df: DataFrame) -> bool:
 def hot_keys(df: DataFrame, key: str, min_rows: int = MIN_HOT_ROWS) -> DataFrame | None:
     """Keys with more rows than an average shuffle partition, and how many such parts each makes.
 
-    At most one key per shuffle partition can be that frequent, which bounds the result.  Counting
-    combines on the map side.  None where no key is.
+    At most one key per shuffle partition can be that frequent, so the few rows found are fetched
+    and need no second count.  Counting combines on the map side.  None where no key is hot.
     """
     counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n"))
     total, most = counts.agg(F.sum("n"), F.max("n")).first()
@@ -58,7 +58,8 @@ def hot_keys(df: DataFrame, key: str, min_rows: int = MIN_HOT_ROWS) -> DataFrame
     if (most or 0) <= fair:
         return None
     pieces = F.ceil(F.col("n") / F.lit(fair)).cast("int").alias(_PIECES)
-    return counts.where(F.col("n") > fair).select(key, pieces)
+    found = counts.where(F.col("n") > fair).select(key, pieces)
+    return df.sparkSession.createDataFrame(found.collect(), found.schema)
 
 
 def _spread(columns: list[str], pieces: Column) -> Column:
