@@ -1,12 +1,13 @@
 """Field checks, status, issues and score of one client row beside its registry record.
 
-All of them are plain column expressions, so a whole validation is one projection.  Client columns
-are read by their own names; the registry record is a struct column, null where none was found.
+All of them are plain column expressions, so a validation is a few projections and no more.
+Client columns are read by their own names; the registry record is the struct column ``record``,
+null where none was found.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from concordat import schemas as S
@@ -41,8 +42,8 @@ def _text(template: str, *values: Column) -> Column:
 
 def texts_that_apply(*cases: tuple[Column, Column]) -> Column:
     """The texts whose condition holds, in the order given."""
-    candidates = F.array(*[F.when(condition, text) for condition, text in cases])
-    return F.filter(candidates, lambda text: text.isNotNull())
+    nothing = F.array().cast("array<string>")
+    return F.concat(*[F.when(condition, F.array(text)).otherwise(nothing) for condition, text in cases])
 
 
 def is_missing_lei(lei: Column) -> Column:
@@ -59,59 +60,78 @@ def is_active(status: Column) -> Column:
     return present(status) & (F.upper(status) == S.ACTIVE_REGISTRATION)
 
 
-def names_agree(client: Column, registry: Column) -> Column:
-    """Either name contains the other.
-
-    An empty client name is contained in every registry name and so agrees with it; a null one
-    agrees with none.
-    """
-    ours, theirs = normalized(client), normalized(registry)
-    return (
-        client.isNotNull() & present(registry) & (theirs.contains(ours) | ours.contains(theirs))
-    )
+def _contains_either_way(ours: Column, theirs: Column) -> Column:
+    return theirs.contains(ours) | ours.contains(theirs)
 
 
-def values_agree(client: Column, registry: Column) -> Column:
-    """Both given and equal after normalising."""
-    return present(client) & present(registry) & (normalized(client) == normalized(registry))
+def _flags(country_alias: dict[str, str] | None, status_map: dict[str, str] | None) -> dict:
+    """The normalised names and the parts every later column is made of."""
+    record = F.col("record")
+    return {
+        "ours": normalized(F.col("entity_name")),
+        "theirs": normalized(record["name"]),
+        "their_country": normalized(record["country"]),
+        "their_form": normalized(record["legal_form"]),
+        "our_country": normalized(_recoded(F.col("country"), country_alias)),
+        "our_form": normalized(F.col("legal_form")),
+        "status": _recoded(record["status"], status_map),
+    }
 
 
 def checked(
-    record: Column,
+    matched: DataFrame,
+    keep: tuple[str, ...] = (),
     *,
     country_alias: dict[str, str] | None = None,
     status_map: dict[str, str] | None = None,
     keep_status_issue: bool = False,
-) -> list[Column]:
-    """The result columns of a validated row, in the order of ``schemas.RESULT``.
+) -> DataFrame:
+    """Result columns, in the order of ``schemas.RESULT``, for client rows beside their ``record``.
 
-    ``country_alias`` recodes client countries before they are compared, ``status_map`` recodes
-    registration statuses, and ``keep_status_issue`` keeps the text on an inactive registration,
-    which the field issues otherwise replace.
+    ``keep`` names columns to carry along.  ``country_alias`` recodes client countries before they
+    are compared, ``status_map`` recodes registration statuses, and ``keep_status_issue`` keeps the
+    text on an inactive registration, which the field issues otherwise replace.
+
+    The rules on one field: a client's name agrees with a registered one when either contains the
+    other, so an empty name agrees with every registered name and a null one with none; country and
+    legal form agree when both are given and equal.  All comparisons are of normalised text.
     """
-    lei, name = F.col("entity_lei"), F.col("entity_name")
+    lei, name, record = F.col("entity_lei"), F.col("entity_name"), F.col("record")
     country, form = F.col("country"), F.col("legal_form")
-    missing, unknown = is_missing_lei(lei), record.isNull()
-    status = _recoded(record["status"], status_map)
-
-    name_match = names_agree(name, record["name"])
-    country_match = values_agree(_recoded(country, country_alias), record["country"])
-    form_match = values_agree(form, record["legal_form"])
-
-    name_fails = ~name_match
-    country_fails = present(country) & ~country_match
-    form_fails = present(form) & ~form_match
+    parts = {f"__{k}": column for k, column in _flags(country_alias, status_map).items()}
+    # Two narrow projections before the wide one, so that each text is normalised and compared once.
+    prepared = matched.withColumns(parts)
+    flagged = prepared.withColumns(
+        {
+            "name_match": name.isNotNull()
+            & present(record["name"])
+            & _contains_either_way(F.col("__ours"), F.col("__theirs")),
+            "country_match": present(country)
+            & present(record["country"])
+            & (F.col("__our_country") == F.col("__their_country")),
+            "legal_form_match": present(form)
+            & present(record["legal_form"])
+            & (F.col("__our_form") == F.col("__their_form")),
+            "__missing": is_missing_lei(lei),
+            "__inactive": is_inactive(F.col("__status")),
+            "__active": is_active(F.col("__status")),
+        }
+    )
+    missing, unknown, status = F.col("__missing"), record.isNull(), F.col("__status")
+    name_fails = ~F.col("name_match")
+    country_fails = present(country) & ~F.col("country_match")
+    form_fails = present(form) & ~F.col("legal_form_match")
     cases = [
         (name_fails, _text(NAME_ISSUE, name, record["name"])),
         (country_fails, _text(COUNTRY_ISSUE, country, record["country"])),
         (form_fails, _text(LEGAL_FORM_ISSUE, form, record["legal_form"])),
     ]
     if keep_status_issue:
-        cases.insert(0, (is_inactive(status), _text(STATUS_ISSUE, status)))
+        cases.insert(0, (F.col("__inactive"), _text(STATUS_ISSUE, status)))
 
     verdict = (
         F.when(missing | unknown, S.MISSING)
-        .when(is_inactive(status), S.INACTIVE)
+        .when(F.col("__inactive"), S.INACTIVE)
         .when(name_fails | country_fails | form_fails, S.MISMATCH)
         .otherwise(S.VERIFIED)
     )
@@ -120,27 +140,26 @@ def checked(
         .when(unknown, F.array(_text(NOT_FOUND_ISSUE, lei)))
         .otherwise(texts_that_apply(*cases))
     )
-    tenths = (
-        F.when(missing, 0)
-        .when(unknown, S.NOT_FOUND_TENTHS)
-        .otherwise(
-            F.when(name_match, S.NAME_TENTHS).otherwise(0)
-            + F.when(country_match, S.COUNTRY_TENTHS).otherwise(0)
-            + F.when(form_match, S.LEGAL_FORM_TENTHS).otherwise(0)
-            + F.when(is_active(status), S.ACTIVE_TENTHS).otherwise(0)
-        )
-    )
-    return [
-        F.col("client_id"),
-        lei,
-        name,
+    weights = {
+        "name_match": S.NAME_TENTHS,
+        "country_match": S.COUNTRY_TENTHS,
+        "legal_form_match": S.LEGAL_FORM_TENTHS,
+        "__active": S.ACTIVE_TENTHS,
+    }
+    earned = sum((F.when(F.col(flag), w).otherwise(0) for flag, w in weights.items()), F.lit(0))
+    tenths = F.when(missing, 0).when(unknown, S.NOT_FOUND_TENTHS).otherwise(earned)
+    return flagged.select(
+        "client_id",
+        "entity_lei",
+        "entity_name",
         verdict.alias("verification_status"),
-        name_match.alias("name_match"),
-        country_match.alias("country_match"),
-        form_match.alias("legal_form_match"),
+        "name_match",
+        "country_match",
+        "legal_form_match",
         status.alias("lei_status"),
         issues.alias("issues"),
         record["name"].alias("gleif_name"),
         record["country"].alias("gleif_country"),
         (tenths.cast("double") / 10).alias("quality_score"),
-    ]
+        *keep,
+    )

@@ -12,7 +12,6 @@ import numpy as np
 _WORD = 64
 _PAIR_CHUNK = 4096
 _HISTOGRAM_BINS = 64
-_PROBE = 64
 
 
 def _code_points(strings: list[str]) -> np.ndarray:
@@ -37,33 +36,42 @@ def ratio(common: np.ndarray, total: np.ndarray) -> np.ndarray:
     return np.where(empty, 0, np.rint(100.0 * share)).astype(np.int32)
 
 
-def _advance(state: list[np.ndarray], matches: list[np.ndarray]) -> None:
+def _advance(state: list[np.ndarray], matches: list[np.ndarray]) -> list[np.ndarray]:
     """One step of the recurrence on every word, carrying from each word into the next."""
-    carry = None
+    stepped, carry = [], None
     for word, (row, match) in enumerate(zip(state, matches)):
         both = row & match
         total = row + both
-        overflow = total < both
-        if carry is not None:
-            total = total + carry
-            overflow |= total < carry
-        state[word] = total | (row - both)
-        carry = overflow.astype(np.uint64)
+        if word + 1 < len(state) or carry is not None:
+            overflow = total < both
+            if carry is not None:
+                total = total + carry
+                overflow |= total < carry
+            carry = overflow.astype(row.dtype)
+        stepped.append(total | (row - both))
+    return stepped
 
 
 def _zero_bits(state: list[np.ndarray], size: np.ndarray | int) -> np.ndarray:
     """Zeros among the first ``size`` bits: the length of the common subsequence."""
+    kind = state[0].dtype.type
+    width = state[0].dtype.itemsize * 8
     found = np.zeros(len(state[0]), dtype=np.int64)
     for word, row in enumerate(state):
-        bits = np.clip(np.asarray(size) - word * _WORD, 0, _WORD).astype(np.int64)
-        partial = (np.uint64(1) << np.minimum(bits, _WORD - 1).astype(np.uint64)) - np.uint64(1)
-        mask = np.where(bits == _WORD, np.uint64(0xFFFFFFFFFFFFFFFF), partial)
-        found += np.bitwise_count(~row & mask).astype(np.int64)
+        bits = np.clip(np.asarray(size) - word * width, 0, width)
+        below_top = (kind(1) << np.minimum(bits, width - 1).astype(kind)) - kind(1)
+        mask = np.where(bits == width, kind(np.iinfo(kind).max), below_top).astype(kind)
+        found += np.bitwise_count(~row & mask)
     return found
 
 
-def _ones(words: int, count: int) -> list[np.ndarray]:
-    return [np.full(count, 0xFFFFFFFFFFFFFFFF, dtype=np.uint64) for _ in range(words)]
+def _ones(words: int, count: int, kind: type = np.uint64) -> list[np.ndarray]:
+    return [np.full(count, np.iinfo(kind).max, dtype=kind) for _ in range(words)]
+
+
+def _word_kind(length: int) -> type:
+    """The smallest machine word holding ``length`` bits; the largest where none does."""
+    return next((k for k in (np.uint16, np.uint32) if length <= np.iinfo(k).bits), np.uint64)
 
 
 def lcs_pairs(left: list[str], right: list[str]) -> np.ndarray:
@@ -79,7 +87,7 @@ def lcs_pairs(left: list[str], right: list[str]) -> np.ndarray:
         for column in b_codes.T:
             equal = (padded == column[:, None]) & (column != 0)[:, None]
             packed = np.packbits(equal, axis=1, bitorder="little").view(np.uint64)
-            _advance(state, [packed[:, word] for word in range(words)])
+            state = _advance(state, [packed[:, word] for word in range(words)])
         found[start : start + len(a)] = _zero_bits(state, _lengths(a))
     return found
 
@@ -93,68 +101,98 @@ def ratio_pairs(left: list[str], right: list[str]) -> np.ndarray:
     return np.where(same, 100, scores).astype(np.int32)
 
 
-class _LengthClass:
-    """Names of similar length, longest first, with their letter counts."""
+class _Trie:
+    """Names merged by common beginnings, level by level.
 
-    def __init__(self, names: list[str], ids: np.ndarray):
-        lengths = _lengths(names)
-        order = np.argsort(-lengths, kind="stable")
-        self.lengths = lengths[order]
-        self.ids = ids[order]
-        codes = _code_points([names[i] for i in order])
+    The recurrence reads a name character by character, so names that begin alike share its first
+    steps.  Of the two directions a name can be read in, the one with more sharing is taken; the
+    common subsequence is as long either way.
+    """
+
+    def __init__(self, names: list[str], ranks: np.ndarray):
+        forward, backward = (self._sorted(names, step) for step in (1, -1))
+        self.step, order, codes, fresh = min(
+            (forward, backward), key=lambda candidate: int(candidate[3].sum())
+        )
+        self.ranks = ranks[order]
+        self.lengths = (codes != 0).sum(axis=1)
         self.alphabet, dense = np.unique(codes, return_inverse=True)
-        self.codes = np.ascontiguousarray(dense.reshape(codes.shape).astype(np.int32).T)
-        # Letter counts bound the common subsequence from above; folding letters into a fixed
-        # number of bins can only raise the bound.
-        counts = np.zeros((len(names), _HISTOGRAM_BINS), dtype=np.int32)
+        dense = dense.reshape(codes.shape)
+        # Per level: each node's parent and character, and the rows that end there with their node.
+        self.levels = []
+        node, width = np.zeros(len(names), dtype=np.int64), 1
+        for level in range(codes.shape[1]):
+            first = np.flatnonzero(fresh[:, level])
+            parents = node[first]
+            if level and np.array_equal(parents, np.arange(width)):
+                parents = None  # every node of the level above goes on to exactly one
+            node, width = np.cumsum(fresh[:, level]) - 1, len(first)
+            ended = np.flatnonzero(self.lengths == level + 1)
+            self.levels.append((parents, dense[first, level], ended, node[ended]))
+        counts = np.zeros((len(names), _HISTOGRAM_BINS), dtype=np.int64)
         rows, places = np.nonzero(codes)
         np.add.at(counts, (rows, codes[rows, places] % _HISTOGRAM_BINS), 1)
-        self.counts = np.ascontiguousarray(counts.T)
-
-    def bound(self, query: str) -> np.ndarray:
-        """No row's score exceeds its entry here."""
+        self.most = counts.max(axis=0)
+
+    @staticmethod
+    def _sorted(names: list[str], step: int):
+        turned = [name[::step] for name in names]
+        order = np.array(sorted(range(len(names)), key=turned.__getitem__))
+        codes = _code_points([turned[i] for i in order])
+        fresh = np.ones(codes.shape, dtype=bool)
+        fresh[1:] = np.logical_or.accumulate(codes[1:] != codes[:-1], axis=1)
+        return step, order, codes, fresh & (codes != 0)
+
+    def bound(self, query: str) -> int:
+        """No name here scores higher: letter counts limit the common subsequence.
+
+        Letters are folded into a fixed number of bins, which can only raise the limit.
+        """
         letters = np.bincount(
             [ord(ch) % _HISTOGRAM_BINS for ch in query], minlength=_HISTOGRAM_BINS
         )
-        overlap = np.zeros(len(self.lengths), dtype=np.int32)
-        for letter in np.flatnonzero(letters):
-            overlap += np.minimum(self.counts[letter], np.int32(letters[letter]))
-        return ratio(overlap, self.lengths + len(query))
-
-    def score(self, query: str, rows: np.ndarray) -> np.ndarray:
-        """Similarity of ``query`` to the given rows, which must be in ascending order."""
-        words = -(-len(query) // _WORD)
-        masks = np.zeros((words, len(self.alphabet)), dtype=np.uint64)
-        slots = np.searchsorted(self.alphabet, [ord(ch) for ch in query])
-        for position, (slot, ch) in enumerate(zip(slots, query)):
-            if slot < len(self.alphabet) and self.alphabet[slot] == ord(ch):
-                masks[position // _WORD, slot] |= np.uint64(1) << np.uint64(position % _WORD)
-        lengths = self.lengths[rows]
-        everything = len(rows) == len(self.lengths)
-        state = _ones(words, len(rows))
-        # Rows run from long to short, so those still having a character form a prefix.
-        alive = np.searchsorted(-lengths, -np.arange(int(lengths[0])), side="left")
-        for place, count in enumerate(alive):
-            column = self.codes[place] if everything else self.codes[place].take(rows[:count])
-            head = [row[:count] for row in state]
-            _advance(head, [mask.take(column[:count]) for mask in masks])
-            for row, part in zip(state, head):
-                row[:count] = part
-        return ratio(_zero_bits(state, len(query)), lengths + len(query))
+        shared = int(np.minimum(letters, self.most).sum())
+        length = np.clip(shared, self.lengths.min(), self.lengths.max())
+        return int(ratio(np.minimum(shared, length), length + len(query)))
+
+    def scores(self, query: str) -> np.ndarray:
+        """Similarity of ``query`` to every name."""
+        kind = _word_kind(len(query))
+        width = np.iinfo(kind).bits
+        words = -(-len(query) // width)
+        masks = np.zeros((words, len(self.alphabet)), dtype=kind)
+        letters = [ord(ch) for ch in query[:: self.step]]
+        for position, slot in enumerate(np.searchsorted(self.alphabet, letters)):
+            if slot < len(self.alphabet) and self.alphabet[slot] == letters[position]:
+                masks[position // width, slot] |= kind(1) << kind(position % width)
+        final = _ones(words, len(self.ranks), kind)
+        state = _ones(words, 1, kind)
+        for parents, letter, ended, node in self.levels:
+            if parents is not None:
+                state = [row.take(parents) for row in state]
+            state = _advance(state, [mask.take(letter) for mask in masks])
+            if len(ended):
+                for row, reached in zip(final, state):
+                    row[ended] = reached.take(node)
+        # The ratio depends on two small numbers only, so it is looked up.
+        common, longest = np.arange(len(query) + 1), int(self.lengths.max())
+        table = ratio(common, np.arange(longest + 1)[:, None] + len(query))
+        return table.ravel().take(self.lengths * len(common) + _zero_bits(final, len(query)))
 
 
 class NameBlock:
     """A bounded set of names prepared for repeated best-match searches.
 
     Names are grouped by the magnitude of their length, so that one very long name does not widen
-    the tables of all the others and classes out of reach are passed over.
+    the tables of all the others and groups out of reach are passed over.
     """
 
     def __init__(self, names: list[str], ids: np.ndarray):
-        ids = np.asarray(ids)
+        # Ids of any sortable type are compared by their rank.
+        self.by_rank, ranks = np.unique(np.asarray(ids), return_inverse=True)
         magnitude = np.array([len(name).bit_length() for name in names])
-        self.classes = [
-            _LengthClass([names[i] for i in np.flatnonzero(magnitude == m)], ids[magnitude == m])
+        self.tries = [
+            _Trie([names[i] for i in np.flatnonzero(magnitude == m)], ranks[magnitude == m])
             for m in np.unique(magnitude[magnitude > 0])
         ]
 
@@ -162,22 +200,15 @@ class NameBlock:
         """Highest score and, among equals, the lowest id; none where every score is 0."""
         if not query:
             return None
-        top, winner = 0, None
-        bounds = [(group, group.bound(query)) for group in self.classes]
-        for group, bound in sorted(bounds, key=lambda entry: -int(entry[1].max())):
-            done = np.zeros(len(bound), dtype=bool)
-            rows = np.argpartition(-bound, min(_PROBE, len(bound)) - 1)[:_PROBE]
-            rows = np.sort(rows[bound[rows] >= max(top, 1)])
-            while rows.size:
-                scores = group.score(query, rows)
-                done[rows] = True
-                here = int(scores.max())
-                if here > 0 and here >= top:
-                    candidate = min(group.ids[rows[scores == here]].tolist())
-                    if here > top or candidate < winner:
-                        top, winner = here, candidate
-                reach = bound > top
-                if winner is not None:
-                    reach |= (bound == top) & (group.ids < winner)
-                rows = np.flatnonzero(reach & ~done)
-        return None if winner is None else (top, winner)
+        top, winner = 0, len(self.by_rank)
+        bounds = [(trie.bound(query), trie) for trie in self.tries]
+        for bound, trie in sorted(bounds, key=lambda entry: -entry[0]):
+            if bound < max(top, 1):
+                break
+            scores = trie.scores(query)
+            here = int(scores.max())
+            if here > 0 and here >= top:
+                first = int(trie.ranks[scores == here].min())
+                if here > top or first < winner:
+                    top, winner = here, first
+        return (top, self.by_rank[winner].item()) if top else None

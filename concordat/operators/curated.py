@@ -24,9 +24,16 @@ def merge_last_wins(
 ) -> DataFrame:
     """The table after a batch: within it the last row per client id wins, and it replaces the
     table's row of that id."""
-    reduced = _reduced(batch, order, processed_at)
-    kept = old.join(reduced.select("client_id"), "client_id", "left_anti")
-    return kept.select(*S.CURATED_COLUMNS).unionByName(reduced)
+    order = F.col(order) if isinstance(order, str) else order
+    new = batch.select(
+        *S.RESULT_COLUMNS,
+        processed_at.cast("timestamp").alias("processed_at"),
+        F.struct(F.lit(1).alias("batch"), order.alias("place")).alias("__order"),
+    )
+    place = new.schema["__order"].dataType["place"].dataType
+    before = F.struct(F.lit(0).alias("batch"), F.lit(None).cast(place).alias("place"))
+    rows = old.select(*S.CURATED_COLUMNS, before.alias("__order")).unionByName(new)
+    return last_wins(rows, "client_id", "__order").drop("__order")
 
 
 def _reduced(batch: DataFrame, order: str | Column, processed_at: Column) -> DataFrame:

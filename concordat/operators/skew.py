@@ -25,13 +25,13 @@ def _bytes(df: DataFrame) -> Column:
 
     def texts(column: Column, kind: T.DataType) -> list[Column]:
         if isinstance(kind, T.StringType):
-            return [F.coalesce(F.octet_length(column), F.lit(0))]
+            return [column]
         if isinstance(kind, T.StructType):
-            return [size for field in kind for size in texts(column[field.name], field.dataType)]
+            return [text for field in kind for text in texts(column[field.name], field.dataType)]
         return []
 
-    sizes = [size for field in df.schema for size in texts(F.col(field.name), field.dataType)]
-    return sum(sizes, F.lit(8 * len(df.columns))).cast("bigint")
+    found = [text for field in df.schema for text in texts(F.col(field.name), field.dataType)]
+    return F.octet_length(F.concat_ws("", *found)) + 8 * len(df.columns)
 
 
 def fits_broadcast(df: DataFrame) -> bool:

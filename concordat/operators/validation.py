@@ -9,6 +9,7 @@ from concordat import schemas as S
 from concordat.functions.checks import checked, is_missing_lei
 from concordat.functions.text import present
 from concordat.operators.skew import lookup_join
+from concordat.session import materialize
 
 _KEY = "__lei"
 
@@ -33,7 +34,7 @@ def validate(
 
     ``keep`` names client columns to carry along; ``rules`` are those of ``checked``.
     """
-    return match_registry(clients, registry).select(*checked(F.col("record"), **rules), *keep)
+    return checked(match_registry(clients, registry), keep, **rules)
 
 
 def verify_identifiers(identifiers: DataFrame, registry: DataFrame, **rules) -> DataFrame:
@@ -59,9 +60,6 @@ def not_found(clients: DataFrame, registry: DataFrame) -> DataFrame:
 
 def unmatched_clients(clients: DataFrame, results: DataFrame) -> DataFrame:
     """Client rows whose id has a result that calls for resolution; inactive ones do not."""
-    wanted = (
-        results.where(F.col("verification_status").isin(*S.UNMATCHED))
-        .select("client_id")
-        .distinct()
-    )
+    open_results = results.where(F.col("verification_status").isin(*S.UNMATCHED))
+    wanted = materialize(open_results.select("client_id").distinct())
     return lookup_join(clients, wanted, "client_id", "left_semi").select(clients.columns)

@@ -7,6 +7,7 @@ here, an empty identifier there) so that each rule meets each kind of input.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 _TABLES = ("customer", "nation", "orders", "part", "embeddings")
 
@@ -102,8 +103,15 @@ def fixture_sql(name: str) -> str:
     return FIXTURES[name].format(**{table: table for table in _TABLES})
 
 
+_SCHEMAS: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A test table; its schema is read from the file once."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
