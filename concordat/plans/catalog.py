@@ -13,6 +13,7 @@ from concordat.functions.text import normalized, token_sort_key, token_sort_rati
 from concordat.functions.vectors import unit
 from concordat.operators import curated as C
 from concordat.operators import quality as Q
+from concordat.operators import registry_views as V
 from concordat.operators import resolution as R
 from concordat.operators.nearest import best_names, top_vectors
 from concordat.operators.validation import (
@@ -28,6 +29,7 @@ from concordat.session import run_folder
 from concordat.sources import registry as G
 from concordat.sources.staging import latest_staged
 from concordat.sources.upload import to_clients
+from concordat.streaming.verification import verify_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -465,6 +467,26 @@ def entity_context(spark, sf_dir):
     return R.entity_context(fixture(spark, sf_dir, "registry"))
 
 
+# --- views for downstream use --------------------------------------------------------------------
+
+
+@query
+def newly_inactive(spark, sf_dir):
+    versions = fixture(spark, sf_dir, "registry_versions")
+    before, after = (versions.where(F.col("ordinal") == n) for n in (1, 2))
+    return V.newly_inactive(before, after)
+
+
+@query
+def ultimate_parents(spark, sf_dir):
+    return V.ultimate_parents(fixture(spark, sf_dir, "parents"))
+
+
+@query
+def status_mart(spark, sf_dir):
+    return V.status_mart(_curated(spark, sf_dir))
+
+
 # --- whole jobs --------------------------------------------------------------------------------
 
 
@@ -515,3 +537,20 @@ def daily_run(spark, sf_dir):
     exported = spark.read.parquet(run.export_path)
     return exported.select(*S.RESULT_COLUMNS, _time("processed_at"))
 
+
+@query
+def stream_run(spark, sf_dir):
+    """The later batch as a file stream, each event twice, into an empty store."""
+    root = run_folder(spark, "stream-run")
+    events = fixture(spark, sf_dir, "client_update")
+    time = F.timestamp_seconds(F.col("position")).alias("event_time")
+    arrivals = events.select(*S.CLIENT_COLUMNS, time)
+    arrivals.unionByName(arrivals).write.parquet(f"{root}/arrivals")
+    stream = spark.readStream.schema(arrivals.schema).parquet(f"{root}/arrivals")
+    store = C.CuratedStore(spark, f"{root}/curated", buckets=8)
+    registry = fixture(spark, sf_dir, "registry")
+    running = verify_stream(
+        stream, registry, store, f"{root}/checkpoint", trigger={"availableNow": True}
+    )
+    running.awaitTermination()
+    return _flat_results(store.read())

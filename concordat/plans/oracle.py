@@ -469,6 +469,23 @@ ORACLE["entity_context"] = _select(
     FROM numbered GROUP BY chunk""",
 )
 
+# --- views for downstream use --------------------------------------------------------------------
+
+ORACLE["newly_inactive"] = _select(
+    _fixtures("registry_versions"),
+    """SELECT lei, status FROM registry_versions WHERE ordinal = 2 AND upper(status) <> 'ACTIVE'
+    AND lei NOT IN (SELECT lei FROM registry_versions WHERE ordinal = 1 AND upper(status) <> 'ACTIVE')""",
+)
+ORACLE["ultimate_parents"] = f"""WITH RECURSIVE parents AS ({fixture_sql('parents')}),
+    tops AS (SELECT entity, entity AS root FROM parents WHERE parent IS NULL
+        UNION ALL SELECT p.entity, t.root FROM parents p JOIN tops t ON p.parent = t.entity)
+    SELECT entity, root FROM parents LEFT JOIN tops USING (entity)"""
+ORACLE["status_mart"] = _select(
+    _results(),
+    f"""SELECT gleif_country, verification_status, count(*) AS records, {_SCORE} AS mean_score
+    FROM results GROUP BY gleif_country, verification_status""",
+)
+
 # --- whole jobs --------------------------------------------------------------------------------
 
 # Empty fields of an upload are absent, names included.
@@ -490,3 +507,9 @@ ORACLE["daily_run"] = _select(
     """SELECT * REPLACE (cast(CASE WHEN issues = '' THEN '[]'
     ELSE to_json(string_split(issues, chr(10))) END AS VARCHAR) AS issues) FROM merged""",
 )
+ORACLE["stream_run"] = _select(
+    _fixtures("registry", "client_update")
+    + _validated("client_update", "registry", "results", ", c.position"),
+    f"""SELECT {_RESULT} FROM results
+    QUALIFY row_number() OVER (PARTITION BY client_id ORDER BY position DESC) = 1""",
+)
