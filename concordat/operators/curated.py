@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from concordat import schemas as S
 from concordat.operators.dedupe import last_wins
@@ -64,10 +65,7 @@ class CuratedStore:
     def __init__(self, spark: SparkSession, root: str, buckets: int = 64):
         self.spark = spark
         self.root = root.rstrip("/")
-        empty = spark.createDataFrame([], S.CURATED)
-        empty = empty.withColumn("version", F.lit(0).cast("bigint")).withColumn("bucket", F.lit(0))
         # "ignore" leaves an existing table alone.
-        empty.write.mode("ignore").partitionBy("version", "bucket").parquet(self._data)
         spark.createDataFrame([(0, -1, buckets)], COMMIT_SCHEMA).coalesce(1).write.mode(
             "ignore"
         ).parquet(self._commits)
@@ -93,13 +91,23 @@ class CuratedStore:
     def _bucket(self) -> Column:
         return F.pmod(F.xxhash64("client_id"), F.lit(self.buckets)).cast("int")
 
-    def _live(self) -> DataFrame:
-        """Current rows with their bucket; the pair join prunes all other version folders."""
-        newest = self._commit_log().groupBy("bucket").agg(F.max("version").alias("version"))
-        schema = f"{', '.join(f'{f.name} {f.dataType.simpleString()}' for f in S.CURATED)}, version bigint, bucket int"
-        data = self.spark.read.schema(schema).parquet(self._data)
-        # One row per bucket, so never more than ``buckets``.
-        return data.join(F.broadcast(newest), ["version", "bucket"]).drop("version")
+    def _live(self, touched: DataFrame | None = None) -> DataFrame:
+        """Current rows with their bucket, of the touched buckets or of all.
+
+        The newest version of each bucket is looked up first, at most ``buckets`` rows, so that
+        only the folders in use are listed and read.
+        """
+        log = self._commit_log().where(F.col("bucket") >= 0)
+        if touched is not None:
+            log = log.join(F.broadcast(touched), "bucket", "left_semi")
+        newest = log.groupBy("bucket").agg(F.max("version").alias("version")).collect()
+        fields = [*S.CURATED.fields, T.StructField("bucket", T.IntegerType())]
+        if not newest:
+            return self.spark.createDataFrame([], T.StructType(fields))
+        folders = [f"{self._data}/version={row.version}/bucket={row.bucket}" for row in newest]
+        reader = self.spark.read.option("basePath", self._data)
+        versioned = T.StructType([*fields, T.StructField("version", T.LongType())])
+        return reader.schema(versioned).parquet(*folders).drop("version")
 
     def read(self) -> DataFrame:
         """The curated table as of the last merge."""
@@ -111,11 +119,7 @@ class CuratedStore:
             _reduced(batch, order, processed_at).withColumn("bucket", self._bucket())
         )
         touched = reduced.select("bucket").distinct()
-        kept = (
-            self._live()
-            .join(F.broadcast(touched), "bucket", "left_semi")
-            .join(reduced.select("client_id"), "client_id", "left_anti")
-        )
+        kept = self._live(touched).join(reduced.select("client_id"), "client_id", "left_anti")
         merged = kept.unionByName(reduced)
         version = self._version + 1
         target = f"{self._data}/version={version}"

@@ -9,9 +9,10 @@ from pyspark.sql import types as T
 _SALT = "__salt"
 _PIECES = "__pieces"
 
-# A right side within both limits is broadcast.
-BROADCAST_ROWS = 200_000
-BROADCAST_BYTES = 64 * 1024 * 1024
+# A right side within both limits is broadcast.  Sending it once to each executor costs far less
+# than shuffling the left side; the limits keep it well inside driver and executor memory.
+BROADCAST_ROWS = 2_000_000
+BROADCAST_BYTES = 256 * 1024 * 1024
 # A key below this many rows is never worth splitting, whatever its share.
 MIN_HOT_ROWS = 20_000
 

@@ -16,6 +16,7 @@ from concordat.operators import quality as Q
 from concordat.operators import registry_views as V
 from concordat.operators import resolution as R
 from concordat.operators.nearest import best_names, top_vectors
+from concordat.operators.ordinal import in_batches
 from concordat.operators.validation import (
     match_registry,
     not_found,
@@ -96,10 +97,8 @@ def registry_flatten(spark, sf_dir):
             F.struct(F.col("registration_authority").alias("id")).alias("registrationAuthority"),
         ).alias("attributes"),
     )
-    # Pages of bounded size by a hash of the identifier.
-    pages = flat.groupBy(F.substring(F.sha2("lei", 256), 1, 3).alias("page")).agg(
-        F.collect_list(record).alias("data")
-    )
+    paged = in_batches(flat, "lei", S.LOOKUP_BATCH, "page")
+    pages = paged.groupBy("page").agg(F.collect_list(record).alias("data"))
     text = pages.select(F.to_json(F.struct("data")).alias("text"))
     parsed = text.select(F.from_json("text", S.REGISTRY_PAGE).alias("page")).select("page.data")
     return G.flatten_pages(parsed)
@@ -157,8 +156,7 @@ def lei_not_found(spark, sf_dir):
 @query
 def unmatched_clients_(spark, sf_dir):
     clients = fixture(spark, sf_dir, "client")
-    results = validate(clients, fixture(spark, sf_dir, "registry"))
-    return unmatched_clients(clients, results)
+    return unmatched_clients(clients, validate(clients, fixture(spark, sf_dir, "registry")))
 
 
 @query

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from concordat.operators.curated import CuratedStore
 from concordat.operators.quality import batch_report
 from concordat.operators.resolution import resolve
+from concordat.operators.skew import fits_broadcast
 from concordat.operators.validation import unmatched_clients, validate
 from concordat.session import materialize
 from concordat.sources.registry import lookup, requested_identifiers
@@ -37,6 +38,13 @@ class DailyRun:
     export_path: str
 
 
+def _needed_records(clients: DataFrame, registry: DataFrame) -> DataFrame:
+    """The registry as it is where it can be broadcast, else only the records asked for."""
+    if fits_broadcast(registry):
+        return registry
+    return materialize(lookup(registry, requested_identifiers(clients)))
+
+
 def run_upload(
     spark: SparkSession,
     upload_path: str,
@@ -56,7 +64,7 @@ def run_upload(
     rows = materialize(to_clients(raw, "upload_order"))
     stage(rows, staging_root, run_id, run_at)
     clients = accepted(rows)
-    known = lookup(registry, requested_identifiers(clients))
+    known = _needed_records(clients, registry)
     results = materialize(validate(clients, known, keep=("upload_order",), **rules))
     store.upsert(results, "upload_order", run_at)
     return UploadRun(clients, rejected(rows), results, batch_report(results))

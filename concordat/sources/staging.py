@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from concordat import schemas as S
@@ -26,8 +26,18 @@ def read_staged(spark: SparkSession, root: str) -> DataFrame:
 
 
 def latest_staged(staged: DataFrame, limit: int = S.STAGED_LIMIT) -> DataFrame:
-    """The newest staged records, ties by client id."""
-    newest = staged.orderBy(F.desc("ingested_at"), "client_id").limit(limit)
+    """The newest staged records, ties by client id.
+
+    Counting rows per ingestion time, of which each run has one, tells how far back the limit
+    reaches; only rows from then on are sorted.
+    """
+    runs = staged.groupBy("ingested_at").agg(F.count("*").alias("n"))
+    newer = F.sum("n").over(Window.orderBy(F.desc("ingested_at")))
+    reached = runs.withColumn("newer", newer).where(F.col("newer") >= limit)
+    ever = F.lit("0001-01-01").cast("timestamp")
+    oldest = reached.agg(F.coalesce(F.max("ingested_at"), ever)).scalar()
+    recent = staged.where(F.col("ingested_at") >= oldest)
+    newest = recent.orderBy(F.desc("ingested_at"), "client_id").limit(limit)
     return newest.select(*S.CLIENT_COLUMNS, "ingested_at")
 
 

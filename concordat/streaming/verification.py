@@ -34,8 +34,9 @@ def verify_stream(
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         results = materialize(validate(accepted(batch), registry, keep=(event_time,), **rules))
-        newest = F.lit(results.agg(F.max(event_time)).first()[0]).cast("timestamp")
-        store.upsert(results, event_time, newest)
+        newest = results.agg(F.max(event_time)).first()[0]
+        if newest is not None:
+            store.upsert(results, event_time, F.lit(newest).cast("timestamp"))
 
     writer = fresh.writeStream.option("checkpointLocation", checkpoint).foreachBatch(merge)
     return writer.trigger(**(trigger or {"processingTime": "1 minute"})).start()
