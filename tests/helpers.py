@@ -35,4 +35,4 @@ def at(text="2024-01-01 00:00:00"):
 
 def plan(df):
     """The physical plan as text."""
-    return df._jdf.queryExecution().executedPlan().toString()
+    return df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
