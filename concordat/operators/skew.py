@@ -78,18 +78,23 @@ def _salted(
 ) -> DataFrame:
     """Join on the key and a salt: rows of a hot key, and those without a key, are dealt over
     many partitions, and the one right-hand row of a hot key is repeated once per piece."""
-    none = F.when(F.col(key).isNull(), _spread(left.columns, F.lit(_shuffle_partitions(left))))
-    if hot is None:
-        dealt = left.withColumn(_SALT, F.coalesce(none, F.lit(0)))
-        return dealt.join(right.withColumn(_SALT, F.lit(0)), [key, _SALT], how).drop(_SALT)
-    hot = F.broadcast(hot)
-    split = F.when(F.col(_PIECES).isNotNull(), _spread(left.columns, F.col(_PIECES)))
-    dealt = left.join(hot, key, "left").withColumn(_SALT, F.coalesce(none, split, F.lit(0)))
-    copies = F.sequence(F.lit(0), F.coalesce(F.col(_PIECES), F.lit(1)) - 1)
-    repeated = right.join(hot, key, "left").withColumn(_SALT, F.explode(copies))
-    return (
-        dealt.drop(_PIECES).join(repeated.drop(_PIECES), [key, _SALT], how).drop(_SALT)
+    without_key = F.when(
+        F.col(key).isNull(), _spread(left.columns, F.lit(_shuffle_partitions(left)))
     )
+    if hot is None:
+        slot = F.coalesce(without_key, F.lit(0))
+        copies = F.array(F.lit(0))
+    else:
+        hot = F.broadcast(hot)
+        left, right = left.join(hot, key, "left"), right.join(hot, key, "left")
+        of_hot = F.when(F.col(_PIECES).isNotNull(), _spread(left.columns, F.col(_PIECES)))
+        slot = F.coalesce(without_key, of_hot, F.lit(0))
+        copies = F.sequence(F.lit(0), F.coalesce(F.col(_PIECES), F.lit(1)) - 1)
+    # The right-hand salt comes from a generator even where it can only be 0: the optimiser would
+    # take a constant out of the join key, and rows without a key would meet in one partition.
+    dealt = left.withColumn(_SALT, slot).drop(_PIECES)
+    repeated = right.withColumn(_SALT, F.explode(copies)).drop(_PIECES)
+    return dealt.join(repeated, [key, _SALT], how).drop(_SALT)
 
 
 def lookup_join(

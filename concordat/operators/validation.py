@@ -12,17 +12,22 @@ from concordat.operators.skew import lookup_join
 from concordat.session import materialize
 
 _KEY = "__lei"
+_COMPARED = ("name", "country", "legal_form", "status")
 
 
-def match_registry(clients: DataFrame, registry: DataFrame) -> DataFrame:
+def match_registry(
+    clients: DataFrame, registry: DataFrame, fields: tuple[str, ...] = S.REGISTRY_COLUMNS
+) -> DataFrame:
     """Every client row with its registry record as struct ``record``, null where none is found.
 
+    Only the named ``fields`` of the record are read.
+
     ``registry`` has one row per identifier (see ``sources.registry.current_records``).  Rows
     without an identifier match nothing and never meet in one partition.
     """
     keyed = clients.withColumn(_KEY, F.when(present(F.col("entity_lei")), F.col("entity_lei")))
     records = registry.where(F.col("lei").isNotNull()).select(
-        F.col("lei").alias(_KEY), F.struct(*S.REGISTRY_COLUMNS).alias("record")
+        F.col("lei").alias(_KEY), F.struct(*fields).alias("record")
     )
     return lookup_join(keyed, records, _KEY, "left").drop(_KEY)
 
@@ -34,7 +39,7 @@ def validate(
 
     ``keep`` names client columns to carry along; ``rules`` are those of ``checked``.
     """
-    return checked(match_registry(clients, registry), keep, **rules)
+    return checked(match_registry(clients, registry, _COMPARED), keep, **rules)
 
 
 def verify_identifiers(identifiers: DataFrame, registry: DataFrame, **rules) -> DataFrame:

@@ -249,3 +249,18 @@ def test_shuffled_join_agrees_with_broadcast(spark, shuffled, no_auto_broadcast,
     ).count()
     unknown = not_found(rows, records.where("lei <> 'L1'"))
     assert unknown.count() == rows.where("entity_lei = 'L1'").count()
+
+
+def test_rows_without_identifier_are_spread(spark, shuffled, no_auto_broadcast):
+    """No key is hot here, yet most rows have none; exact copies of one row among them."""
+    rows = spark.range(0, 8000, 1, 8).select(
+        F.lit("copy").alias("client_id"),
+        F.lit("name").alias("entity_name"),
+        F.when(F.col("id") % 4 == 0, F.concat(F.lit("L"), "id")).alias("entity_lei"),
+        F.lit("US").alias("country"),
+        F.lit(None).cast("string").alias("legal_form"),
+    )
+    matched = match_registry(rows, registry(spark, ACTIVE, LAPSED))
+    parts = matched.groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert sum(row["count"] for row in parts) == 8000
+    assert max(row["count"] for row in parts) < 4000
