@@ -60,22 +60,10 @@ def is_active(status: Column) -> Column:
     return present(status) & (F.upper(status) == S.ACTIVE_REGISTRATION)
 
 
-def _contains_either_way(ours: Column, theirs: Column) -> Column:
-    return theirs.contains(ours) | ours.contains(theirs)
-
-
-def _flags(country_alias: dict[str, str] | None, status_map: dict[str, str] | None) -> dict:
-    """The normalised names and the parts every later column is made of."""
-    record = F.col("record")
-    return {
-        "ours": normalized(F.col("entity_name")),
-        "theirs": normalized(record["name"]),
-        "their_country": normalized(record["country"]),
-        "their_form": normalized(record["legal_form"]),
-        "our_country": normalized(_recoded(F.col("country"), country_alias)),
-        "our_form": normalized(F.col("legal_form")),
-        "status": _recoded(record["status"], status_map),
-    }
+def _same(ours: Column, theirs: Column) -> Column:
+    """Both given and equal; text that is equal as it stands needs no normalising."""
+    equal = (ours == theirs) | (normalized(ours) == normalized(theirs))
+    return present(ours) & present(theirs) & equal
 
 
 def checked(
@@ -98,20 +86,23 @@ def checked(
     """
     lei, name, record = F.col("entity_lei"), F.col("entity_name"), F.col("record")
     country, form = F.col("country"), F.col("legal_form")
-    parts = {f"__{k}": column for k, column in _flags(country_alias, status_map).items()}
-    # Two narrow projections before the wide one, so that each text is normalised and compared once.
-    prepared = matched.withColumns(parts)
+    registered = record["name"]
+    # Two narrow projections before the wide one: each name is normalised once, and only where the
+    # two differ as they stand.
+    prepared = matched.withColumns(
+        {
+            "__ours": F.when(name != registered, normalized(name)),
+            "__theirs": F.when(name != registered, normalized(registered)),
+            "__status": _recoded(record["status"], status_map),
+        }
+    )
+    ours, theirs = F.col("__ours"), F.col("__theirs")
+    agrees = (name == registered) | theirs.contains(ours) | ours.contains(theirs)
     flagged = prepared.withColumns(
         {
-            "name_match": name.isNotNull()
-            & present(record["name"])
-            & _contains_either_way(F.col("__ours"), F.col("__theirs")),
-            "country_match": present(country)
-            & present(record["country"])
-            & (F.col("__our_country") == F.col("__their_country")),
-            "legal_form_match": present(form)
-            & present(record["legal_form"])
-            & (F.col("__our_form") == F.col("__their_form")),
+            "name_match": name.isNotNull() & present(registered) & agrees,
+            "country_match": _same(_recoded(country, country_alias), record["country"]),
+            "legal_form_match": _same(form, record["legal_form"]),
             "__missing": is_missing_lei(lei),
             "__inactive": is_inactive(F.col("__status")),
             "__active": is_active(F.col("__status")),
@@ -122,7 +113,7 @@ def checked(
     country_fails = present(country) & ~F.col("country_match")
     form_fails = present(form) & ~F.col("legal_form_match")
     cases = [
-        (name_fails, _text(NAME_ISSUE, name, record["name"])),
+        (name_fails, _text(NAME_ISSUE, name, registered)),
         (country_fails, _text(COUNTRY_ISSUE, country, record["country"])),
         (form_fails, _text(LEGAL_FORM_ISSUE, form, record["legal_form"])),
     ]
@@ -158,7 +149,7 @@ def checked(
         "legal_form_match",
         status.alias("lei_status"),
         issues.alias("issues"),
-        record["name"].alias("gleif_name"),
+        registered.alias("gleif_name"),
         record["country"].alias("gleif_country"),
         (tenths.cast("double") / 10).alias("quality_score"),
         *keep,

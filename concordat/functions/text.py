@@ -40,9 +40,13 @@ def token_sort_key(column: Column) -> Column:
 
     Two names with equal keys are the same words in any order, case and punctuation.
     """
-    lowered = F.regexp_replace(F.lower(F.coalesce(column, F.lit(""))), LATIN1_SUPPLEMENT, "")
-    words = F.split(F.trim(F.regexp_replace(lowered, NOT_WORD, " ")), " ")
-    return F.array_join(F.array_sort(words), " ")
+    lowered = F.lower(F.coalesce(column, F.lit("")))
+    ascii_only = F.octet_length(lowered) == F.length(lowered)
+    kept = F.when(ascii_only, lowered).otherwise(
+        F.regexp_replace(lowered, LATIN1_SUPPLEMENT, "")
+    )
+    words = F.split(F.trim(F.regexp_replace(kept, NOT_WORD, " ")), " ")
+    return F.array_join(F.sort_array(words), " ")
 
 
 @F.pandas_udf(T.IntegerType())
