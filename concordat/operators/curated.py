@@ -70,8 +70,7 @@ class CuratedStore:
             "ignore"
         ).parquet(self._commits)
         spark.createDataFrame([], S.HISTORY).write.mode("ignore").parquet(self._history)
-        state = self._commit_log().agg(F.max("version"), F.max("buckets")).first()
-        self._version, self.buckets = int(state[0]), int(state[1])
+        self.buckets = int(self._commit_log().agg(F.max("buckets")).first()[0])
 
     @property
     def _data(self) -> str:
@@ -121,7 +120,7 @@ class CuratedStore:
         touched = reduced.select("bucket").distinct()
         kept = self._live(touched).join(reduced.select("client_id"), "client_id", "left_anti")
         merged = kept.unionByName(reduced)
-        version = self._version + 1
+        version = int(self._commit_log().agg(F.max("version")).first()[0]) + 1
         target = f"{self._data}/version={version}"
         # Rebalancing gathers each bucket into files of even size and splits a large one.
         # A version that failed before its commit is written over.
@@ -137,7 +136,6 @@ class CuratedStore:
             F.lit(self.buckets).alias("buckets"),
         )
         rows.coalesce(1).write.mode("append").parquet(self._commits)
-        self._version = version
 
     def append_history(self, report: DataFrame, run_id: str, run_at: Column) -> None:
         history_row(report, run_id, run_at).write.mode("append").parquet(self._history)
@@ -146,7 +144,7 @@ class CuratedStore:
         return self.spark.read.schema(S.HISTORY).parquet(self._history)
 
     def export(self, path: str) -> str:
-        """Write the current table to a new folder, issues as JSON text."""
+        """Write the current table to a folder, issues as JSON text; a run again replaces it."""
         rows = self.read().withColumn("issues", issues_json(F.col("issues")))
-        rows.write.mode("errorifexists").parquet(path)
+        rows.write.mode("overwrite").parquet(path)
         return path

@@ -15,6 +15,7 @@ from concordat.functions.text import shown, token_sort_key
 from concordat.operators.nearest import best_names
 from concordat.operators.ordinal import in_batches
 from concordat.operators.skew import lookup_join
+from concordat.session import materialize
 
 # Method names and issue texts.
 RERANKED = "rag_llm"
@@ -201,7 +202,7 @@ def resolve(
     """
     if candidates is None:
         return finish(by_name(clients, registry), "by_name")
-    found = by_vector(candidate_lists(candidates, registry), answers)
+    found = materialize(by_vector(candidate_lists(candidates, registry), answers))
     seen = lookup_join(clients, found, "client_id", "left")
     # Outcomes by name are only worked out for the clients that need them.
     rest = by_name(seen.where(F.col("by_vector").isNull()).drop("by_vector"), registry)

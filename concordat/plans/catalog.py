@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from concordat import schemas as S
 from concordat.functions.checks import is_inactive, is_missing_lei
 from concordat.functions.text import normalized, token_sort_key, token_sort_ratio
-from concordat.functions.vectors import unit
+from concordat.functions.vectors import name_vectors, unit
 from concordat.operators import curated as C
 from concordat.operators import quality as Q
 from concordat.operators import registry_views as V
@@ -374,6 +374,14 @@ def vector_normalize(spark, sf_dir):
     )
 
 
+@query
+def name_vector_topk(spark, sf_dir):
+    """Nearest registry names of every client by letter-group vectors; hashed, so without SQL."""
+    clients = fixture(spark, sf_dir, "client").select(F.col("client_id").alias("id"), "entity_name")
+    records = fixture(spark, sf_dir, "registry").select(F.col("lei").alias("id"), "name")
+    return top_vectors(name_vectors(clients, "entity_name"), name_vectors(records, "name"))
+
+
 def _candidates(spark, sf_dir) -> DataFrame:
     """Registry candidates of the clients that have an embedding."""
     lei = F.concat(

@@ -66,6 +66,14 @@ def test_failed_merge_is_never_seen(spark, tmp_path):
     assert set(contents(store)) == {"A", "B"}
 
 
+def test_stores_opened_apart_take_turns(spark, tmp_path):
+    one, two = (CuratedStore(spark, str(tmp_path / "s"), buckets=2) for _ in range(2))
+    one.upsert(batch(spark, ("A", 1, 0.2, "MISMATCH")), "place", at())
+    two.upsert(batch(spark, ("B", 1, 0.4, "MISMATCH")), "place", at())
+    one.upsert(batch(spark, ("C", 1, 0.6, "VERIFIED")), "place", at())
+    assert set(contents(one)) == set(contents(two)) == {"A", "B", "C"}
+
+
 def test_merge_transform(spark):
     old = batch(spark, ("A", 1, 0.2, "MISMATCH"), ("B", 1, 0.4, "MISMATCH")).withColumn(
         "processed_at", at("2024-01-01 00:00:00")
@@ -100,8 +108,8 @@ def test_listing_history_export(spark, tmp_path):
     path = store.export(str(tmp_path / "export"))
     assert os.path.exists(f"{path}/_SUCCESS")
     assert spark.read.parquet(path).first().issues == '["a","b"]'
-    with pytest.raises(Exception, match="(?i)exists"):
-        store.export(path)
+    store.upsert(batch(spark, ("E", 1, 0.1, "MISSING")), "place", at())
+    assert spark.read.parquet(store.export(path)).count() == 5
 
 
 def test_issue_json(spark):
