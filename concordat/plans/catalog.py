@@ -26,7 +26,7 @@ from concordat.operators.validation import (
 )
 from concordat.plans.fixtures import fixture, table
 from concordat.plans.verification import run_daily, run_upload
-from concordat.session import run_folder
+from concordat.session import materialize, run_folder
 from concordat.sources import registry as G
 from concordat.sources.staging import latest_staged
 from concordat.sources.upload import to_clients
@@ -438,7 +438,7 @@ def resolution_fallback(spark, sf_dir):
 
 
 def _unmatched_and_registry(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
-    return unmatched_clients_(spark, sf_dir), fixture(spark, sf_dir, "registry")
+    return materialize(unmatched_clients_(spark, sf_dir)), fixture(spark, sf_dir, "registry")
 
 
 @query
