@@ -7,9 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from concordat.llm.byte_bpe import encode_digests, spec_from_file, spec_from_ranks
 from concordat.llm.common import table
 from concordat.llm.content_sort import exact_duplicates
 from concordat.llm.line_runs import drop_repeated_runs
+from concordat.llm.packing import pack
 from concordat.llm.shards import assign_shards
 from concordat.llm.url_rules import judge_urls
 
@@ -118,3 +120,29 @@ SELECT *, CASE WHEN rule IN ('example.com/en/', 'net/es/', 'net/fr/') THEN 'bloc
     AS verdict
 FROM ruled
 """
+
+
+def rank_spec() -> str:
+    """The byte-level tokenizer of the installed public rank file."""
+    import public_tokenizers
+
+    return spec_from_ranks(
+        public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    )
+
+
+def file_spec() -> str:
+    """The byte-level tokenizer of the installed public JSON file."""
+    import public_tokenizers
+
+    return spec_from_file(public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query
+def op7_byte_bpe(spark, sf_dir):
+    return encode_digests(table(spark, sf_dir, "documents"), rank_spec())
+
+
+@query
+def op8_grouping_genetic(spark, sf_dir):
+    return pack(table(spark, sf_dir, "documents"), file_spec())
