@@ -30,8 +30,8 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def sampled_cuts(keys: DataFrame, parts: int, per_part: int = 64) -> list[str]:
-    """About ``parts - 1`` sorted cut values of the one text column of ``keys``, from a sample.
+def sampled_cuts(keys: DataFrame, parts: int, per_part: int = 64) -> list:
+    """About ``parts - 1`` sorted cut values of the one column of ``keys``, from a sample.
 
     The sample holds about ``per_part`` rows for each part, whatever the size of the table, so it
     fits the driver.  A value that fills several parts appears that often among the cuts.  Results
@@ -48,14 +48,14 @@ def sampled_cuts(keys: DataFrame, parts: int, per_part: int = 64) -> list[str]:
     return [values[len(values) * i // parts] for i in range(1, parts)]
 
 
-def _below(key: Column, cuts: list[str], inclusive: bool) -> Column:
+def below(key: Column, cuts: list, inclusive: bool, kind: str = "string") -> Column:
     """How many cuts lie below ``key`` (or at it), found in two steps of about a square root."""
     if not cuts:
         return F.lit(0)
     step = math.isqrt(len(cuts)) + 1
     chunks = [cuts[i : i + step] for i in range(0, len(cuts), step)]
-    heads = F.from_json(F.lit(json.dumps([c[-1] for c in chunks])), "array<string>")
-    body = F.from_json(F.lit(json.dumps(chunks)), "array<array<string>>")
+    heads = F.from_json(F.lit(json.dumps([c[-1] for c in chunks])), f"array<{kind}>")
+    body = F.from_json(F.lit(json.dumps(chunks)), f"array<array<{kind}>>")
 
     def passed(cut: Column) -> Column:
         return cut <= key if inclusive else cut < key
@@ -68,10 +68,10 @@ def _below(key: Column, cuts: list[str], inclusive: bool) -> Column:
 def range_slot(key: Column, cuts: list[str], spread: Column) -> Column:
     """The part of ``key`` among the cuts; a value that several cuts name is dealt over its parts
     by the hash of ``spread``."""
-    low, high = _below(key, cuts, False), _below(key, cuts, True)
+    low, high = below(key, cuts, False), below(key, cuts, True)
     return (low + F.pmod(F.xxhash64(spread), high - low + 1)).cast("int")
 
 
 def first_slot(key: Column, cuts: list[str]) -> Column:
     """The lowest part that rows with ``key`` can be in."""
-    return _below(key, cuts, False)
+    return below(key, cuts, False)

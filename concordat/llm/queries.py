@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 from concordat.llm.byte_bpe import encode_digests, spec_from_file, spec_from_ranks
 from concordat.llm.common import table
 from concordat.llm.content_sort import exact_duplicates
+from concordat.llm.fingerprints import fingerprint_documents
 from concordat.llm.line_runs import drop_repeated_runs
 from concordat.llm.packing import pack
 from concordat.llm.shards import assign_shards
+from concordat.llm.site_quality import judge_quality
 from concordat.llm.url_rules import judge_urls
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,6 +28,11 @@ def query(run: Query) -> Query:
     return run
 
 
+@query
+def op1_multiset_hash(spark, sf_dir):
+    return fingerprint_documents(table(spark, sf_dir, "documents"))
+
+
 @query
 def op2_content_sort(spark, sf_dir):
     return exact_duplicates(table(spark, sf_dir, "documents"))
@@ -82,6 +89,12 @@ def op4_prefix_sums(spark, sf_dir):
     return assign_shards(table(spark, sf_dir, "documents"), 24)
 
 
+@query
+def op5_site_bayes(spark, sf_dir):
+    docs, labels = (table(spark, sf_dir, name) for name in ("documents", "labels"))
+    return judge_quality(docs, labels)
+
+
 RULES = [
     ("com", "/", "allow"),
     ("example.com", "/en/", "block"),
