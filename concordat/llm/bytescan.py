@@ -42,8 +42,11 @@ class Texts:
         return len(self.offsets) - 1
 
 
-def blocks(column: pa.Array, limit: int = BLOCK) -> Iterator[Texts]:
-    """The texts of ``column`` in blocks of about ``limit`` bytes; missing texts are empty."""
+def blocks(column: pa.Array, limit: int = BLOCK, most: int = 1 << 20) -> Iterator[Texts]:
+    """The texts of ``column`` in blocks of about ``limit`` bytes and at most ``most`` texts.
+
+    Missing texts are empty.
+    """
     if column.null_count:
         column = column.fill_null("")
     column = column.cast(pa.large_string())
@@ -55,7 +58,7 @@ def blocks(column: pa.Array, limit: int = BLOCK) -> Iterator[Texts]:
     first = 0
     while first < len(column):
         past = int(np.searchsorted(offsets, offsets[first] + limit, "right")) - 1
-        past = min(max(past, first + 1), len(column))
+        past = min(max(past, first + 1), first + most, len(column))
         low, high = offsets[first], offsets[past]
         yield Texts(first, data[low:high], offsets[first : past + 1] - low)
         first = past

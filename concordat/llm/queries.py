@@ -12,6 +12,7 @@ from concordat.llm.common import table
 from concordat.llm.content_sort import exact_duplicates
 from concordat.llm.fingerprints import fingerprint_documents
 from concordat.llm.line_runs import drop_repeated_runs
+from concordat.llm.ngram_join import join_alike
 from concordat.llm.packing import pack
 from concordat.llm.shards import assign_shards
 from concordat.llm.site_quality import judge_quality
@@ -159,3 +160,8 @@ def op7_byte_bpe(spark, sf_dir):
 @query
 def op8_grouping_genetic(spark, sf_dir):
     return pack(table(spark, sf_dir, "documents"), file_spec())
+
+
+@query
+def op10_prefix_tree(spark, sf_dir):
+    return join_alike(table(spark, sf_dir, "documents"))
