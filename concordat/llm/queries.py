@@ -16,6 +16,7 @@ from concordat.llm.ngram_join import join_alike
 from concordat.llm.packing import pack
 from concordat.llm.shards import assign_shards
 from concordat.llm.site_quality import judge_quality
+from concordat.llm.suffix_dedup import remove_repeats
 from concordat.llm.url_rules import judge_urls
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -162,6 +163,12 @@ def op8_grouping_genetic(spark, sf_dir):
     return pack(table(spark, sf_dir, "documents"), file_spec())
 
 
+@query
+def op9_induced_sort(spark, sf_dir):
+    docs = remove_repeats(table(spark, sf_dir, "documents"))
+    return docs.select("doc_id", "repeats.*")
+
+
 @query
 def op10_prefix_tree(spark, sf_dir):
     return join_alike(table(spark, sf_dir, "documents"))
