@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -25,8 +26,6 @@ from concordat.llm.bytescan import Texts, blocks, mixed, words
 from concordat.llm.common import partitions, staged, text_or_empty
 from concordat.llm.components import components
 
-WORDS = 4
-PERCENT = 85
 # Counters of the frequency sketch, whatever the size of the corpus; each also sends one byte.
 COUNTERS = 1 << 18
 CHUNKS = 16
@@ -41,11 +40,39 @@ PARTS = 4
 _BITS = np.uint64(48)
 _MASK = np.uint64((1 << 48) - 1)
 _MOST = 1 << 10
-_MIX = [mixed(np.arange(k, k + 1)) | np.uint64(1) for k in range(100, 100 + WORDS)]
 
 
-def ngram_sets(block: Texts, order: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct n-grams of each text and its number, text by text in the global order.
+@dataclass(frozen=True)
+class Likeness:
+    """Sets of runs of ``words`` words, alike when ``percent`` hundredths of all runs are common."""
+
+    words: int = 5
+    percent: int = 80
+
+    def prefix(self, size):
+        """How many of a set's first elements must hold one that any set alike also has first."""
+        return size - (self.percent * size + 99) // 100 + 1
+
+    def fits(self, common: int, all_: int) -> bool:
+        return 100 * common >= self.percent * all_
+
+    def near_sizes(self, a: str, b: str) -> str:
+        return f"100 * {a} >= {self.percent} * {b} and 100 * {b} >= {self.percent} * {a}"
+
+    def within_reach(self, common: Column, a: Column, b: Column) -> Column:
+        """Whether sets of these sizes can still be alike with so many common first elements."""
+
+        def later(n: Column) -> Column:
+            return F.ceil(self.percent * n / 100) - 1
+
+        needed = F.ceil(self.percent * (a + b) / (100 + self.percent))
+        return common + F.greatest(later(a), later(b)) >= needed
+
+
+def ngram_sets(
+    block: Texts, size: int, order: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct runs of ``size`` words of each text and its number, in the global order.
 
     ``order`` has the level of each counter; without it all levels are equal.
     """
@@ -54,15 +81,16 @@ def ngram_sets(block: Texts, order: np.ndarray | None = None) -> tuple[np.ndarra
     many = np.bincount(texts, minlength=block.number)
     opens = np.cumsum(many) - many
     grams, owners = [], []
-    for size in range(1, WORDS + 1):
-        if size == WORDS:
-            last = WORDS - 1
+    factors = mixed(np.arange(100, 100 + size)) | np.uint64(1)
+    for length in range(1, size + 1):
+        if length == size:
+            last = size - 1
             heads = np.flatnonzero(texts[last:] == texts[: max(len(texts) - last, 0)])
         else:
-            heads = opens[many == size]
-        total = np.full(len(heads), size, np.uint64)
-        for k in range(size):
-            total += hashes[heads + k] * _MIX[k]
+            heads = opens[many == length]
+        total = np.full(len(heads), length, np.uint64)
+        for k in range(length):
+            total += hashes[heads + k] * factors[k]
         grams.append(mixed(total))
         owners.append(texts[heads])
     gram = np.concatenate(grams) & _MASK
@@ -84,20 +112,10 @@ def set_classes(grams: np.ndarray, texts: np.ndarray, number: int) -> tuple[np.n
     return sizes, mixed(total + sizes.astype(np.uint64)).view(np.int64)
 
 
-def prefix_size(size):
-    """How many of a set's first elements must hold one that any set alike also has first."""
-    return size - (PERCENT * size + 99) // 100 + 1
-
-
-def least_overlap(a: Column, b: Column) -> Column:
-    """Common elements that sets of these sizes need."""
-    return F.ceil(PERCENT * (a + b) / (100 + PERCENT))
-
-
 # --- passes over the texts -----------------------------------------------------------------------
 
 
-def _described(docs: DataFrame) -> DataFrame:
+def _described(docs: DataFrame, like: Likeness) -> DataFrame:
     """One row for each document with its set's size and class, and the sketch of each task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -105,7 +123,7 @@ def _described(docs: DataFrame) -> DataFrame:
         for batch in batches:
             ids, sizes, classes = batch.schema.field(0).type, [], []
             for block in blocks(batch.column(1), most=_MOST):
-                grams, texts = ngram_sets(block)
+                grams, texts = ngram_sets(block, like.words)
                 counts += np.bincount(counter(grams), minlength=COUNTERS)
                 size, digest = set_classes(grams, texts, block.number)
                 sizes.append(size)
@@ -169,7 +187,7 @@ def _levels(described: DataFrame) -> np.ndarray:
     return np.clip(np.ceil(np.log2(np.maximum(share, 1))), 0, 31).astype(np.uint8)
 
 
-def _meetings(docs: DataFrame, order, parts: int) -> DataFrame:
+def _meetings(docs: DataFrame, like: Likeness, order, parts: int) -> DataFrame:
     """The first n-grams of each set, packed into one row for each task, batch and part."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -177,10 +195,10 @@ def _meetings(docs: DataFrame, order, parts: int) -> DataFrame:
         for batch in batches:
             found = []
             for block in blocks(batch.column(0), most=_MOST):
-                grams, texts = ngram_sets(block, levels)
+                grams, texts = ngram_sets(block, like.words, levels)
                 sizes, classes = set_classes(grams, texts, block.number)
                 opens = np.cumsum(sizes) - sizes
-                first = np.arange(len(grams)) - opens[texts] < prefix_size(sizes)[texts]
+                first = np.arange(len(grams)) - opens[texts] < like.prefix(sizes)[texts]
                 owner = texts[first]
                 found.append((grams[first], classes[owner], sizes[owner]))
             if not found:
@@ -207,7 +225,7 @@ def _meetings(docs: DataFrame, order, parts: int) -> DataFrame:
     )
 
 
-def _live(packed: DataFrame, order) -> DataFrame:
+def _live(packed: DataFrame, like: Likeness, order) -> DataFrame:
     """``gram``, ``class`` and ``n`` where another class of fitting size has the n-gram too.
 
     Heavy n-grams are spread over all parts and so cannot be judged here; they always pass.
@@ -225,7 +243,7 @@ def _live(packed: DataFrame, order) -> DataFrame:
         grams, classes, sizes = grams[places], classes[places], sizes[places].astype(np.int64)
         fresh = np.append(True, (grams[1:] != grams[:-1]) | (classes[1:] != classes[:-1]))
         grams, classes, sizes = grams[fresh], classes[fresh], sizes[fresh]
-        near = (grams[1:] == grams[:-1]) & (100 * sizes[:-1] >= PERCENT * sizes[1:])
+        near = (grams[1:] == grams[:-1]) & (100 * sizes[:-1] >= like.percent * sizes[1:])
         live = np.append(near, False) | np.append(False, near)
         live |= order.value[counter(grams)] > 0
         yield pa.RecordBatch.from_arrays(
@@ -245,23 +263,18 @@ def _live(packed: DataFrame, order) -> DataFrame:
 # --- who is compared with whom -------------------------------------------------------------------
 
 
-def _enough(met: DataFrame) -> DataFrame:
+def _enough(met: DataFrame, like: Likeness) -> DataFrame:
     """Pairs ``x``, ``y`` whose common first n-grams leave the threshold within reach."""
     counted = met.groupBy("x", "y", "nx", "ny").agg(F.count("*").alias("common"))
+    return counted.where(like.within_reach(F.col("common"), F.col("nx"), F.col("ny")))
 
-    def later(n: Column) -> Column:
-        return n - (n - F.ceil(PERCENT * n / 100) + 1)
-
-    most = F.col("common") + F.greatest(later(F.col("nx")), later(F.col("ny")))
-    return counted.where(most >= least_overlap(F.col("nx"), F.col("ny")))
 
-
-def _first_pairs(live: DataFrame) -> DataFrame:
+def _first_pairs(live: DataFrame, like: Likeness) -> DataFrame:
     """Each class with the one leader that it shares most first n-grams with.
 
     At an n-gram the smallest class of each band of sizes leads its band.
     """
-    band = F.floor(F.log(F.col("n")) / math.log(100 / PERCENT)).alias("band")
+    band = F.floor(F.log(F.col("n")) / math.log(100 / like.percent)).alias("band")
     rows = live.select("gram", "class", "n", band)
     lead = rows.groupBy("gram", "band").agg(
         F.min(F.struct("class", "n")).alias("lead"), F.max("class").alias("last")
@@ -274,12 +287,12 @@ def _first_pairs(live: DataFrame) -> DataFrame:
     rows = rows.select(
         F.xxhash64("gram", "band").alias("meet"), F.col("class").alias("x"), F.col("n").alias("nx")
     )
-    near = _enough(rows.join(lead, "meet").where("x <> y"))
+    near = _enough(rows.join(lead, "meet").where("x <> y"), like)
     best = near.groupBy("x").agg(F.max(F.struct("common", "y")).alias("best"))
     return best.select("x", F.col("best.y").alias("y"))
 
 
-def _other_pairs(live: DataFrame, roots: DataFrame) -> DataFrame:
+def _other_pairs(live: DataFrame, roots: DataFrame, like: Likeness) -> DataFrame:
     """Classes of different components that meet.
 
     At each n-gram the component with most classes there stands aside: only the others' classes are
@@ -303,14 +316,14 @@ def _other_pairs(live: DataFrame, roots: DataFrame) -> DataFrame:
         "meet", "main", F.col("class").alias("y"), F.col("n").alias("ny"), F.col("root").alias("ry")
     )
     met = minor.join(every, "meet").where(
-        f"rx <> ry and (ry = main or x < y) and 100 * nx >= {PERCENT} * ny and 100 * ny >= {PERCENT} * nx"
+        f"rx <> ry and (ry = main or x < y) and {like.near_sizes('nx', 'ny')}"
     )
     # Which of two components stands aside differs between n-grams; a pair is counted as one.
     low, high = F.least("x", "y"), F.greatest("x", "y")
     n_low = F.when(F.col("x") < F.col("y"), F.col("nx")).otherwise(F.col("ny"))
     n_high = F.when(F.col("x") < F.col("y"), F.col("ny")).otherwise(F.col("nx"))
     met = met.select(low.alias("x"), high.alias("y"), n_low.alias("nx"), n_high.alias("ny"))
-    return _enough(met).select("x", "y")
+    return _enough(met, like).select("x", "y")
 
 
 # --- comparison in prefix trees ------------------------------------------------------------------
@@ -319,7 +332,8 @@ def _other_pairs(live: DataFrame, roots: DataFrame) -> DataFrame:
 class PrefixTree:
     """Ordered sets as paths of edges of ``EDGE`` elements; equal beginnings are stored once."""
 
-    def __init__(self) -> None:
+    def __init__(self, like: Likeness) -> None:
+        self._like = like
         self._children: list[dict[bytes, int]] = [{}]
         self._ends: list[list[int]] = [[]]
         self._longest: list[int] = [0]
@@ -343,17 +357,16 @@ class PrefixTree:
     def overlaps(self, other: np.ndarray) -> Iterator[tuple[int, int]]:
         """The number and overlap of each stored set that is alike enough to ``other``.
 
-        A set of ``n`` elements needs at least ``PERCENT`` hundredths of ``n`` and of ``other``'s
-        size in common, so a subtree goes as soon as the overlap so far and its longest remainder
+        Sets that are alike have at least ``percent`` hundredths of either one in common, so a subtree goes as soon as the overlap so far and its longest remainder
         stay below that.
         """
-        need = (PERCENT * len(other) + 99) // 100
+        need = (self._like.percent * len(other) + 99) // 100
         sorted_other = np.sort(other)
         waiting = [(0, 0, 0)]
         while waiting:
             node, common, depth = waiting.pop()
             for number in self._ends[node]:
-                if 100 * common >= PERCENT * (depth + len(other) - common):
+                if self._like.fits(common, depth + len(other) - common):
                     yield number, common
             for edge, below in self._children[node].items():
                 part = np.frombuffer(edge, np.uint64)
@@ -364,7 +377,7 @@ class PrefixTree:
                     waiting.append((below, now, depth + len(part)))
 
 
-def _sets(docs: DataFrame, classes: DataFrame, described: DataFrame, order) -> DataFrame:
+def _sets(docs, classes, described, like: Likeness, order) -> DataFrame:
     """``class`` and its set's ``elements`` in the global order, read from one document of each."""
     known = described.where("doc_id is not null").select("doc_id", F.col("class").alias("of"))
     wanted = classes.select(F.col("class").alias("of")).distinct()
@@ -376,7 +389,7 @@ def _sets(docs: DataFrame, classes: DataFrame, described: DataFrame, order) -> D
         for batch in batches:
             wanted, data, classes = batch.column(0).to_numpy(zero_copy_only=False), [], []
             for block in blocks(batch.column(1), most=_MOST):
-                grams, owners = ngram_sets(block, order.value)
+                grams, owners = ngram_sets(block, like.words, order.value)
                 sizes, found = set_classes(grams, owners, block.number)
                 classes.append(found)
                 cuts = np.cumsum(sizes)[:-1]
@@ -394,12 +407,12 @@ def _sets(docs: DataFrame, classes: DataFrame, described: DataFrame, order) -> D
     return staged(sets, "sets")
 
 
-def _links(pairs: DataFrame, docs: DataFrame, described: DataFrame, order) -> DataFrame:
+def _links(pairs, docs, described, like: Likeness, order) -> DataFrame:
     """The pairs that are alike enough, as ``a`` and ``b``."""
     spark = docs.sparkSession
     pairs = staged(pairs, "pairs")
     ends = pairs.select(F.col("x").alias("class")).unionByName(pairs.select(F.col("y").alias("class")))
-    sets = _sets(docs, ends, described, order)
+    sets = _sets(docs, ends, described, like, order)
     # A leader's company is dealt over tasks of bounded size, each of which gets the leader's set.
     company = pairs.groupBy("y").agg(F.ceil(F.count("*") / COMPANY).alias("groups"))
     company = company.select(F.xxhash64("y").alias("meet"), F.col("y").alias("leader"), "groups")
@@ -413,7 +426,7 @@ def _links(pairs: DataFrame, docs: DataFrame, described: DataFrame, order) -> Da
     leaders = leaders.select(F.col("leader").alias("y"), "group", F.lit(None).cast("long").alias("x"), "elements")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        here, lead, members, tree, found = None, None, [], PrefixTree(), []
+        here, lead, members, tree, found = None, None, [], PrefixTree(like), []
 
         def done() -> None:
             if lead is not None:
@@ -423,7 +436,7 @@ def _links(pairs: DataFrame, docs: DataFrame, described: DataFrame, order) -> Da
             for y, group, x, data in zip(*(column.to_pylist() for column in batch.columns)):
                 if (y, group) != here:
                     done()
-                    here, lead, members, tree = (y, group), None, [], PrefixTree()
+                    here, lead, members, tree = (y, group), None, [], PrefixTree(like)
                 elements = np.frombuffer(data, "<u8")
                 if x is None:
                     lead = elements
@@ -444,28 +457,28 @@ def _links(pairs: DataFrame, docs: DataFrame, described: DataFrame, order) -> Da
 # --- the operator --------------------------------------------------------------------------------
 
 
-def join_alike(docs: DataFrame) -> DataFrame:
+def join_alike(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """``doc_id``, ``n_shingles``, ``class_id`` and ``component_id`` for each row of ``docs``.
 
-    A document's set holds its distinct runs of ``WORDS`` words, A-Z lower-cased, words parted by
+    A document's set holds its distinct runs of ``words`` words, A-Z lower-cased, words parted by
     blanks; with fewer words the whole text is one run.  Two documents link when their common runs
-    are at least ``PERCENT`` hundredths of all their runs.  ``component_id`` is the smallest id
+    are at least ``percent`` hundredths of all their runs.  ``component_id`` is the smallest id
     reachable by links.  Documents without words have an empty set and link with nothing; so do
     rows without an id, whose component is missing.  Equal sets always link.  ``docs`` needs
     ``doc_id`` and ``text``; other columns are left out, repeated rows stay repeated, and an empty
     table gives an empty result.
     """
-    spark = docs.sparkSession
+    spark, like = docs.sparkSession, Likeness(words, percent)
     docs = docs.select("doc_id", text_or_empty().alias("text"))
-    described = staged(_described(docs), "described")
+    described = staged(_described(docs, like), "described")
     known = described.where("chunk is null").select("doc_id", "n", "class")
     order = spark.sparkContext.broadcast(_levels(described))
     parts = partitions(spark)
     named = docs.where("doc_id is not null")
-    packed = _meetings(named, order, PARTS * parts).repartition(parts, "part")
-    live = staged(_live(packed, order), "live")
-    links = _links(_first_pairs(live), named, known, order)
-    more = _links(_other_pairs(live, components(links)), named, known, order)
+    packed = _meetings(named, like, order, PARTS * parts).repartition(parts, "part")
+    live = staged(_live(packed, like, order), "live")
+    links = _links(_first_pairs(live, like), named, known, like, order)
+    more = _links(_other_pairs(live, components(links), like), named, known, like, order)
     roots = components(links.unionByName(more))
     classes = (
         known.where("n > 0 and doc_id is not null")

@@ -171,4 +171,4 @@ def op9_induced_sort(spark, sf_dir):
 
 @query
 def op10_prefix_tree(spark, sf_dir):
-    return join_alike(table(spark, sf_dir, "documents"))
+    return join_alike(table(spark, sf_dir, "documents"), words=4, percent=85)

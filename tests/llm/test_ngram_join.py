@@ -11,19 +11,19 @@ import pytest
 from concordat.llm import ngram_join
 from concordat.llm.common import table
 from concordat.llm.components import components
-from concordat.llm.ngram_join import PrefixTree, join_alike
+from concordat.llm.ngram_join import Likeness, PrefixTree, join_alike
 
 
-def shingles(text):
+def shingles(text, size=4):
     lower = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
     words = re.findall(r"[^\x20\x09-\x0D]+", lower)
-    if len(words) < 4:
+    if len(words) < size:
         return {tuple(words)} if words else set()
-    return {tuple(words[i : i + 4]) for i in range(len(words) - 3)}
+    return {tuple(words[i : i + size]) for i in range(len(words) - size + 1)}
 
 
-def brute(docs):
-    sets = {doc_id: shingles(text) for doc_id, text in docs}
+def brute(docs, size=4, percent=85):
+    sets = {doc_id: shingles(text, size) for doc_id, text in docs}
     holders = defaultdict(list)
     for doc_id, found in sets.items():
         for s in found:
@@ -39,7 +39,7 @@ def brute(docs):
 
     for a, b in pairs:
         common = len(sets[a] & sets[b])
-        if 100 * common >= 85 * len(sets[a] | sets[b]):
+        if 100 * common >= percent * len(sets[a] | sets[b]):
             x, y = find(a), find(b)
             root[max(x, y)] = min(x, y)
     return {(d, len(sets[d]), find(d)) for d in sets}
@@ -53,7 +53,7 @@ def ours(df):
 def test_tables(spark, sf):
     docs = table(spark, f"/root/testdata/sf{sf}", "documents")
     expected = brute([(r.doc_id, r.text) for r in docs.collect()])
-    assert sorted(ours(join_alike(docs))) == sorted(expected)
+    assert sorted(ours(join_alike(docs, 4, 85))) == sorted(expected)
 
 
 def made(seed):
@@ -78,17 +78,23 @@ def made(seed):
 def test_chains(spark, monkeypatch, seed, heavy):
     monkeypatch.setattr(ngram_join, "HEAVY", heavy)
     docs = made(seed)
-    found = ours(join_alike(spark.createDataFrame(docs, "doc_id long, text string")))
+    found = ours(join_alike(spark.createDataFrame(docs, "doc_id long, text string"), 4, 85))
     assert sorted(found) == sorted(brute(docs))
 
 
+def test_other_likeness(spark):
+    docs = made(6)
+    found = ours(join_alike(spark.createDataFrame(docs, "doc_id long, text string")))
+    assert sorted(found) == sorted(brute(docs, 5, 80))
+
+
 def test_odd_rows(spark):
     rows = [
         (5, None, 1), (4, "", 2), (3, " \n\t", 3), (9, "same words", 4), (8, "SAME\x0bwords", 5),
         (8, "SAME\x0bwords", 5), (None, "same words", 6), (7, "same  words x", 7), (2, "é É", 8), (1, "É é", 9),
     ]
     docs = spark.createDataFrame(rows, "doc_id long, text string, class int")
-    assert sorted(ours(join_alike(docs)), key=repr) == sorted(
+    assert sorted(ours(join_alike(docs, 4, 85)), key=repr) == sorted(
         [(5, 0, 5), (4, 0, 4), (3, 0, 3), (9, 1, 8), (8, 1, 8), (8, 1, 8), (None, 1, None), (7, 1, 7), (2, 1, 2), (1, 1, 1)],
         key=repr,
     )
@@ -99,7 +105,7 @@ def test_tree():
     rng = np.random.default_rng(1)
     sets = [np.sort(rng.choice(300, rng.integers(1, 250), replace=False)).astype(np.uint64) for _ in range(80)]
     sets += [np.delete(s, 0) for s in sets if len(s) > 1]
-    tree = PrefixTree()
+    tree = PrefixTree(Likeness(4, 85))
     for number, one in enumerate(sets):
         tree.insert(one, number)
     for other in sets:
