@@ -1,45 +1,34 @@
-"""The curated table: keyed last-wins merges on plain Parquet, and reads over it.
-
-Rows lie in ``data/version=V/bucket=B``, the bucket being a hash of the client id.  A merge
-rewrites only the buckets its batch touches, under a new version, and then appends those buckets
-to ``commits``.  Readers take each bucket's newest committed version, so they never see half a
-merge and never lose files under a running read.  One merge runs at a time.
+"""The curated table: keyed merges on plain Parquet, and reads over it.
+
+Rows lie in ``data/version=V/bucket=B``, the bucket being a hash of the client id.  A merge writes
+its own rows only, as a delta under a new version, and then appends its buckets to ``commits``; it
+reads nothing of the old table.  Readers take each bucket's newest base and the deltas after it and
+let the row with the greatest order win per client.  Buckets with many deltas are folded into a new
+base.  Readers never see half a merge and never lose files under a running read.  One merge runs at
+a time.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from concordat import schemas as S
 from concordat.operators.dedupe import last_wins
 from concordat.operators.quality import history_row
-from concordat.session import materialize
-
-COMMIT_SCHEMA = "version bigint, bucket int, buckets int"
-
-
-def merge_last_wins(
-    old: DataFrame, batch: DataFrame, order: str | Column, processed_at: Column
-) -> DataFrame:
-    """The table after a batch: within it the last row per client id wins, and it replaces the
-    table's row of that id."""
-    order = F.col(order) if isinstance(order, str) else order
-    new = batch.select(
-        *S.RESULT_COLUMNS,
-        processed_at.cast("timestamp").alias("processed_at"),
-        F.struct(F.lit(1).alias("batch"), order.alias("place")).alias("__order"),
-    )
-    place = new.schema["__order"].dataType["place"].dataType
-    before = F.struct(F.lit(0).alias("batch"), F.lit(None).cast(place).alias("place"))
-    rows = old.select(*S.CURATED_COLUMNS, before.alias("__order")).unionByName(new)
-    return last_wins(rows, "client_id", "__order").drop("__order")
 
+COMMIT_SCHEMA = "version bigint, bucket int, buckets int, base boolean"
+# Deltas of a bucket from which a merge folds it.
+MOST_DELTAS = 8
 
-def _reduced(batch: DataFrame, order: str | Column, processed_at: Column) -> DataFrame:
-    stamped = last_wins(batch, "client_id", order)
-    return stamped.select(*S.RESULT_COLUMNS, processed_at.cast("timestamp").alias("processed_at"))
+_STORED = T.StructType(
+    [
+        *S.CURATED.fields,
+        T.StructField("ordered_at", T.TimestampType()),
+        T.StructField("tie", T.LongType()),
+    ]
+)
 
 
 def issues_json(issues: Column) -> Column:
@@ -66,7 +55,7 @@ class CuratedStore:
         self.spark = spark
         self.root = root.rstrip("/")
         # "ignore" leaves an existing table alone.
-        spark.createDataFrame([(0, -1, buckets)], COMMIT_SCHEMA).coalesce(1).write.mode(
+        spark.createDataFrame([(0, -1, buckets, True)], COMMIT_SCHEMA).coalesce(1).write.mode(
             "ignore"
         ).parquet(self._commits)
         spark.createDataFrame([], S.HISTORY).write.mode("ignore").parquet(self._history)
@@ -90,50 +79,94 @@ class CuratedStore:
     def _bucket(self) -> Column:
         return F.pmod(F.xxhash64("client_id"), F.lit(self.buckets)).cast("int")
 
-    def _live(self, touched: DataFrame | None = None) -> DataFrame:
-        """Current rows with their bucket, of the touched buckets or of all.
+    def _live(self) -> tuple[list[str], list[str]]:
+        """The folders to read: of buckets in one folder, and of buckets in several.
 
-        The newest version of each bucket is looked up first, at most ``buckets`` rows, so that
-        only the folders in use are listed and read.
+        The log has at most ``MOST_DELTAS`` folders of a bucket after its newest base.
         """
         log = self._commit_log().where(F.col("bucket") >= 0)
-        if touched is not None:
-            log = log.join(F.broadcast(touched), "bucket", "left_semi")
-        newest = log.groupBy("bucket").agg(F.max("version").alias("version")).collect()
-        fields = [*S.CURATED.fields, T.StructField("bucket", T.IntegerType())]
-        if not newest:
-            return self.spark.createDataFrame([], T.StructType(fields))
-        folders = [f"{self._data}/version={row.version}/bucket={row.bucket}" for row in newest]
-        reader = self.spark.read.option("basePath", self._data)
+        newest = F.max(F.when(F.col("base"), F.col("version"))).alias("since")
+        since = F.coalesce(F.col("since"), F.lit(0))
+        every = log.groupBy("bucket").agg(newest, F.collect_set("version").alias("versions"))
+        rows = every.select("bucket", F.filter("versions", lambda v: v >= since).alias("versions"))
+        alone, several = [], []
+        for row in rows.collect():
+            into = alone if len(row.versions) == 1 else several
+            into += [f"{self._data}/version={v}/bucket={row.bucket}" for v in row.versions]
+        return alone, several
+
+    def _rows(self, folders: list[str]) -> DataFrame:
+        fields = [*_STORED, T.StructField("bucket", T.IntegerType())]
         versioned = T.StructType([*fields, T.StructField("version", T.LongType())])
-        return reader.schema(versioned).parquet(*folders).drop("version")
+        if not folders:
+            return self.spark.createDataFrame([], versioned)
+        return self.spark.read.option("basePath", self._data).schema(versioned).parquet(*folders)
+
+    def _newest(self, folders: list[str]) -> DataFrame:
+        order = F.struct("ordered_at", "tie", "version")
+        return last_wins(self._rows(folders), "client_id", order)
 
     def read(self) -> DataFrame:
         """The curated table as of the last merge."""
-        return self._live().select(*S.CURATED_COLUMNS)
-
-    def upsert(self, batch: DataFrame, order: str | Column, processed_at: Column) -> None:
-        """Merge result rows into the table.  Merging the same batch again changes nothing."""
-        reduced = materialize(
-            _reduced(batch, order, processed_at).withColumn("bucket", self._bucket())
+        alone, several = self._live()
+        rows = self._rows(alone).select(*S.CURATED_COLUMNS)
+        if several:
+            rows = rows.unionByName(self._newest(several).select(*S.CURATED_COLUMNS))
+        return rows
+
+    def upsert(
+        self,
+        batch: DataFrame,
+        order: str | Column,
+        processed_at: Column,
+        ordered_at: Column | None = None,
+        tie: Column | None = None,
+    ) -> None:
+        """Merge result rows into the table.  Merging the same batch again changes nothing.
+
+        Within the batch the row with the greatest ``order`` wins per client.  Against the table
+        the row with the greatest ``ordered_at`` (by default ``processed_at``), then ``tie``, wins,
+        then the later merge, so rows that arrive late do not replace newer ones.
+        """
+        reduced = last_wins(batch, "client_id", order)
+        at = processed_at.cast("timestamp")
+        rows = reduced.select(
+            *S.RESULT_COLUMNS,
+            at.alias("processed_at"),
+            (at if ordered_at is None else ordered_at.cast("timestamp")).alias("ordered_at"),
+            (F.lit(0) if tie is None else tie).cast("long").alias("tie"),
+            self._bucket().alias("bucket"),
         )
-        touched = reduced.select("bucket").distinct()
-        kept = self._live(touched).join(reduced.select("client_id"), "client_id", "left_anti")
-        merged = kept.unionByName(reduced)
+        self._write(rows, base=False)
+        log = self._commit_log().where(F.col("bucket") >= 0)
+        last = F.max(F.when(F.col("base"), F.col("version"))).over(Window.partitionBy("bucket"))
+        after = log.withColumn("since", F.coalesce(last, F.lit(-1))).where("version > since")
+        many = after.groupBy("bucket").agg(F.count("*").alias("n")).where(F.col("n") >= MOST_DELTAS)
+        if not many.isEmpty():
+            self.fold()
+
+    def fold(self) -> None:
+        """Rewrite every bucket that has deltas as one base."""
+        _, several = self._live()
+        if several:
+            self._write(self._newest(several).drop("version"), base=True)
+
+    def _write(self, rows: DataFrame, base: bool) -> None:
         version = int(self._commit_log().agg(F.max("version")).first()[0]) + 1
         target = f"{self._data}/version={version}"
         # Rebalancing gathers each bucket into files of even size and splits a large one.
         # A version that failed before its commit is written over.
-        merged.hint("rebalance", "bucket").write.mode("overwrite").partitionBy("bucket").parquet(
-            target
-        )
-        self._commit(version, touched)
+        rows.hint("rebalance", "bucket").write.mode("overwrite").partitionBy("bucket").parquet(target)
+        schema = T.StructType([*_STORED, T.StructField("bucket", T.IntegerType())])
+        written = self.spark.read.schema(schema).parquet(target)
+        self._commit(version, written.select("bucket").distinct(), base)
 
-    def _commit(self, version: int, touched: DataFrame) -> None:
+    def _commit(self, version: int, touched: DataFrame, base: bool) -> None:
         rows = touched.select(
             F.lit(version).cast("bigint").alias("version"),
             "bucket",
             F.lit(self.buckets).alias("buckets"),
+            F.lit(base).alias("base"),
         )
         rows.coalesce(1).write.mode("append").parquet(self._commits)
 

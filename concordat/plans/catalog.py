@@ -29,7 +29,7 @@ from concordat.plans.verification import run_daily, run_upload
 from concordat.session import materialize, run_folder
 from concordat.sources import registry as G
 from concordat.sources.staging import latest_staged
-from concordat.sources.upload import to_clients
+from concordat.sources.upload import read_upload, rejected, to_clients
 from concordat.streaming.verification import verify_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -310,8 +310,10 @@ def upsert_merge(spark, sf_dir):
         fixture(spark, sf_dir, "registry"),
         keep=("position",),
     )
-    merged = C.merge_last_wins(_curated(spark, sf_dir), update, "position", at(LATER))
-    return _flat_results(merged, _time("processed_at"))
+    store = C.CuratedStore(spark, run_folder(spark, "upsert"), buckets=8)
+    store.upsert(_results(spark, sf_dir), "client_id", at(RUN_AT))
+    store.upsert(update, "position", at(LATER))
+    return _flat_results(store.read(), _time("processed_at"))
 
 
 @query
@@ -544,6 +546,30 @@ def daily_run(spark, sf_dir):
     return exported.select(*S.RESULT_COLUMNS, _time("processed_at"))
 
 
+def _bad_line(number: Column) -> Column:
+    """What makes every seventh line bad: a field too many; and every eleventh: no client id."""
+    return F.when(number % 7 == 0, "seventh").when(number % 11 == 0, "eleventh")
+
+
+@query
+def upload_rejects(spark, sf_dir):
+    """What an upload folder cannot take: surplus fields and rows without a client id."""
+    root = run_folder(spark, "upload-rejects")
+    rows = fixture(spark, sf_dir, "client").select("client_id", "entity_name", "entity_lei")
+    number = F.substring("client_id", 2, 20).cast("long")
+    bad = _bad_line(number)
+    ident = F.when(bad == "eleventh", "").otherwise(F.col("client_id"))
+    surplus = F.when(bad == "seventh", ",surplus").otherwise("")
+    quoted = F.concat(F.lit('"'), F.coalesce("entity_name", F.lit("")), F.lit('"'))
+    line = F.concat(ident, F.lit(","), quoted, F.lit(","), F.coalesce("entity_lei", F.lit("")), surplus)
+    # One raw column, so that the lines are written as they are.
+    lines = rows.select(line.alias("client_id,entity_name,entity_lei")).repartition(3)
+    upload = f"{root}/upload"
+    lines.write.options(header=True, quote="", sep="\x01").csv(upload)
+    clients = to_clients(read_upload(spark, upload), "malformed")
+    return rejected(clients).select("client_id", "entity_name", "malformed")
+
+
 @query
 def stream_run(spark, sf_dir):
     """The later batch as a file stream, each event twice, into an empty store."""
@@ -560,3 +586,23 @@ def stream_run(spark, sf_dir):
     )
     running.awaitTermination()
     return _flat_results(store.read())
+
+
+@query
+def stream_out_of_order(spark, sf_dir):
+    """The later batch in three micro-batches that hold older and newer records of the same clients."""
+    root = run_folder(spark, "stream-late")
+    events = fixture(spark, sf_dir, "client_update")
+    time = F.timestamp_seconds(F.col("position")).alias("event_time")
+    arrivals = events.select(*S.CLIENT_COLUMNS, time)
+    store = C.CuratedStore(spark, f"{root}/curated", buckets=8)
+    registry = fixture(spark, sf_dir, "registry")
+    for part in range(3):
+        some = arrivals.where(F.pmod(F.xxhash64("event_time"), F.lit(3)) == part)
+        some.write.mode("append").parquet(f"{root}/arrivals")
+        stream = spark.readStream.schema(arrivals.schema).parquet(f"{root}/arrivals")
+        running = verify_stream(
+            stream, registry, store, f"{root}/checkpoint", trigger={"availableNow": True}
+        )
+        running.awaitTermination()
+    return _flat_results(store.read())

@@ -513,3 +513,13 @@ ORACLE["stream_run"] = _select(
     f"""SELECT {_RESULT} FROM results
     QUALIFY row_number() OVER (PARTITION BY client_id ORDER BY position DESC) = 1""",
 )
+ORACLE["stream_out_of_order"] = ORACLE["stream_run"]
+_NUMBERED = "numbered AS (SELECT *, cast(substring(client_id, 2) AS BIGINT) AS n FROM client)"
+ORACLE["upload_rejects"] = _select(
+    _fixtures("client") + [_NUMBERED],
+    """SELECT CASE WHEN n % 7 = 0 THEN client_id END AS client_id,
+    nullif(entity_name, '') AS entity_name,
+    CASE WHEN n % 7 = 0 THEN concat(client_id, ',"', coalesce(entity_name, ''), '",',
+        coalesce(entity_lei, ''), ',surplus') END AS malformed
+    FROM numbered WHERE n % 7 = 0 OR n % 11 = 0""",
+)

@@ -61,7 +61,7 @@ def run_upload(
     ``registry`` has one row per identifier.  A failing read fails the run.
     """
     raw = read_upload(spark, upload_path)
-    rows = materialize(to_clients(raw, "upload_order"))
+    rows = materialize(to_clients(raw, "upload_order", "malformed"))
     stage(rows, staging_root, run_id, run_at)
     clients = accepted(rows)
     known = _needed_records(clients, registry)

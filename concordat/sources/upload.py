@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from concordat import schemas as S
 from concordat.functions.text import present
@@ -34,34 +35,52 @@ def normalized_header(columns: list[str]) -> list[str]:
     return names
 
 
+def _check_files(spark: SparkSession, folder: str) -> None:
+    """Refuse a folder that holds files which would not be read."""
+    files = spark.read.format("binaryFile").load(folder).select("path")
+    other = files.where(~F.endswith(F.lower("path"), F.lit(CSV_SUFFIX))).first()
+    if other is not None:
+        raise ValueError(f"only CSV files are supported: {other.path}")
+
+
 def read_upload(spark: SparkSession, path: str, *, multiline: bool = False) -> DataFrame:
     """Raw rows of one CSV file, or of a folder of CSV files with one header.
 
     Every column is text, so codes such as ``NA`` and identifiers with leading zeros stay as they
-    are.  ``upload_order`` gives each row's place in the upload.  Line breaks inside quotes need
-    ``multiline``, which reads each file in one task.
+    are.  ``upload_order`` gives each row's place in the upload.  ``malformed`` holds the line of a
+    row with more fields than the header has names, else null; rows with fewer fields lack the last
+    ones.  A folder may hold CSV files only, and reading fails where a file's header differs from
+    the others'.  Line breaks inside quotes need ``multiline``, which reads each file in one task.
     """
     check_suffix(path)
-    reader = spark.read.options(header=True, inferSchema=False, escape='"', multiLine=multiline)
-    if not path.lower().endswith(CSV_SUFFIX):
-        reader = reader.option("pathGlobFilter", "*.csv")
+    options = {"header": True, "escape": '"', "multiLine": multiline, "enforceSchema": False}
+    reader = spark.read.options(**options)
     try:
-        raw = reader.csv(path)
+        if not path.lower().endswith(CSV_SUFFIX):
+            _check_files(spark, path)
+        columns = reader.csv(path).columns
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             raise FileNotFoundError(f"upload not found: {path}") from error
         raise
-    names = normalized_header(raw.columns)
+    names = normalized_header(columns)
     absent = [name for name in REQUIRED if name not in names]
     if absent:
         raise ValueError(f"upload lacks columns: {', '.join(absent)}")
+    line = "__line"
+    schema = T.StructType([T.StructField(name, T.StringType()) for name in [*columns, line]])
+    raw = reader.options(columnNameOfCorruptRecord=line, columnPruning=False).schema(schema).csv(path)
+    # The line is kept for rows with fewer fields too; only a field beyond the last makes it bad.
+    wider = ", ".join(f"f{i} string" for i in range(len(columns) + 1))
+    beyond = F.from_csv(F.col(line), wider, {"escape": '"'})[f"f{len(columns)}"]
+    malformed = F.when(F.col(line).isNotNull() & beyond.isNotNull(), F.col(line))
     place = F.struct(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("row"),
     )
-    columns = [F.col(f"`{old}`").alias(new) for old, new in zip(raw.columns, names)]
-    return raw.select(*columns, place.alias("upload_order"))
+    kept = [F.col(f"`{old}`").alias(new) for old, new in zip(columns, names)]
+    return raw.select(*kept, place.alias("upload_order"), malformed.alias("malformed"))
 
 
 def to_clients(raw: DataFrame, *keep: str) -> DataFrame:
@@ -77,11 +96,16 @@ def to_clients(raw: DataFrame, *keep: str) -> DataFrame:
     return raw.select(*[field(name) for name in S.CLIENT_COLUMNS], *keep)
 
 
+def _refused(clients: DataFrame) -> Column:
+    found = F.col("client_id").isNull()
+    return found | F.col("malformed").isNotNull() if "malformed" in clients.columns else found
+
+
 def accepted(clients: DataFrame) -> DataFrame:
-    """Rows that can be keyed."""
-    return clients.where(F.col("client_id").isNotNull())
+    """Rows that can be keyed and were read whole."""
+    return clients.where(~_refused(clients))
 
 
 def rejected(clients: DataFrame) -> DataFrame:
-    """Rows without a client id, for the reject output."""
-    return clients.where(F.col("client_id").isNull())
+    """Rows without a client id, or with more fields than names, for the reject output."""
+    return clients.where(_refused(clients))

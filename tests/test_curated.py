@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from concordat import schemas as S
-from concordat.operators.curated import CuratedStore, issues_json, merge_last_wins, top_entities
+from concordat.operators import curated
+from concordat.operators.curated import CuratedStore, issues_json, top_entities
 from concordat.operators.quality import batch_report
 from tests.helpers import at
 
@@ -74,17 +75,40 @@ def test_stores_opened_apart_take_turns(spark, tmp_path):
     assert set(contents(one)) == set(contents(two)) == {"A", "B", "C"}
 
 
-def test_merge_transform(spark):
-    old = batch(spark, ("A", 1, 0.2, "MISMATCH"), ("B", 1, 0.4, "MISMATCH")).withColumn(
-        "processed_at", at("2024-01-01 00:00:00")
-    )
-    new = batch(spark, ("B", 5, 0.6, "VERIFIED"), ("B", 4, 0.8, "VERIFIED"), ("C", 1, 1.0, "VERIFIED"))
-    merged = merge_last_wins(old, new, "place", at("2024-01-02 00:00:00"))
-    assert sorted((r.client_id, r.quality_score, r.processed_at.day) for r in merged.collect()) == [
-        ("A", 0.2, 1),
-        ("B", 0.6, 2),
-        ("C", 1.0, 2),
-    ]
+def test_late_rows_do_not_replace_newer_ones(spark, tmp_path):
+    store = CuratedStore(spark, str(tmp_path / "s"), buckets=2)
+    for day, score in ((2, 0.2), (1, 0.9), (3, 0.6), (2, 0.4)):
+        store.upsert(batch(spark, ("A", 1, score, "MISMATCH")), "place", at(f"2024-01-0{day} 00:00:00"))
+    assert contents(store) == {"A": (0.6, "2024-01-03 00:00:00")}
+    # At one time the greater tie wins, whichever merge brings it.
+    for tie, score in ((7, 0.7), (9, 0.9), (8, 0.8)):
+        rows = batch(spark, ("B", 1, score, "MISMATCH"))
+        store.upsert(rows, "place", at(), tie=F.lit(tie))
+    assert contents(store)["B"][0] == 0.9
+
+
+def test_a_merge_writes_its_own_rows_only(spark, tmp_path):
+    store = CuratedStore(spark, str(tmp_path / "s"), buckets=1)
+    store.upsert(batch(spark, *[(f"C{i}", i, 0.4, "MISMATCH") for i in range(500)]), "place", at())
+    store.upsert(batch(spark, ("C7", 1, 1.0, "VERIFIED")), "place", at("2024-01-02 00:00:00"))
+    assert spark.read.parquet(f"{store.root}/data/version=2").count() == 1
+    assert store.read().count() == 500
+
+
+def test_many_deltas_are_folded(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(curated, "MOST_DELTAS", 3)
+    store = CuratedStore(spark, str(tmp_path / "s"), buckets=1)
+    for day in range(1, 6):
+        rows = batch(spark, ("A", 1, day / 10, "MISMATCH"), (f"B{day}", 2, 0.1, "MISSING"))
+        store.upsert(rows, "place", at(f"2024-01-0{day} 00:00:00"))
+        assert contents(store)["A"][0] == day / 10 and store.read().count() == day + 1
+    alone, several = store._live()
+    assert len(alone) + len(several) <= 3
+    store.fold()
+    alone, several = store._live()
+    assert len(alone) == 1 and not several and store.read().count() == 6
+    store.upsert(batch(spark, ("A", 1, 0.0, "MISSING")), "place", at("2023-01-01 00:00:00"))
+    assert contents(store)["A"][0] == 0.5
 
 
 def test_listing_history_export(spark, tmp_path):

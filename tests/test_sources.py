@@ -53,6 +53,31 @@ def test_upload_refusals(spark, tmp_path):
         read_upload(spark, upload(tmp_path, "client_id,Client ID,entity_name\na,b,c\n"))
 
 
+def test_upload_folder(spark, tmp_path):
+    folder = tmp_path / "day"
+    folder.mkdir()
+    upload(folder, "Client ID,Entity Name\nC1,one\n", "a.csv")
+    upload(folder, "client id,entity name\nC2,two\n", "b.CSV")
+    assert {r.client_id for r in read_upload(spark, str(folder)).collect()} == {"C1", "C2"}
+    upload(folder, "x", "notes.txt")
+    with pytest.raises(ValueError, match="notes.txt"):
+        read_upload(spark, str(folder))
+
+
+def test_upload_folder_with_another_order_of_columns(spark, tmp_path):
+    upload(tmp_path, "client_id,entity_name\nC1,one\n", "a.csv")
+    upload(tmp_path, "entity_name,client_id\ntwo,C2\n", "b.csv")
+    with pytest.raises(Exception, match="does not conform"):
+        read_upload(spark, str(tmp_path)).collect()
+
+
+def test_rows_with_too_many_fields(spark, tmp_path):
+    lines = 'C1,"a, b",x\nC2,b\nC3,c,y,z\nC4,Four, Inc,GB\nC5,e,\n'
+    rows = to_clients(read_upload(spark, upload(tmp_path, "client_id,entity_name,country\n" + lines)), "malformed")
+    assert {r.client_id for r in accepted(rows).collect()} == {"C1", "C2", "C5"}
+    assert {r.malformed for r in rejected(rows).collect()} == {"C3,c,y,z", "C4,Four, Inc,GB"}
+
+
 def test_upload_order_follows_the_file(spark, tmp_path):
     lines = "".join(f"C{i},name {i}\n" for i in range(5000))
     path = upload(tmp_path, "client_id,entity_name\n" + lines)
