@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from concordat import schemas as S
 from concordat.functions.checks import texts_that_apply
-from concordat.functions.text import shown, token_sort_key
+from concordat.functions.text import present, shown, token_sort_key
 from concordat.operators.nearest import best_names
 from concordat.operators.ordinal import in_batches
 from concordat.operators.skew import lookup_join
@@ -70,26 +70,48 @@ def by_name(clients: DataFrame, registry: DataFrame) -> DataFrame:
 def candidate_lists(candidates: DataFrame, registry: DataFrame) -> DataFrame:
     """One row per client with its few ranked candidates as an array.
 
-    ``candidates`` comes from ``top_vectors``: at most ``k`` rows per client.
+    ``candidates`` comes from ``top_vectors``: at most ``k`` rows per client.  Candidates whose
+    identifier the registry no longer has are left out, and those after them move up.
     """
     records = registry.select(F.col("lei").alias("id"), _record())
-    listed = lookup_join(candidates, records, "id", "left")
+    listed = lookup_join(candidates, records, "id", "left").where(F.col("record").isNotNull())
     entry = F.struct("rank", "score", "record")
     return listed.groupBy(F.col("query_id").alias("client_id")).agg(
         F.sort_array(F.collect_list(entry)).alias("candidates")
     )
 
 
-def rerank_requests(lists: DataFrame) -> DataFrame:
-    """The numbered candidate lines a re-ranker is asked to choose from, one row per client."""
+def client_line(name: Column, country: Column, legal_form: Column) -> Column:
+    """How a request names the client that is to be matched."""
 
-    def line(entry: Column) -> Column:
+    def known(value: Column) -> Column:
+        return F.when(present(value), value).otherwise("unknown")
+
+    return F.format_string(
+        '"%s" (country: %s, legal form: %s)', shown(name), known(country), known(legal_form)
+    )
+
+
+def rerank_requests(lists: DataFrame, clients: DataFrame) -> DataFrame:
+    """What a re-ranker is asked: the client and its numbered candidate lines, one row per client.
+
+    ``clients`` has one row per client id; clients that it lacks are asked about without a line.
+    """
+
+    def line(entry: Column, place: Column) -> Column:
         record = entry["record"]
         fields = [shown(record[name]) for name in ("name", "country", "legal_form", "lei")]
-        return F.concat(entry["rank"].cast("string"), F.lit(". "), F.concat_ws(" | ", *fields))
+        number = (place + 1).cast("string")
+        return F.concat(number, F.lit(". "), F.concat_ws(" | ", *fields))
 
+    about = clients.select(
+        "client_id",
+        client_line(F.col("entity_name"), F.col("country"), F.col("legal_form")).alias("client_line"),
+    )
     lines = F.array_join(F.transform("candidates", line), "\n")
-    return lists.select("client_id", F.size("candidates").alias("n"), lines.alias("candidate_list"))
+    return lists.join(about, "client_id", "left").select(
+        "client_id", "client_line", F.size("candidates").alias("n"), lines.alias("candidate_list")
+    )
 
 
 def _kind(value: Column) -> Column:
@@ -193,17 +215,21 @@ def resolve(
     registry: DataFrame,
     candidates: DataFrame | None = None,
     answers: DataFrame | None = None,
+    names: bool = True,
 ) -> DataFrame:
     """Resolve every client row against the whole registry.
 
     With ``candidates`` (``query_id`` holding client ids, from ``top_vectors``) the vector ways
     are used and name similarity serves the clients that have none; without, name similarity
-    alone.
+    alone.  Without ``names`` such clients stay open: as having no candidates, or no index to
+    search where ``candidates`` are not given at all.
     """
     if candidates is None:
-        return finish(by_name(clients, registry), "by_name")
+        return finish(by_name(clients, registry), "by_name") if names else finish(clients, otherwise=NO_INDEX)
     found = materialize(by_vector(candidate_lists(candidates, registry), answers))
     seen = lookup_join(clients, found, "client_id", "left")
+    if not names:
+        return finish(seen, "by_vector", otherwise=NO_CANDIDATES)
     # Outcomes by name are only worked out for the clients that need them.
     rest = by_name(seen.where(F.col("by_vector").isNull()).drop("by_vector"), registry)
     resolved = seen.where(F.col("by_vector").isNotNull())

@@ -403,7 +403,7 @@ def _lists(spark, sf_dir) -> DataFrame:
 
 @query
 def rerank_requests(spark, sf_dir):
-    return R.rerank_requests(_lists(spark, sf_dir))
+    return R.rerank_requests(_lists(spark, sf_dir), fixture(spark, sf_dir, "client"))
 
 
 def _outcome(column: str) -> list[Column]:
@@ -433,10 +433,32 @@ def _flat_resolutions(rows: DataFrame) -> DataFrame:
 
 @query
 def resolution_fallback(spark, sf_dir):
-    """Clients with candidates keep their vector outcome; the others have no index to search."""
-    found = R.by_vector(_lists(spark, sf_dir), fixture(spark, sf_dir, "rerank_answers"))
-    seen = fixture(spark, sf_dir, "client").join(found, "client_id", "left")
-    return _flat_resolutions(R.finish(seen, "by_vector", otherwise=R.NO_INDEX)).drop("issues")
+    """Clients with candidates keep their vector outcome; the others have no candidates."""
+    clients, registry = fixture(spark, sf_dir, "client"), fixture(spark, sf_dir, "registry")
+    answers = fixture(spark, sf_dir, "rerank_answers")
+    rows = R.resolve(clients, registry, _candidates(spark, sf_dir), answers, names=False)
+    return _flat_resolutions(rows).drop("issues")
+
+
+@query
+def resolution_without_index(spark, sf_dir):
+    """No vectors and no names to search: every client stays open."""
+    clients, registry = fixture(spark, sf_dir, "client"), fixture(spark, sf_dir, "registry")
+    return _flat_resolutions(R.resolve(clients, registry, names=False))
+
+
+@query
+def listed_by_status(spark, sf_dir):
+    """The listing of one status, cut where it has more rows."""
+    rows = C.top_entities(_curated(spark, sf_dir), 100, "MISMATCH")
+    return rows.select("client_id", "verification_status", "quality_score")
+
+
+@query
+def staged_newest(spark, sf_dir):
+    """A limit that cuts within a run's rows."""
+    rows = latest_staged(fixture(spark, sf_dir, "staged"), 500)
+    return rows.select("client_id", "entity_name", "entity_lei", _time("ingested_at"))
 
 
 def _unmatched_and_registry(spark, sf_dir) -> tuple[DataFrame, DataFrame]:

@@ -334,13 +334,13 @@ ORACLE["fuzzy_best_match"] = _select(
     "SELECT id, match_id, score FROM asked LEFT JOIN best USING (key)",
 )
 
-_INNER = "round(list_inner_product(q.vector, i.vector), 6)"
+_INNER = "round(list_inner_product(q.vector, i.vector), 12)"
 
 
 def _top(queries: str, items: str, out: str) -> str:
     return f"""{out} AS (SELECT q.id AS query_id,
         cast(row_number() OVER (PARTITION BY q.id ORDER BY {_INNER} DESC, i.id) AS INT) AS rank,
-        i.id AS id, {_INNER} AS score FROM {queries} q, {items} i QUALIFY rank <= 5)"""
+        i.id AS id, round({_INNER}, 6) AS score FROM {queries} q, {items} i QUALIFY rank <= 5)"""
 
 
 ORACLE["vector_topk"] = _select(
@@ -367,15 +367,19 @@ _CANDIDATES = [
         lpad(cast(vec_id AS VARCHAR), 17, '0')) AS id, embedding::DOUBLE[] AS vector
         FROM embeddings WHERE vec_id IN (SELECT c_custkey FROM customer))""",
     _top("client_vectors", "registry_vectors", "top"),
-    """listed AS (SELECT query_id AS client_id, rank, score, registry.*
-        FROM top LEFT JOIN registry ON top.id = registry.lei)""",
+    """listed AS (SELECT query_id AS client_id, score, registry.*,
+        row_number() OVER (PARTITION BY query_id ORDER BY top.rank) AS rank
+        FROM top JOIN registry ON top.id = registry.lei)""",
 ]
 ORACLE["rerank_requests"] = _select(
-    _fixtures("registry") + _CANDIDATES,
-    """SELECT client_id, cast(count(*) AS INT) AS n, string_agg(concat(rank, '. ',
-        coalesce(name, 'None'), ' | ', coalesce(country, 'None'), ' | ',
-        coalesce(legal_form, 'None'), ' | ', coalesce(lei, 'None')), chr(10) ORDER BY rank)
-        AS candidate_list FROM listed GROUP BY client_id""",
+    _fixtures("registry", "client") + _CANDIDATES,
+    """SELECT listed.client_id, concat('"', coalesce(any_value(entity_name), 'None'), '" (country: ',
+        coalesce(nullif(any_value(client.country), ''), 'unknown'), ', legal form: ',
+        coalesce(nullif(any_value(client.legal_form), ''), 'unknown'), ')') AS client_line,
+        cast(count(*) AS INT) AS n, string_agg(concat(rank, '. ',
+        coalesce(name, 'None'), ' | ', coalesce(listed.country, 'None'), ' | ',
+        coalesce(listed.legal_form, 'None'), ' | ', coalesce(lei, 'None')), chr(10) ORDER BY rank)
+        AS candidate_list FROM listed LEFT JOIN client USING (client_id) GROUP BY listed.client_id""",
 )
 # Which answers are usable: an object whose match is a whole number or null and whose confidence,
 # if there is one, reads as a number.
@@ -405,7 +409,7 @@ ORACLE["rerank_apply"] = _select(
 ORACLE["resolution_fallback"] = _select(
     _fixtures("registry", "rerank_answers", "client") + _CANDIDATES + _ANSWERED,
     """SELECT client_id, lei, name, round(coalesce(raw_score, 0), 4) AS match_score,
-    coalesce(match_method, 'no_index') AS match_method
+    coalesce(match_method, 'embedding_no_candidates') AS match_method
     FROM client LEFT JOIN by_vector USING (client_id)""",
 )
 
@@ -523,3 +527,20 @@ ORACLE["upload_rejects"] = _select(
         coalesce(entity_lei, ''), ',surplus') END AS malformed
     FROM numbered WHERE n % 7 = 0 OR n % 11 = 0""",
 )
+ORACLE["resolution_without_index"] = _select(
+    _fixtures("client"),
+    """SELECT client_id, NULL::VARCHAR AS lei, NULL::VARCHAR AS name, 0::DOUBLE AS match_score,
+    'no_index' AS match_method,
+    concat('Low match confidence: 0.00', chr(10), 'No match found') AS issues FROM client""",
+)
+ORACLE["listed_by_status"] = _select(
+    _results(),
+    """SELECT client_id, verification_status, quality_score FROM results
+    WHERE verification_status = 'MISMATCH' ORDER BY quality_score DESC, client_id LIMIT 100""",
+)
+ORACLE["staged_newest"] = _select(
+    _fixtures("staged"),
+    """SELECT client_id, entity_name, entity_lei,
+    strftime(ingested_at, '%Y-%m-%d %H:%M:%S') AS ingested_at
+    FROM staged ORDER BY staged.ingested_at DESC, client_id LIMIT 500""",
+)

@@ -120,7 +120,12 @@ FOUND = [
 
 def test_rerank_requests(spark):
     lists = candidate_lists(candidates(spark, *FOUND), registry(spark, *RECORDS))
-    lines = {row.client_id: row.candidate_list for row in rerank_requests(lists).collect()}
+    asked = clients(spark, client("A", "n", country="DE", form=""), client("B", None))
+    requests = {row.client_id: row for row in rerank_requests(lists, asked).collect()}
+    assert requests["A"].client_line == '"n" (country: DE, legal form: unknown)'
+    assert requests["B"].client_line == '"None" (country: unknown, legal form: unknown)'
+    assert requests["X"].client_line is None
+    lines = {name: row.candidate_list for name, row in requests.items()}
     assert lines["A"] == (
         "1. Google LLC | US | None | L2\n"
         "2. Apple Inc. | US | Corporation | L1\n"
@@ -150,6 +155,19 @@ def test_all_ways_together(spark):
     }
 
 
+def test_candidates_without_a_record_are_left_out(spark):
+    rows = [("A", 1, "GONE", 0.95), ("A", 2, "L1", 0.7), ("B", 1, "GONE", 0.9)]
+    found = candidates(spark, *rows)
+    lists = candidate_lists(found, registry(spark, *RECORDS))
+    assert [(r.client_id, r.by_vector.record.lei, r.by_vector.score) for r in by_vector(lists).collect()] == [
+        ("A", "L1", 0.7)
+    ]
+    both = clients(spark, client("A", "n"), client("B", "n"))
+    got = {r.client_entity.client_id: r for r in resolve(both, registry(spark, *RECORDS), found, names=False).collect()}
+    assert got["B"].match_method == "embedding_no_candidates" and got["B"].match_score == 0.0
+    assert resolve(both, registry(spark, *RECORDS), names=False).first().match_method == "no_index"
+
+
 def test_answer_of_none_is_no_match(spark):
     lists = candidate_lists(candidates(spark, *FOUND), registry(spark, *RECORDS))
     answers = spark.createDataFrame([("A", '{"match": null}')], "client_id string, answer string")
