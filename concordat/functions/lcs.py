@@ -11,6 +11,8 @@ import numpy as np
 
 _WORD = 64
 _PAIR_CHUNK = 4096
+# Characters from which a pair runs alone.
+_LONG = 255
 _HISTOGRAM_BINS = 64
 
 
@@ -74,21 +76,53 @@ def _word_kind(length: int) -> type:
     return next((k for k in (np.uint16, np.uint32) if length <= np.iinfo(k).bits), np.uint64)
 
 
+def _lcs_words(left: list[str], right: list[str]) -> np.ndarray:
+    """The recurrence for many pairs of about one length at a time."""
+    a_codes, b_codes = _code_points(left), _code_points(right)
+    words = -(-a_codes.shape[1] // _WORD)
+    padded = np.zeros((len(left), words * _WORD), dtype=np.uint32)
+    padded[:, : a_codes.shape[1]] = a_codes
+    state = _ones(words, len(left))
+    for column in b_codes.T:
+        equal = (padded == column[:, None]) & (column != 0)[:, None]
+        packed = np.packbits(equal, axis=1, bitorder="little").view(np.uint64)
+        state = _advance(state, [packed[:, word] for word in range(words)])
+    return _zero_bits(state, _lengths(left))
+
+
+def _lcs_long(left: str, right: str) -> int:
+    """The same recurrence for one long pair, its row of bits held in one whole number."""
+    where: dict[str, list[int]] = {}
+    for place, letter in enumerate(left):
+        where.setdefault(letter, []).append(place)
+    masks = {}
+    for letter, places in where.items():
+        bits = np.zeros(len(left), dtype=np.uint8)
+        bits[places] = 1
+        masks[letter] = int.from_bytes(np.packbits(bits, bitorder="little").tobytes(), "little")
+    row = full = (1 << len(left)) - 1
+    for letter in right:
+        both = row & masks.get(letter, 0)
+        row = ((row + both) | (row - both)) & full
+    return len(left) - row.bit_count()
+
+
 def lcs_pairs(left: list[str], right: list[str]) -> np.ndarray:
-    """Common-subsequence length of ``left[i]`` and ``right[i]`` for every ``i``."""
+    """Common-subsequence length of ``left[i]`` and ``right[i]`` for every ``i``.
+
+    Pairs are grouped by the magnitude of their longer side, so one long pair does not widen the
+    tables of all others, and long pairs run alone.
+    """
     found = np.zeros(len(left), dtype=np.int64)
-    for start in range(0, len(left), _PAIR_CHUNK):
-        a, b = left[start : start + _PAIR_CHUNK], right[start : start + _PAIR_CHUNK]
-        a_codes, b_codes = _code_points(a), _code_points(b)
-        words = -(-a_codes.shape[1] // _WORD)
-        padded = np.zeros((len(a), words * _WORD), dtype=np.uint32)
-        padded[:, : a_codes.shape[1]] = a_codes
-        state = _ones(words, len(a))
-        for column in b_codes.T:
-            equal = (padded == column[:, None]) & (column != 0)[:, None]
-            packed = np.packbits(equal, axis=1, bitorder="little").view(np.uint64)
-            state = _advance(state, [packed[:, word] for word in range(words)])
-        found[start : start + len(a)] = _zero_bits(state, _lengths(a))
+    longer = np.maximum(_lengths(left), _lengths(right))
+    for place in np.flatnonzero(longer > _LONG).tolist():
+        found[place] = _lcs_long(left[place], right[place])
+    magnitude = np.array([int(size).bit_length() for size in longer])
+    for size in np.unique(magnitude[longer <= _LONG]):
+        group = np.flatnonzero((magnitude == size) & (longer <= _LONG))
+        for start in range(0, len(group), _PAIR_CHUNK):
+            chosen = group[start : start + _PAIR_CHUNK]
+            found[chosen] = _lcs_words([left[i] for i in chosen], [right[i] for i in chosen])
     return found
 
 

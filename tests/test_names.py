@@ -1,4 +1,5 @@
 import random
+import time
 
 import numpy as np
 from hypothesis import given, settings
@@ -42,6 +43,23 @@ def test_common_subsequence_equals_the_table(pairs):
     assert ratio_pairs(left, right).tolist() == ratio_pairs(right, left).tolist()
 
 
+def test_long_pairs_beside_short_ones():
+    rng = random.Random(8)
+    sizes = [(3, 5), (200, 300), (700, 20), (0, 400), (256, 255), (1200, 900)]
+    pairs = [tuple("".join(rng.choices("abcd 字", k=n)) for n in size) for size in sizes]
+    left, right = [p[0] for p in pairs], [p[1] for p in pairs]
+    assert lcs_pairs(left, right).tolist() == [table_lcs(a, b) for a, b in pairs]
+
+
+def test_one_very_long_pair_does_not_hold_up_a_chunk():
+    rng = random.Random(9)
+    short = ["".join(rng.choices("abcdefgh ", k=20)) for _ in range(4095)]
+    long = "".join(rng.choices("abcdefgh ", k=5000))
+    start = time.process_time()
+    lcs_pairs([*short, long], [*short[::-1], long[::-1]])
+    assert time.process_time() - start < 2
+
+
 @settings(max_examples=60, deadline=None)
 @given(LETTERS, st.lists(LETTERS, min_size=1, max_size=30))
 def test_block_search_equals_trying_every_name(query, names):
