@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import math
+
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,7 +24,7 @@ def _shuffle_partitions(df: DataFrame) -> int:
 
 
 def _bytes(df: DataFrame) -> Column:
-    """About how many bytes a row holds: its texts, and eight for each column."""
+    """About how many bytes a row holds: its texts, and eight for each plain column or field."""
 
     def texts(column: Column, kind: T.DataType) -> list[Column]:
         if isinstance(kind, T.StringType):
@@ -31,8 +33,13 @@ def _bytes(df: DataFrame) -> Column:
             return [text for field in kind for text in texts(column[field.name], field.dataType)]
         return []
 
+    def leaves(kind: T.DataType) -> int:
+        if isinstance(kind, T.StructType):
+            return sum(leaves(field.dataType) for field in kind)
+        return 1
+
     found = [text for field in df.schema for text in texts(F.col(field.name), field.dataType)]
-    return F.octet_length(F.concat_ws("", *found)) + 8 * len(df.columns)
+    return F.octet_length(F.concat_ws("", *found)) + 8 * leaves(df.schema)
 
 
 def fits_broadcast(df: DataFrame) -> bool:
@@ -50,17 +57,20 @@ def fits_broadcast(df: DataFrame) -> bool:
 def hot_keys(df: DataFrame, key: str, min_rows: int = MIN_HOT_ROWS) -> DataFrame | None:
     """Keys with more rows than an average shuffle partition, and how many such parts each makes.
 
-    At most one key per shuffle partition can be that frequent, so the few rows found are fetched
-    and need no second count.  Counting combines on the map side.  None where no key is hot.
+    At most one key per shuffle partition can be that frequent, so that many of the most frequent
+    keys are fetched, with the number of all rows, by one job over one scan.  Counting combines on
+    the map side.  None where no key is hot.
     """
     counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n"))
-    total, most = counts.agg(F.sum("n"), F.max("n")).first()
-    fair = max((total or 0) / _shuffle_partitions(df), min_rows)
-    if (most or 0) <= fair:
+    partitions, seen = _shuffle_partitions(df), Observation()
+    counted = counts.observe(seen, F.sum("n").alias("total"))
+    most = counted.orderBy(F.desc("n")).limit(partitions).collect()
+    fair = max((seen.get["total"] or 0) / partitions, min_rows)
+    found = [(row[key], math.ceil(row.n / fair)) for row in most if row.n > fair]
+    if not found:
         return None
-    pieces = F.ceil(F.col("n") / F.lit(fair)).cast("int").alias(_PIECES)
-    found = counts.where(F.col("n") > fair).select(key, pieces)
-    return df.sparkSession.createDataFrame(found.collect(), found.schema)
+    schema = T.StructType([df.schema[key], T.StructField(_PIECES, T.IntegerType())])
+    return df.sparkSession.createDataFrame(found, schema)
 
 
 def _spread(columns: list[str], pieces: Column) -> Column:
