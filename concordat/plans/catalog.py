@@ -378,7 +378,7 @@ def vector_normalize(spark, sf_dir):
 
 @query
 def name_vector_topk(spark, sf_dir):
-    """Nearest registry names of every client by letter-group vectors; hashed, so without SQL."""
+    """Nearest registry names of every client by letter-group vectors."""
     clients = fixture(spark, sf_dir, "client").select(F.col("client_id").alias("id"), "entity_name")
     records = fixture(spark, sf_dir, "registry").select(F.col("lei").alias("id"), "name")
     return top_vectors(name_vectors(clients, "entity_name"), name_vectors(records, "name"))

@@ -544,3 +544,33 @@ ORACLE["staged_newest"] = _select(
     strftime(ingested_at, '%Y-%m-%d %H:%M:%S') AS ingested_at
     FROM staged ORDER BY staged.ingested_at DESC, client_id LIMIT 500""",
 )
+
+# The hash of a group of three letters, which the library joins by blanks to five bytes: the public
+# 32-bit Murmur3 with seed 42, one block of four bytes and one byte more.
+_NAME_PRODUCTS = """names AS (SELECT 'c' AS side, client_id AS id, entity_name AS name FROM client
+        UNION ALL SELECT 'r', lei, name FROM registry),
+    padded AS (SELECT side, id, '  ' || lower(trim(coalesce(name, ''), ' ')) || '  ' AS p FROM names),
+    grams AS (SELECT side, id, ascii(p[i]) AS a, ascii(p[i + 1]) AS b, ascii(p[i + 2]) AS c
+        FROM (SELECT side, id, p, unnest(range(1, length(p) - 1)) AS i FROM padded)),
+    m1 AS (SELECT side, id, c AS t, ((a + 8192 + b * 65536 + 536870912)::UBIGINT * 3432918353::UBIGINT) % 4294967296 AS k FROM grams),
+    m2 AS (SELECT side, id, t, (((k << 15) | (k >> 17)) & 4294967295) * 461845907::UBIGINT % 4294967296 AS k FROM m1),
+    m3 AS (SELECT side, id, t, xor(42::UBIGINT, k) AS h FROM m2),
+    m4 AS (SELECT side, id, ((((h << 13) | (h >> 19)) & 4294967295) * 5 + 3864292196::UBIGINT) % 4294967296 AS h,
+        (t::UBIGINT * 3432918353::UBIGINT) % 4294967296 AS k FROM m3),
+    m5 AS (SELECT side, id, h, (((k << 15) | (k >> 17)) & 4294967295) * 461845907::UBIGINT % 4294967296 AS k FROM m4),
+    m6 AS (SELECT side, id, xor(xor(h, k), 5::UBIGINT) AS h FROM m5),
+    m7 AS (SELECT side, id, xor(h, h >> 16) * 2246822507::UBIGINT % 4294967296 AS h FROM m6),
+    m8 AS (SELECT side, id, xor(h, h >> 13) * 3266489909::UBIGINT % 4294967296 AS h FROM m7),
+    m9 AS (SELECT side, id, xor(h, h >> 16) % 256 AS slot FROM m8),
+    counts AS (SELECT side, id, slot, count(*)::DOUBLE AS n FROM m9 GROUP BY ALL),
+    scaled AS (SELECT side, id, slot, (n / sqrt(sum(n * n) OVER (PARTITION BY side, id)))::FLOAT::DOUBLE AS v FROM counts),
+    shared AS (SELECT q.id AS query_id, i.id AS id, sum(q.v * i.v) AS s FROM scaled q JOIN scaled i USING (slot)
+        WHERE q.side = 'c' AND i.side = 'r' GROUP BY ALL),
+    products AS (SELECT query_id, id, coalesce(s, 0) AS s
+        FROM (SELECT client_id AS query_id FROM client) CROSS JOIN (SELECT lei AS id FROM registry)
+        LEFT JOIN shared USING (query_id, id))"""
+ORACLE["name_vector_topk"] = _select(
+    [*_fixtures("client", "registry"), _NAME_PRODUCTS],
+    """SELECT query_id, cast(row_number() OVER (PARTITION BY query_id ORDER BY round(s, 12) DESC, id) AS INT) AS rank,
+        id, round(s, 6) AS score FROM products QUALIFY rank <= 5""",
+)
