@@ -2,7 +2,7 @@
 
 Every byte has a printable character; the library merges those characters, and the same table read
 backwards turns tokens into bytes again.  Texts are cut at single blanks between words, where the
-splitting pattern always cuts too, and each distinct piece is encoded once per worker.
+splitting pattern always cuts too, and a worker encodes each distinct piece once.
 """
 
 from __future__ import annotations
@@ -11,19 +11,22 @@ import base64
 import codecs
 import hashlib
 import json
-import re
+import struct
 from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 from concordat.llm.common import text_or_empty
 
 # Pieces that a worker remembers; beyond that it starts afresh, which costs time but no results.
-REMEMBERED = 500_000
-# A blank beside other white space: such texts are encoded whole.
-_WIDE = re.compile(r" \s|\s ")
+REMEMBERED = 800_000
+# Bytes of text, unless one text alone has more, and new pieces encoded at a time.
+BYTES = 16 << 20
+TOGETHER = 256
 
 
 @lru_cache(1)
@@ -86,15 +89,22 @@ class ByteBpe:
             for token, number in json.loads(spec)["model"]["vocab"].items()
             if all(name in byte_of for name in token)
         }
+        self._sizes = np.zeros(max(self._bytes) + 1, np.int64)
+        self._sizes[list(self._bytes)] = [len(token) for token in self._bytes.values()]
+        self.numerals = [b" %d" % number for number in range(max(self._bytes) + 1)]
 
     def ids(self, text: str) -> list[int]:
         return self._tokenizer.encode(text, add_special_tokens=False).ids
 
+    def ends(self, ids: list[int]) -> np.ndarray:
+        """The byte at which each token ends."""
+        return np.cumsum(self._sizes[ids])
+
     def token_bytes(self, ids: Iterable[int]) -> list[bytes]:
         return [self._bytes[number] for number in ids]
 
     def decode(self, ids: Iterable[int]) -> bytes:
-        return b"".join(self.token_bytes(ids))
+        return b"".join([self._bytes[number] for number in ids])
 
     def starts(self, ids: Iterable[int]) -> list[int]:
         """The code point in which each token starts; a token may start inside a character."""
@@ -112,38 +122,89 @@ class ByteBpe:
             yield decoder.decode(token)
 
 
-class Pieces(dict):
-    """What ``made`` makes of the ids of a piece, remembered."""
-
-    def __init__(self, bpe: ByteBpe, before: str, made: Callable[[ByteBpe, list[int]], object]):
-        super().__init__()
-        self._bpe, self._before, self._made = bpe, before, made
-
-    def __missing__(self, piece: str):
-        value = self._made(self._bpe, self._bpe.ids(self._before + piece))
-        if len(self) >= REMEMBERED:
-            self.clear()
-        self[piece] = value
-        return value
-
-
 class Encoder:
-    """Encodes texts piece by piece into a list of what ``made`` makes of each piece's ids."""
+    """Encodes an Arrow column of texts piece by piece.
 
-    def __init__(self, spec: str, made: Callable[[ByteBpe, list[int]], object]) -> None:
-        self._bpe, self._made = ByteBpe(spec), made
-        self._first, self._later = (Pieces(self._bpe, before, made) for before in ("", " "))
+    A blank between two other characters that are no white space always begins a new match of the
+    splitting pattern, so texts are cut there and each distinct piece is encoded once; new pieces
+    are encoded together, and the tokens' byte offsets tell which piece they belong to.  ``made`` turns a
+    piece's ids into bytes, one value or more, which are then gathered for the whole texts.
+    """
 
-    def __call__(self, text: str) -> list:
-        if _WIDE.search(text):
-            return [self._made(self._bpe, self._bpe.ids(text))]
-        head, *rest = text.split(" ")
-        later = self._later
-        return [self._first[head], *[later[piece] for piece in rest]]
+    def __init__(self, spec: str, made: Callable[[ByteBpe, list[int]], tuple[bytes, ...]]) -> None:
+        self._bpe, self._made = ByteBpe(spec), made
+        self._known: dict[str, tuple[bytes, ...]] = {}
+        self._heads: dict[str, tuple[bytes, ...]] = {}
+        self._width = len(made(self._bpe, []))
+
+    def _learn(self, pieces: list[str]) -> None:
+        """Remember pieces that follow a blank."""
+        for at in range(0, len(pieces), TOGETHER):
+            some = pieces[at : at + TOGETHER]
+            ids = self._bpe.ids(" " + " ".join(some))
+            sizes = np.cumsum([len(piece.encode()) + 1 for piece in some])
+            cuts = [0, *np.searchsorted(self._bpe.ends(ids), sizes, "right").tolist()]
+            for piece, a, b in zip(some, cuts, cuts[1:]):
+                self._known[piece] = self._made(self._bpe, ids[a:b])
+
+    def __call__(self, texts: pa.Array) -> Iterator[list[list[memoryview]]]:
+        """For some texts after others, each of the values of every text."""
+        texts = texts.cast(pa.large_string())
+        sizes = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))
+        first = 0
+        while first < len(texts):
+            done = sizes[first - 1] if first else 0
+            past = max(first + 1, int(np.searchsorted(sizes, done + BYTES)))
+            yield self._some(texts[first:past])
+            first = past
+
+    def _some(self, texts: pa.Array) -> list[list[memoryview]]:
+        cut = pc.split_pattern(texts, " ")
+        bounds = np.append(0, np.cumsum(pc.list_value_length(cut).to_numpy(zero_copy_only=False)))
+        heads = bounds[:-1]
+        coded = cut.flatten().dictionary_encode()
+        pieces = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        codes = coded.indices.to_numpy().astype(np.int64)
+        for known in (self._known, self._heads):
+            if len(known) > REMEMBERED:
+                known.clear()
+        # Pieces that touch other white space are never known, and texts with one are encoded whole.
+        self._learn(
+            [p for p in pieces if p not in self._known and p and not (p[0].isspace() or p[-1].isspace())]
+        )
+        values = list(map(self._known.get, pieces))
+        odd = np.array([value is None for value in values], bool)[codes]
+        begins = [pieces[code] for code in codes[heads].tolist()]
+        open_ended = np.array([p[-1:].isspace() for p in begins], bool) & (np.diff(bounds) > 1)
+        odd[heads] = open_ended
+        whole = np.add.reduceat(odd.astype(np.int64), heads) > 0
+        for at in np.flatnonzero(whole).tolist():
+            begins[at] = texts[at].as_py()
+            codes[bounds[at] : bounds[at + 1]] = len(pieces)
+        # The first piece of a text follows no blank, so each text's is a value of its own.
+        codes[heads] = len(pieces) + 1 + np.arange(len(heads))
+        none = (b"",) * self._width
+        values = [none if value is None else value for value in values]
+        values.append(none)
+        for begin, alone in zip(begins, whole.tolist()):
+            value = self._heads.get(begin)
+            if value is None:
+                value = self._made(self._bpe, self._bpe.ids(begin))
+                if not alone:
+                    self._heads[begin] = value
+            values.append(value)
+        found = []
+        for column in zip(*values):
+            joined = pa.array(column, pa.large_binary()).take(pa.array(codes))
+            _, at, data = joined.buffers()
+            ends = np.frombuffer(at, np.int64)[joined.offset :][bounds].tolist()
+            view = memoryview(data) if data else memoryview(b"")
+            found.append([view[a:b] for a, b in zip(ends, ends[1:])])
+        return found
 
 
 @lru_cache(2)
-def encoder(spec: str, made: Callable[[ByteBpe, list[int]], object]) -> Encoder:
+def encoder(spec: str, made: Callable[[ByteBpe, list[int]], tuple[bytes, ...]]) -> Encoder:
     """One for each worker, so that what is remembered outlives a task."""
     return Encoder(spec, made)
 
@@ -153,8 +214,9 @@ def shared_spec(spark: SparkSession, spec: str):
     return spark.sparkContext.broadcast(spec)
 
 
-def _plain(bpe: ByteBpe, ids: list[int]) -> list[int]:
-    return ids
+def little_endian(bpe: ByteBpe, ids: list[int]) -> tuple[bytes]:
+    """The ids as 32-bit numbers."""
+    return (struct.pack(f"<{len(ids)}I", *ids),)
 
 
 def encode(docs: DataFrame, spec: str) -> DataFrame:
@@ -166,10 +228,11 @@ def encode(docs: DataFrame, spec: str) -> DataFrame:
     sent = shared_spec(docs.sparkSession, spec)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode_text, bpe = encoder(sent.value, _plain), ByteBpe(sent.value)
+        encode_texts, bpe = encoder(sent.value, little_endian), ByteBpe(sent.value)
         for batch in batches:
-            ids = [[n for part in encode_text(t) for n in part] for t in batch.column(1).to_pylist()]
-            starts = [bpe.starts(found) for found in ids]
+            found = [raw for (some,) in encode_texts(batch.column(1)) for raw in some]
+            ids = [list(raw.cast("I")) if len(raw) else [] for raw in found]
+            starts = [bpe.starts(one) for one in ids]
             columns = [batch.column(0), pa.array(ids, INTS), pa.array(starts, INTS)]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "ids", "starts"])
 
@@ -199,7 +262,7 @@ def decode(tokens: DataFrame, spec: str) -> DataFrame:
 
 def _digested(bpe: ByteBpe, ids: list[int]) -> tuple[bytes, bytes]:
     """The ids as text and what they decode to; both are joined piece by piece."""
-    return "".join(f" {number}" for number in ids).encode(), bpe.decode(ids)
+    return b"".join([bpe.numerals[number] for number in ids]), bpe.decode(ids)
 
 
 def encode_digests(docs: DataFrame, spec: str) -> DataFrame:
@@ -211,15 +274,14 @@ def encode_digests(docs: DataFrame, spec: str) -> DataFrame:
     sent = shared_spec(docs.sparkSession, spec)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode_text = encoder(sent.value, _digested)
+        encode_texts = encoder(sent.value, _digested)
         for batch in batches:
             counts, ids, data = [], [], []
-            for text in batch.column(1).to_pylist():
-                parts = encode_text(text)
-                joined = b"".join([part[0] for part in parts])
-                counts.append(joined.count(b" "))
-                ids.append(hashlib.sha256(joined[1:]).hexdigest())
-                data.append(hashlib.sha256(b"".join([part[1] for part in parts])).hexdigest())
+            for numerals, bodies in encode_texts(batch.column(1)):
+                for joined, body in zip(numerals, bodies):
+                    counts.append(int((np.frombuffer(joined, np.uint8) == 0x20).sum()))
+                    ids.append(hashlib.sha256(joined[1:]).hexdigest())
+                    data.append(hashlib.sha256(body).hexdigest())
             columns = [batch.column(0), pa.array(counts, pa.int64()), pa.array(ids), pa.array(data)]
             yield pa.RecordBatch.from_arrays(
                 columns, ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]

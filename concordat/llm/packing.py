@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from concordat.llm.byte_bpe import ByteBpe, encoder, shared_spec
+from concordat.llm.byte_bpe import encoder, little_endian, shared_spec
 from concordat.llm.common import staged, text_or_empty
 
 ISLAND = 8192  # pieces on an island, about
@@ -35,10 +35,6 @@ PIECE = "doc_id {}, piece int, start long, length long, ids_crc32 long"
 # --- pieces ------------------------------------------------------------------------------------
 
 
-def _little_endian(bpe: ByteBpe, ids: list[int]) -> bytes:
-    return np.asarray(ids, "<u4").tobytes()
-
-
 def token_pieces(docs: DataFrame, spec: str, capacity: int, end: int) -> DataFrame:
     """Each document's ids and the ``end`` id, cut where longer than ``capacity``.
 
@@ -48,11 +44,12 @@ def token_pieces(docs: DataFrame, spec: str, capacity: int, end: int) -> DataFra
     last = np.asarray([end], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode_text = encoder(sent.value, _little_endian)
+        encode_texts = encoder(sent.value, little_endian)
         for batch in batches:
             found = []
-            for row, text in enumerate(batch.column(1).to_pylist()):
-                ids = b"".join(encode_text(text)) + last
+            texts = (raw for (some,) in encode_texts(batch.column(1)) for raw in some)
+            for row, raw in enumerate(texts):
+                ids = bytes(raw) + last
                 total = len(ids) // 4
                 start, upto = 0, total % capacity or capacity
                 for piece in range(math.ceil(total / capacity)):
