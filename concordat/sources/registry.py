@@ -11,19 +11,39 @@ from concordat.operators.dedupe import last_wins
 from concordat.operators.ordinal import in_batches
 
 
-def read_pages(spark: SparkSession, path: str | list[str], *, multiline: bool = False) -> DataFrame:
+def read_pages(
+    spark: SparkSession, path: str | list[str], *, multiline: bool = False, ordered: bool = False
+) -> DataFrame:
     """Registry pages (JSON objects with a ``data`` list).
 
     One page per line splits over many tasks; ``multiline`` takes files that each hold one
-    pretty-printed page.  A file that cannot be parsed fails the read.
+    pretty-printed page.  A file that cannot be parsed fails the read.  ``ordered`` adds each page's
+    place in the extract, by file name and line, as ``page``.
     """
     reader = spark.read.schema(S.REGISTRY_PAGE).option("mode", "FAILFAST")
-    return reader.json(path, multiLine=multiline)
+    pages = reader.json(path, multiLine=multiline)
+    if not ordered:
+        return pages
+    place = F.struct(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("row"),
+    )
+    return pages.select("data", place.alias("page"))
 
 
 def flatten_pages(pages: DataFrame) -> DataFrame:
-    """Registry records of the pages; an absent or null node anywhere on a path gives null."""
-    item = pages.select(F.explode("data").alias("item"))
+    """Registry records of the pages; an absent or null node anywhere on a path gives null.
+
+    Pages that know their ``page`` give records an ``ordinal``, the place in the extract, so that of
+    repeated identifiers the last one can win.
+    """
+    more = []
+    if "page" in pages.columns:
+        item = pages.select("page", F.posexplode("data").alias("position", "item"))
+        more = [F.struct("page", "position").alias("ordinal")]
+    else:
+        item = pages.select(F.explode("data").alias("item"))
     attributes = F.col("item.attributes")
     return item.select(
         F.col("item.id").alias("lei"),
@@ -32,6 +52,7 @@ def flatten_pages(pages: DataFrame) -> DataFrame:
         attributes["entity"]["legalForm"]["name"].alias("legal_form"),
         attributes["registration"]["status"].alias("status"),
         attributes["registrationAuthority"]["id"].alias("registration_authority"),
+        *more,
     )
 
 

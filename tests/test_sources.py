@@ -186,3 +186,15 @@ def test_batches_are_full_and_in_order(spark):
     rows = G.lookup_batches(ids, 200).orderBy("lei").collect()
     assert [r.batch for r in rows] == [i // 200 for i in range(1050)]
     assert [r.ordinal for r in with_ordinal(ids, "lei").orderBy("lei").collect()] == list(range(1050))
+
+
+def test_last_record_of_an_extract_wins(spark, tmp_path):
+    def page(*rows):
+        return json.dumps({"data": [{"id": i, "attributes": {"registration": {"status": t}}} for i, t in rows]})
+
+    lines = [page(("L1", "a"), ("L2", "b"), ("L1", "c")), page(("L3", "d"), ("L2", "e"))]
+    (tmp_path / "one.jsonl").write_text("\n".join(lines))
+    (tmp_path / "two.jsonl").write_text(page(("L3", "f")))
+    pages = G.read_pages(spark, str(tmp_path), ordered=True)
+    records = G.current_records(G.flatten_pages(pages))
+    assert {r.lei: r.status for r in records.collect()} == {"L1": "c", "L2": "e", "L3": "f"}
