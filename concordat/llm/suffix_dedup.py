@@ -32,6 +32,8 @@ HEAVY = 1 << 16
 CLASS = 4
 # Parts for each shuffle partition.
 PARTS = 2
+# Bytes of segments sorted together, unless one anchor alone has more.
+SORTED = 1 << 21
 # Longest stretch worked on at once; places within it take 24 bits.
 _STRETCH = 1 << 23
 _PLACE = np.uint64((1 << 24) - 1)
@@ -321,6 +323,17 @@ def _later_windows(bodies: list[bytes], windows: np.ndarray, memory: int) -> np.
     return np.column_stack([owner[later], inside[later], inside[later] + LENGTH])
 
 
+def _sorted_together(rows: np.ndarray, keys: np.ndarray, windows: np.ndarray) -> Iterator[np.ndarray]:
+    """The rows whose key occurs more than once, in batches that hold all rows of their keys."""
+    _, group, many = np.unique(keys, return_inverse=True, return_counts=True)
+    sizes = np.bincount(group, windows + LENGTH) * (many > 1)
+    batch = ((np.cumsum(sizes) - sizes) // SORTED).astype(np.int64)
+    batch[many == 1] = -1
+    own = batch[group]
+    for number in np.unique(own[own >= 0]).tolist():
+        yield rows[own == number]
+
+
 def _shard_spans(packed: DataFrame, memory: int) -> DataFrame:
     """``doc``, ``tag`` and the spans to remove that each shard finds."""
 
@@ -356,9 +369,7 @@ def _shard_spans(packed: DataFrame, memory: int) -> DataFrame:
             sizes = made["windows"][later].astype(np.int64) + LENGTH - 1
             out.append((docs[later], tags[later], np.column_stack([begins, begins + sizes])))
             firsts = np.array(firsts)
-            _, group, many = np.unique(keys[firsts], return_inverse=True, return_counts=True)
-            met = firsts[many[group] > 1]
-            if len(met):
+            for met in _sorted_together(firsts, keys[firsts], made["windows"][firsts]):
                 found = _later_windows([bodies[i] for i in met.tolist()], made["windows"][met], memory)
                 own = met[found[:, 0]]
                 begins = made["start"][own].astype(np.int64)
