@@ -23,9 +23,9 @@ from pyspark.sql import DataFrame, SparkSession
 from concordat.llm.common import text_or_empty
 
 # Pieces that a worker remembers; beyond that it starts afresh, which costs time but no results.
-REMEMBERED = 800_000
+REMEMBERED = 500_000
 # Bytes of text, unless one text alone has more, and new pieces encoded at a time.
-BYTES = 16 << 20
+BYTES = 8 << 20
 TOGETHER = 256
 
 
