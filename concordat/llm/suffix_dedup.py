@@ -11,6 +11,7 @@ sorted before them are repeats of the first in document order.
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -334,8 +335,13 @@ def _sorted_together(rows: np.ndarray, keys: np.ndarray, windows: np.ndarray) ->
         yield rows[own == number]
 
 
-def _shard_spans(packed: DataFrame, memory: int) -> DataFrame:
-    """``doc``, ``tag`` and the spans to remove that each shard finds."""
+def _text_part(doc: int, parts: int) -> int:
+    """The part of a text's number, as ``F.crc32`` of its decimals gives it too."""
+    return zlib.crc32(b"%d" % doc) % parts
+
+
+def _shard_spans(packed: DataFrame, memory: int, parts: int) -> DataFrame:
+    """The spans to remove that each shard finds, packed into one row for each part of the texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, docs, tags, made, bodies = [], [], [], [], []
@@ -378,16 +384,29 @@ def _shard_spans(packed: DataFrame, memory: int) -> DataFrame:
         order = np.lexsort((spans[:, 0], tags, docs))
         docs, tags, spans = docs[order], tags[order], spans[order]
         cuts = _runs(docs, tags)
-        merged = [_merged(spans[a:b]).astype("<u4").tobytes() for a, b in zip(cuts, cuts[1:])]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(docs[cuts[:-1]]), pa.array(tags[cuts[:-1]]), pa.array(merged, pa.binary())]
-            if len(docs)
-            else [pa.array([], pa.int64()), pa.array([], pa.int64()), pa.array([], pa.binary())],
-            ["doc", "tag", "made"],
-        )
+        merged = [_merged(spans[a:b]).astype("<u4") for a, b in zip(cuts, cuts[1:])]
+        heads = cuts[:-1] if len(docs) else cuts[:0]
+        docs, tags = docs[heads], tags[heads]
+        part = np.array([_text_part(doc, parts) for doc in docs.tolist()], np.int64)
+        order = np.argsort(part, kind="stable")
+        found = []
+        bounds = _runs(part[order])
+        for a, b in zip(bounds[:-1], bounds[1:]):
+            own = order[a:b]
+            counts = np.array([len(merged[i]) for i in own], "<u4")
+            body = np.concatenate([merged[i] for i in own])
+            texts = (docs[own].astype("<i8"), tags[own].astype("<i8"), counts, body)
+            found.append((int(part[own[0]]), *(column.tobytes() for column in texts)))
+        names = ["part", "docs", "tags", "counts", "made"]
+        kinds = [pa.int32()] + [pa.binary()] * 4
+        values = zip(*found) if found else [[]] * 5
+        arrays = [pa.array(column, kind) for column, kind in zip(values, kinds)]
+        yield pa.RecordBatch.from_arrays(arrays, names)
 
     columns = ("keys", "docs", "tags", "made", "data", "spans")
-    return packed.select(*columns).mapInArrow(run, "doc long, tag long, made binary")
+    return packed.select(*columns).mapInArrow(
+        run, "part int, docs binary, tags binary, counts binary, made binary"
+    )
 
 
 def _merged(spans: np.ndarray) -> np.ndarray:
@@ -415,9 +434,9 @@ def _placed(docs: DataFrame) -> DataFrame:
     return docs.select(doc.alias("doc"), tag.alias("tag"), "text", others.alias("row"))
 
 
-def repeated_spans(docs: DataFrame, memory: int = MEMORY) -> DataFrame:
-    """``doc``, ``tag`` and packed spans to remove, for placed texts; one row or more for each text."""
-    spark = docs.sparkSession
+def repeated_spans(docs: DataFrame, parts: int, memory: int = MEMORY) -> DataFrame:
+    """The spans to remove of placed texts, packed by the part of the texts' numbers."""
+    spark, text_parts = docs.sparkSession, parts
     parts = partitions(spark)
     texts = docs.select("doc", "tag", text_or_empty().alias("text"))
     packed = _anchor_rows(texts, PARTS * parts).repartition(parts, "part")
@@ -438,7 +457,7 @@ def repeated_spans(docs: DataFrame, memory: int = MEMORY) -> DataFrame:
         "doc", "tag", F.col("made").isNull()
     )
     shards = _segment_rows(rows, PARTS * parts, heavy).repartition(parts, "part")
-    return staged(_shard_spans(shards, memory), "spans")
+    return staged(_shard_spans(shards, memory, text_parts), "spans")
 
 
 def remove_repeats(docs: DataFrame, memory: int = MEMORY) -> DataFrame:
@@ -455,21 +474,27 @@ def remove_repeats(docs: DataFrame, memory: int = MEMORY) -> DataFrame:
     ``n_spans`` and ``kept_sha256``, the digest of the bytes that stay.
     """
     placed = _placed(docs)
-    found = repeated_spans(placed, memory)
+    tasks = partitions(docs.sparkSession)
+    parts = 4 * tasks
+    found = repeated_spans(placed, parts, memory)
     inner = placed.schema["row"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        here, waiting = None, []
+        here, found = None, {}
         for batch in batches:
             taken, texts, told = [], [], []
-            columns = (column.to_pylist() for column in batch.columns[:4])
-            for at, (doc, tag, made, text) in enumerate(zip(*columns)):
-                if (doc, tag) != here:
-                    here, waiting = (doc, tag), []
-                if made is not None:
-                    waiting.append(np.frombuffer(made, SPAN))
+            columns = (column.to_pylist() for column in batch.columns[:7])
+            for at, (part, doc, tag, packed, counts, made, text) in enumerate(zip(*columns)):
+                if part != here:
+                    here, found = part, {}
+                if packed is not None:
+                    pairs = zip(np.frombuffer(packed, "<i8").tolist(), np.frombuffer(tag, "<i8").tolist())
+                    cuts = np.cumsum(np.frombuffer(counts, "<u4"))[:-1]
+                    for pair, own in zip(pairs, np.split(np.frombuffer(made, SPAN), cuts)):
+                        found.setdefault(pair, []).append(own)
                     continue
                 raw, spans = (text or "").encode(), np.zeros((0, 2), np.int64)
+                waiting = found.get((doc, int.from_bytes(tag, "big", signed=True)))
                 if waiting:
                     every = np.sort(np.concatenate(waiting), order=["start", "past"])
                     spans = _merged(every.view("<u4").reshape(-1, 2).astype(np.int64))
@@ -486,7 +511,7 @@ def remove_repeats(docs: DataFrame, memory: int = MEMORY) -> DataFrame:
             columns = zip(*told) if told else [[]] * 4
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column(4).take(pa.array(taken, pa.int64())),
+                    batch.column(7).take(pa.array(taken, pa.int64())),
                     pa.array(texts, pa.string()),
                     *[pa.array(values, kind) for values, kind in zip(columns, kinds)],
                 ],
@@ -497,14 +522,28 @@ def remove_repeats(docs: DataFrame, memory: int = MEMORY) -> DataFrame:
     for name in ("n_bytes", "n_removed", "n_spans"):
         schema = schema.add(name, "long")
     schema = schema.add("kept_sha256", "string")
-    nothing = F.lit(None)
-    rows = placed.withColumn("made", nothing.cast("binary")).unionByName(
-        found.withColumns({"text": nothing.cast("string"), "row": nothing.cast(inner.dataType)})
+    part = F.pmod(F.crc32(F.col("doc").cast("string").cast("binary")), F.lit(parts)).cast("int")
+    none = F.lit(None).cast("binary")
+    texts = placed.select(
+        part.alias("part"),
+        "doc",
+        F.unhex(F.lpad(F.hex("tag"), 16, "0")).alias("tags"),
+        *[none.alias(name) for name in ("docs", "counts", "made")],
+        "text",
+        "row",
+    )
+    spans = found.withColumns(
+        {
+            "doc": F.lit(None).cast("long"),
+            "text": F.lit(None).cast("string"),
+            "row": F.lit(None).cast(inner.dataType),
+        }
     )
     rows = (
-        rows.select("doc", "tag", "made", "text", "row")
-        .repartition(partitions(docs.sparkSession), "doc", "tag")
-        .sortWithinPartitions("doc", "tag", F.col("made").isNull())
+        texts.unionByName(spans)
+        .select("part", "doc", "tags", "docs", "counts", "made", "text", "row")
+        .repartition(tasks, "part")
+        .sortWithinPartitions("part", F.col("docs").isNull())
     )
     return rows.mapInArrow(run, schema).select(
         *[F.col("text" if name == "text" else f"row.`{name}`") for name in docs.columns],
