@@ -5,10 +5,12 @@ of their first few n-grams; documents meet there, never elsewhere.  Who meets is
 trees: the sets that a document is compared with are stored in a trie, a walk down shares the
 overlap counted so far, and subtrees that can no longer reach the threshold are cut off.
 
-Documents with equal sets are one class from the start.  Of the classes that meet at an n-gram, each
-is first compared with one leader.  Those that this links are one component; only classes of
-different components that still meet are compared after that, so a large group of copies costs
-about as many comparisons as it has members, and no link between components is lost.
+Documents with equal sets are one class from the start.  Each class first joins the family of one
+leader that it meets.  A family is compared with its leader in a prefix tree and, through their few
+differences from the leader, its members with each other, inside one task.  After that only classes
+of different components that meet, that no family has compared and whose maps of the parities of
+their elements allow it are paired, so a large group of copies is never expanded into pairs, and no
+link between components is lost.
 """
 
 from __future__ import annotations
@@ -31,8 +33,9 @@ COUNTERS = 1 << 18
 CHUNKS = 16
 # An n-gram whose counter holds this many times the mean is put after all others.
 HEAVY = 8
-# Sets compared with one leader in one task.
-COMPANY = 256
+# Members of a family, and elements of their sets, that one task compares with each other, about.
+FAMILY = 4096
+FAMILY_ELEMENTS = 1 << 22
 # Elements of a set that an edge of the tree holds.
 EDGE = 32
 PARTS = 4
@@ -40,6 +43,8 @@ PARTS = 4
 _BITS = np.uint64(48)
 _MASK = np.uint64((1 << 48) - 1)
 _MOST = 1 << 10
+# Bits of a set's parity map, in words of 64.
+_MAP = [f"map{i}" for i in range(4)]
 
 
 @dataclass(frozen=True)
@@ -65,8 +70,19 @@ class Likeness:
         def later(n: Column) -> Column:
             return F.ceil(self.percent * n / 100) - 1
 
-        needed = F.ceil(self.percent * (a + b) / (100 + self.percent))
-        return common + F.greatest(later(a), later(b)) >= needed
+        return common + F.greatest(later(a), later(b)) >= self._needed(a, b)
+
+    def _needed(self, a: Column, b: Column) -> Column:
+        return F.ceil(self.percent * (a + b) / (100 + self.percent))
+
+    def maps_allow(self, one: str, other: str) -> Column:
+        """Whether the parity maps differ in no more bits than alike sets in elements.
+
+        Each element flips one bit, so sets differ in at least as many elements as maps in bits.
+        """
+        a, b = F.col(f"n{one}"), F.col(f"n{other}")
+        bits = [F.bit_count(F.col(f"{m}{one}").bitwiseXOR(F.col(f"{m}{other}"))) for m in _MAP]
+        return sum(bits[1:], bits[0]) <= a + b - 2 * self._needed(a, b)
 
 
 def ngram_sets(
@@ -112,6 +128,14 @@ def set_classes(grams: np.ndarray, texts: np.ndarray, number: int) -> tuple[np.n
     return sizes, mixed(total + sizes.astype(np.uint64)).view(np.int64)
 
 
+def parity_maps(grams: np.ndarray, texts: np.ndarray, number: int) -> np.ndarray:
+    """For each text the parity of how many elements fall on each of the map's bits."""
+    bits = 64 * len(_MAP)
+    places = (grams >> np.uint64(16)).astype(np.int64) % bits
+    odd = np.bincount(texts * bits + places, minlength=number * bits) & 1
+    return np.packbits(odd.astype(np.uint8)).view("<i8").reshape(number, len(_MAP))
+
+
 # --- passes over the texts -----------------------------------------------------------------------
 
 
@@ -122,18 +146,21 @@ def _described(docs: DataFrame, like: Likeness) -> DataFrame:
         counts, ids = np.zeros(COUNTERS, np.int64), None
         for batch in batches:
             ids, sizes, classes = batch.schema.field(0).type, [], []
+            maps = [np.zeros((0, len(_MAP)), np.int64)]
             for block in blocks(batch.column(1), most=_MOST):
                 grams, texts = ngram_sets(block, like.words)
                 counts += np.bincount(counter(grams), minlength=COUNTERS)
                 size, digest = set_classes(grams, texts, block.number)
                 sizes.append(size)
                 classes.append(digest)
-            rows = batch.num_rows
+                maps.append(parity_maps(grams, texts, block.number))
+            rows, maps = batch.num_rows, np.concatenate(maps)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
                     pa.array(np.concatenate(sizes) if rows else [], pa.int64()),
                     pa.array(np.concatenate(classes) if rows else [], pa.int64()),
+                    *[pa.array(column, pa.int64()) for column in maps.T],
                     pa.nulls(rows, pa.int32()),
                     pa.nulls(rows, pa.binary()),
                 ],
@@ -144,17 +171,19 @@ def _described(docs: DataFrame, like: Likeness) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.nulls(CHUNKS, ids),
-                    pa.nulls(CHUNKS, pa.int64()),
-                    pa.nulls(CHUNKS, pa.int64()),
+                    *[pa.nulls(CHUNKS, pa.int64()) for _ in ("n", "class", *_MAP)],
                     pa.array(range(CHUNKS), pa.int32()),
                     pa.array(parts, pa.binary()),
                 ],
                 names,
             )
 
-    names = ["doc_id", "n", "class", "chunk", "counts"]
+    names = ["doc_id", "n", "class", *_MAP, "chunk", "counts"]
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.mapInArrow(run, f"doc_id {kind}, n long, class long, chunk int, counts binary")
+    maps = ", ".join(f"{name} long" for name in _MAP)
+    return docs.mapInArrow(
+        run, f"doc_id {kind}, n long, class long, {maps}, chunk int, counts binary"
+    )
 
 
 def _levels(described: DataFrame) -> np.ndarray:
@@ -269,17 +298,22 @@ def _enough(met: DataFrame, like: Likeness) -> DataFrame:
     return counted.where(like.within_reach(F.col("common"), F.col("nx"), F.col("ny")))
 
 
+#: The columns that a class has, and what they begin with at either end of a pair.
+_ENDS = [("class", ""), ("n", "n"), *[(name, name) for name in _MAP]]
+
+
 def _first_pairs(live: DataFrame, like: Likeness) -> DataFrame:
     """Each class with the one leader that it shares most first n-grams with.
 
-    At an n-gram the smallest class of each band of sizes leads its band.
+    At an n-gram the class that shares most of its first n-grams leads its band of sizes: the one in
+    the middle of a group of copies rather than one that is itself much changed.
     """
     band = F.floor(F.log(F.col("n")) / math.log(100 / like.percent)).alias("band")
-    rows = live.select("gram", "class", "n", band)
+    rows = live.select("gram", "class", "n", "shared", band)
     lead = rows.groupBy("gram", "band").agg(
-        F.min(F.struct("class", "n")).alias("lead"), F.max("class").alias("last")
+        F.max(F.struct("shared", "class", "n")).alias("lead"), F.count("*").alias("members")
     )
-    lead = lead.where("last > lead.class").select(
+    lead = lead.where("members > 1").select(
         F.xxhash64("gram", "band").alias("meet"),
         F.col("lead.class").alias("y"),
         F.col("lead.n").alias("ny"),
@@ -288,12 +322,12 @@ def _first_pairs(live: DataFrame, like: Likeness) -> DataFrame:
         F.xxhash64("gram", "band").alias("meet"), F.col("class").alias("x"), F.col("n").alias("nx")
     )
     near = _enough(rows.join(lead, "meet").where("x <> y"), like)
-    best = near.groupBy("x").agg(F.max(F.struct("common", "y")).alias("best"))
-    return best.select("x", F.col("best.y").alias("y"))
+    best = near.groupBy("x").agg(F.max(F.struct("common", "y", "nx")).alias("best"))
+    return best.select("x", F.col("best.y").alias("y"), F.col("best.nx").alias("nx"))
 
 
-def _other_pairs(live: DataFrame, roots: DataFrame, like: Likeness) -> DataFrame:
-    """Classes of different components that meet.
+def _other_pairs(live: DataFrame, roots: DataFrame, families: DataFrame, like: Likeness) -> DataFrame:
+    """Classes of different components that meet and that no family has compared.
 
     At each n-gram the component with most classes there stands aside: only the others' classes are
     paired, with all that are not of their own component.
@@ -301,6 +335,10 @@ def _other_pairs(live: DataFrame, roots: DataFrame, like: Likeness) -> DataFrame
     named = live.join(roots.withColumnRenamed("node", "class"), "class", "left").withColumn(
         "root", F.coalesce("root", "class")
     )
+    own = families.select(
+        F.col("x").alias("class"), F.col("y").alias("lead"), F.xxhash64("y", "group").alias("family")
+    )
+    named = named.join(own, "class", "left")
     counts = named.groupBy("gram", "root").agg(F.count("*").alias("n"))
     most = counts.groupBy("gram").agg(
         F.max(F.struct("n", "root")).alias("most"), F.count("*").alias("roots")
@@ -309,21 +347,26 @@ def _other_pairs(live: DataFrame, roots: DataFrame, like: Likeness) -> DataFrame
         F.xxhash64("gram").alias("meet"), F.col("most.root").alias("main")
     )
     mixed_ = staged(named.withColumn("meet", F.xxhash64("gram")).join(most, "meet"), "meetings")
+    more = [("root", "r"), ("lead", "l"), ("family", "f")]
     minor = mixed_.where("root <> main").select(
-        "meet", F.col("class").alias("x"), F.col("n").alias("nx"), F.col("root").alias("rx")
+        "meet", *[F.col(name).alias(f"{to}x") for name, to in more], *[F.col(name).alias(f"{to}x") for name, to in _ENDS]
     )
     every = mixed_.select(
-        "meet", "main", F.col("class").alias("y"), F.col("n").alias("ny"), F.col("root").alias("ry")
+        "meet", "main", *[F.col(name).alias(f"{to}y") for name, to in more], *[F.col(name).alias(f"{to}y") for name, to in _ENDS]
     )
     met = minor.join(every, "meet").where(
-        f"rx <> ry and (ry = main or x < y) and {like.near_sizes('nx', 'ny')}"
+        F.expr(
+            f"rx <> ry and (ry = main or x < y) and {like.near_sizes('nx', 'ny')}"
+            " and not (fx <=> fy and fx is not null) and not lx <=> y and not ly <=> x"
+        )
+        & like.maps_allow("x", "y")
     )
     # Which of two components stands aside differs between n-grams; a pair is counted as one.
     low, high = F.least("x", "y"), F.greatest("x", "y")
     n_low = F.when(F.col("x") < F.col("y"), F.col("nx")).otherwise(F.col("ny"))
     n_high = F.when(F.col("x") < F.col("y"), F.col("ny")).otherwise(F.col("nx"))
     met = met.select(low.alias("x"), high.alias("y"), n_low.alias("nx"), n_high.alias("ny"))
-    return _enough(met, like).select("x", "y")
+    return _enough(met, like).select("x", "y", "nx")
 
 
 # --- comparison in prefix trees ------------------------------------------------------------------
@@ -407,49 +450,117 @@ def _sets(docs, classes, described, like: Likeness, order) -> DataFrame:
     return staged(sets, "sets")
 
 
-def _links(pairs, docs, described, like: Likeness, order) -> DataFrame:
-    """The pairs that are alike enough, as ``a`` and ``b``."""
-    spark = docs.sparkSession
+def _families(pairs: DataFrame) -> DataFrame:
+    """Pairs ``x``, ``y`` with the ``group`` of ``y``'s company, each of a size that a task can hold."""
     pairs = staged(pairs, "pairs")
-    ends = pairs.select(F.col("x").alias("class")).unionByName(pairs.select(F.col("y").alias("class")))
-    sets = _sets(docs, ends, described, like, order)
-    # A leader's company is dealt over tasks of bounded size, each of which gets the leader's set.
-    company = pairs.groupBy("y").agg(F.ceil(F.count("*") / COMPANY).alias("groups"))
+    size = F.greatest(F.count("*") / FAMILY, F.sum("nx") / FAMILY_ELEMENTS)
+    company = pairs.groupBy("y").agg(F.ceil(size).alias("groups"))
     company = company.select(F.xxhash64("y").alias("meet"), F.col("y").alias("leader"), "groups")
     dealt = pairs.withColumn("meet", F.xxhash64("y")).join(company, "meet").where("y = leader")
-    dealt = dealt.select("x", "y", F.pmod(F.xxhash64("x"), "groups").cast("int").alias("group"))
+    group = F.pmod(F.xxhash64("x"), F.col("groups")).cast("int").alias("group")
+    return staged(dealt.select("x", "y", group), "families")
+
+
+def _alike_members(sets: list[np.ndarray], lead: np.ndarray, like: Likeness) -> list[tuple[int, int]]:
+    """Links among the members of a family, all pairs, through their differences from the leader.
+
+    Two sets differ where exactly one of them differs from the leader, so what members have in
+    common of their differences, which are small, tells how far they are apart.
+    """
+    sizes = np.array([len(one) for one in sets])
+    apart = [np.setxor1d(one, lead, assume_unique=True) for one in sets]
+    owner = np.repeat(np.arange(len(sets)), [len(one) for one in apart])
+    element = np.concatenate(apart)
+    order = np.argsort(element, kind="stable")
+    element, owner = element[order], owner[order]
+    bounds = np.append(np.flatnonzero(np.append(True, element[1:] != element[:-1])), len(element))
+    common = np.zeros((len(sets), len(sets)), np.int32)
+    shared = np.flatnonzero(np.diff(bounds) > 1)
+    for at in range(0, len(shared), 512):
+        some = shared[at : at + 512]
+        holds = np.zeros((len(sets), len(some)), np.float32)
+        for column, a, b in zip(range(len(some)), bounds[some], bounds[some + 1]):
+            holds[owner[a:b], column] = 1
+        common += (holds @ holds.T).astype(np.int32)
+    width = np.array([len(one) for one in apart])
+    found = []
+    for i in range(len(sets) - 1):
+        distance = width[i] + width[i + 1 :] - 2 * common[i, i + 1 :]
+        total = sizes[i] + sizes[i + 1 :]
+        # |union| and |intersection| are half of the sizes' sum plus and minus the distance.
+        alike = 100 * (total - distance) >= like.percent * (total + distance)
+        found += [(i, i + 1 + j) for j in np.flatnonzero(alike).tolist()]
+    return found
+
+
+def _spanning(links: list[tuple[int, int]], number: int) -> list[tuple[int, int]]:
+    """Links that hold the same components together, fewer than there are members."""
+    root = list(range(number))
+
+    def top(one: int) -> int:
+        while root[one] != one:
+            root[one] = root[root[one]]
+            one = root[one]
+        return one
+
+    kept = []
+    for a, b in links:
+        x, y = top(a), top(b)
+        if x != y:
+            root[max(x, y)] = min(x, y)
+            kept.append((a, b))
+    return kept
+
+
+def _links(dealt, docs, described, like: Likeness, order, within: bool) -> DataFrame:
+    """Pairs that are alike enough, as ``a`` and ``b``, out of ``dealt``: ``x``, ``y`` and ``group``.
+
+    Each ``x`` is compared with its ``y``, and ``within`` also with all others of its group.
+    """
+    spark = docs.sparkSession
+    ends = dealt.select(F.col("x").alias("class")).unionByName(dealt.select(F.col("y").alias("class")))
+    sets = _sets(docs, ends, described, like, order)
     x_sets = sets.select(F.col("class").alias("x"), "elements")
-    y_sets = sets.select(F.col("class").alias("leader"), F.col("elements"))
+    y_sets = sets.select(F.col("class").alias("y"), "elements")
     members = dealt.join(x_sets, "x").select("y", "group", "x", "elements")
-    groups = F.explode(F.sequence(F.lit(0), F.col("groups").cast("int") - 1))
-    leaders = company.select("leader", groups.alias("group")).join(y_sets, "leader")
-    leaders = leaders.select(F.col("leader").alias("y"), "group", F.lit(None).cast("long").alias("x"), "elements")
+    leaders = dealt.select("y", "group").distinct().join(y_sets, "y")
+    leaders = leaders.withColumn("x", F.lit(None).cast("long"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        here, lead, members, tree, found = None, None, [], PrefixTree(like), []
+        here, lead, names, sets, found = None, None, [], [], []
 
         def done() -> None:
-            if lead is not None:
-                found.extend((members[i], here[0]) for i, _ in tree.overlaps(lead))
+            if lead is None or not sets:
+                return
+            tree = PrefixTree(like)
+            for number, one in enumerate(sets):
+                tree.insert(one, number)
+            number = len(sets)
+            links = [(i, number) for i, _ in tree.overlaps(lead)]
+            if within and len(links) < number > 1:
+                links += _alike_members(sets, lead, like)
+            ends = [*names, here[0]]
+            found.extend((ends[a], ends[b]) for a, b in _spanning(links, number + 1))
 
         for batch in batches:
             for y, group, x, data in zip(*(column.to_pylist() for column in batch.columns)):
                 if (y, group) != here:
                     done()
-                    here, lead, members, tree = (y, group), None, [], PrefixTree(like)
+                    here, lead, names, sets = (y, group), None, [], []
                 elements = np.frombuffer(data, "<u8")
                 if x is None:
                     lead = elements
                 else:
-                    tree.insert(elements, len(members))
-                    members.append(x)
+                    sets.append(elements)
+                    names.append(x)
         done()
         a, b = zip(*found) if found else ([], [])
         yield pa.RecordBatch.from_arrays(
             [pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"]
         )
 
-    rows = members.unionByName(leaders).repartition(partitions(spark), "y", "group")
+    rows = members.unionByName(leaders.select("y", "group", "x", "elements"))
+    rows = rows.repartition(partitions(spark), "y", "group")
     rows = rows.sortWithinPartitions("y", "group", F.col("x").asc_nulls_first())
     return staged(rows.mapInArrow(run, "a long, b long"), "links")
 
@@ -471,14 +582,20 @@ def join_alike(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     spark, like = docs.sparkSession, Likeness(words, percent)
     docs = docs.select("doc_id", text_or_empty().alias("text"))
     described = staged(_described(docs, like), "described")
-    known = described.where("chunk is null").select("doc_id", "n", "class")
+    known = described.where("chunk is null").select("doc_id", "n", "class", *_MAP)
     order = spark.sparkContext.broadcast(_levels(described))
     parts = partitions(spark)
     named = docs.where("doc_id is not null")
     packed = _meetings(named, like, order, PARTS * parts).repartition(parts, "part")
+    maps = known.groupBy(F.col("class").alias("of")).agg(*[F.min(m).alias(m) for m in _MAP])
     live = staged(_live(packed, like, order), "live")
-    links = _links(_first_pairs(live, like), named, known, like, order)
-    more = _links(_other_pairs(live, components(links), like), named, known, like, order)
+    shared = live.groupBy(F.col("class").alias("of")).agg(F.count("*").alias("shared"))
+    facts = maps.join(shared, "of")
+    live = staged(live.join(facts, F.col("class") == F.col("of")).drop("of"), "live")
+    families = _families(_first_pairs(live, like))
+    links = _links(families, named, known, like, order, within=True)
+    others = _families(_other_pairs(live, components(links), families, like))
+    more = _links(others, named, known, like, order, within=False)
     roots = components(links.unionByName(more))
     classes = (
         known.where("n > 0 and doc_id is not null")

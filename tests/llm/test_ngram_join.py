@@ -82,6 +82,22 @@ def test_chains(spark, monkeypatch, seed, heavy):
     assert sorted(found) == sorted(brute(docs))
 
 
+@pytest.mark.parametrize("family", [4096, 5])
+def test_a_family_of_near_copies(spark, monkeypatch, family):
+    monkeypatch.setattr(ngram_join, "FAMILY", family)
+    rng = random.Random(11)
+    base = [f"w{i}" for i in range(80)]
+    docs = []
+    for n in range(120):
+        words = list(base)
+        for _ in range(rng.randint(0, 5)):
+            words[rng.randrange(80)] = f"new{rng.randrange(40)}"
+        docs.append((n, " ".join(words)))
+    found = ours(join_alike(spark.createDataFrame(docs, "doc_id long, text string"), 4, 85))
+    expected = brute(docs)
+    assert sorted(found) == sorted(expected) and 1 < len({root for *_, root in expected}) < 120
+
+
 def test_other_likeness(spark):
     docs = made(6)
     found = ours(join_alike(spark.createDataFrame(docs, "doc_id long, text string")))
