@@ -299,7 +299,7 @@ def _enough(met: DataFrame, like: Likeness) -> DataFrame:
 
 
 #: The columns that a class has, and what they begin with at either end of a pair.
-_ENDS = [("class", ""), ("n", "n"), *[(name, name) for name in _MAP]]
+_ENDS = [("class", ""), ("n", "n"), ("shared", "shared"), *[(name, name) for name in _MAP]]
 
 
 def _first_pairs(live: DataFrame, like: Likeness) -> DataFrame:
@@ -359,6 +359,8 @@ def _other_pairs(live: DataFrame, roots: DataFrame, families: DataFrame, like: L
             f"rx <> ry and (ry = main or x < y) and {like.near_sizes('nx', 'ny')}"
             " and not (fx <=> fy and fx is not null) and not lx <=> y and not ly <=> x"
         )
+        # They have no more first n-grams in common than either one shares with anyone.
+        & like.within_reach(F.least("sharedx", "sharedy"), F.col("nx"), F.col("ny"))
         & like.maps_allow("x", "y")
     )
     # Which of two components stands aside differs between n-grams; a pair is counted as one.
