@@ -50,3 +50,39 @@ def test_odd_rows(spark):
         4: ("", 4, "w", 0), 5: ("four\r", None, None, 3),
     }
     assert drop_repeated_runs(docs.limit(0)).collect() == []
+
+
+def brute_words(docs, window=3, words=50):
+    """As ``brute``, but runs of fewer lines with more than ``words`` words go too."""
+    seen, found = set(), []
+    for doc_id, text in sorted(set(docs)):
+        lines = text.split("\n")
+        gone = [False] * len(lines)
+        for i in range(len(lines)):
+            for size in range(1, min(window, len(lines) - i) + 1):
+                run = tuple(lines[i : i + size])
+                if size < window and len(" ".join(run).split()) <= words:
+                    continue
+                if run in seen:
+                    gone[i : i + size] = [True] * size
+                seen.add(run)
+        runs = sum(a and not b for a, b in zip(gone, [False, *gone]))
+        kept = "\n".join(line for line, g in zip(lines, gone) if not g)
+        found.append((doc_id, kept, len(lines), sum(gone), runs))
+    return found
+
+
+def test_long_passages_on_few_lines(spark):
+    passage = "word " * 51
+    half = " ".join(["half"] * 26)
+    docs = [(1, passage), (2, passage), (3, "x\n" + passage + "\ny"), (4, "w " * 50), (5, "w " * 50)]
+    docs += [(6, f"{half}\n{half}"), (7, f"p\n{half}\n{half}\nq"), (8, f"{half}\nr\n{half}")]
+    rng = random.Random(4)
+    lines = ["", "a", passage, half, "b " * 30, "c\t" * 60]
+    docs += [(10 + i, "\n".join(rng.choices(lines, k=rng.randint(1, 9)))) for i in range(120)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    found = drop_repeated_runs(frame, words=50).collect()
+    found = [(r.doc_id, r.text, r.n_lines, r.n_removed, r.n_runs) for r in found]
+    assert sorted(found) == sorted(brute_words(docs))
+    removed = {row[0]: row[3] for row in found}
+    assert [removed[d] for d in range(1, 9)] == [0, 1, 1, 0, 0, 0, 2, 0]
