@@ -15,8 +15,8 @@ from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -202,24 +202,29 @@ def evolved(lengths: np.ndarray, capacity: int, seed: int, holder=None, patterns
 
 
 def _island(capacity: int):
-    """Pieces with ``island`` and, from the second epoch on, ``sequence`` and the migrants."""
+    """Pieces with ``island`` and, from the second epoch on, ``sequence`` and the migrants.
 
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        patterns = [list(map(int, p)) for p in rows["pattern"].dropna()]
-        rows = rows[rows["length"].notna()].reset_index(drop=True)
-        rows = rows.sort_values(["length", "doc_id", "piece", "start"]).reset_index(drop=True)
-        lengths = rows["length"].to_numpy(np.int64)
+    Rows stay in Arrow, where a column with nulls keeps its kind, so ids of any size stay exact.
+    """
+
+    def run(rows: pa.Table) -> pa.Table:
+        patterns = [p for p in rows["pattern"].to_pylist() if p is not None]
+        rows = rows.filter(pc.is_valid(rows["length"]))
+        order = [(name, "ascending") for name in ("length", "doc_id", "piece", "start")]
+        rows = rows.take(pc.sort_indices(rows, order))
+        lengths = rows["length"].to_numpy().astype(np.int64)
         small = np.flatnonzero(lengths < capacity)
-        known = rows["sequence"].to_numpy()
         holder = np.full(len(rows), -1)
         if len(small):
-            before = None if pd.isna(known[small]).any() else known[small].astype(np.int64)
-            island = int(rows["island"].iloc[0])
+            known = rows["sequence"].take(pa.array(small))
+            before = None if known.null_count else known.to_numpy().astype(np.int64)
+            island = rows["island"][0].as_py()
             holder[small] = evolved(lengths[small], capacity, island, before, patterns)
         whole = np.flatnonzero(lengths >= capacity)
         holder[whole] = holder.max(initial=-1) + 1 + np.arange(len(whole))
-        rows["sequence"] = holder
-        return rows
+        at = rows.schema.get_field_index("sequence")
+        rows = rows.set_column(at, "sequence", pa.array(holder, pa.int64()))
+        return rows.drop_columns(["pattern"])
 
     return run
 
@@ -238,10 +243,10 @@ def pack(docs: DataFrame, spec: str, capacity: int = 1024, end: int = 2) -> Data
     pieces = staged(token_pieces(docs, spec, capacity, end), "pieces")
     islands = max(1, math.ceil(pieces.count() / ISLAND))
     own = ["doc_id", "piece", "start", "length", "ids_crc32"]
-    schema = f"{PIECE.format(docs.schema['doc_id'].dataType.simpleString())}, island int, sequence long, pattern array<int>"
+    schema = f"{PIECE.format(docs.schema['doc_id'].dataType.simpleString())}, island int, sequence long"
 
     def epoch(rows: DataFrame) -> DataFrame:
-        return rows.groupBy("island").applyInPandas(_island(capacity), schema)
+        return rows.groupBy("island").applyInArrow(_island(capacity), schema)
 
     dealt = pieces.select(
         *own,
@@ -249,7 +254,7 @@ def pack(docs: DataFrame, spec: str, capacity: int = 1024, end: int = 2) -> Data
         F.lit(None).cast("long").alias("sequence"),
         F.lit(None).cast("array<int>").alias("pattern"),
     )
-    first = staged(epoch(dealt).drop("pattern"), "packed")
+    first = staged(epoch(dealt), "packed")
     # A sequence has at most ``capacity`` pieces, and an island sends a bounded number of patterns.
     sequences = (
         first.where(F.col("length") < capacity)
@@ -262,7 +267,7 @@ def pack(docs: DataFrame, spec: str, capacity: int = 1024, end: int = 2) -> Data
     migrants = elite.select(
         F.pmod(F.col("island") + 1, F.lit(islands)).cast("int").alias("island"), "pattern"
     )
-    second = staged(epoch(first.unionByName(migrants, allowMissingColumns=True)).drop("pattern"), "packed")
+    second = staged(epoch(first.unionByName(migrants, allowMissingColumns=True)), "packed")
     fills = second.groupBy("island", "sequence").agg(F.sum("length").alias("fill"))
     by_fill = Window.partitionBy("island").orderBy("fill", "sequence")
     worst = (

@@ -59,6 +59,15 @@ def test_odd_rows(spark):
     assert sum(row.length for row in twice) == 2 * sum(row.length for row in pack(docs, file_spec()).collect())
 
 
+def test_large_and_missing_ids(spark):
+    first = 2**53 + 1
+    rows = [(first + 2 * i, "word " * (i % 40)) for i in range(400)] + [(None, "nameless")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    packed = pack(docs, file_spec(), capacity=128).collect()
+    assert sum(row.doc_id is None for row in packed) == 1
+    check(rows, packed, capacity=128)
+
+
 def test_crossing_keeps_every_piece():
     rng = np.random.default_rng(3)
     lengths = rng.integers(1, 1024, 500)
