@@ -96,6 +96,14 @@ class ByteBpe:
     def ids(self, text: str) -> list[int]:
         return self._tokenizer.encode(text, add_special_tokens=False).ids
 
+    def ids_with_added(self, text: str) -> list[int]:
+        """As the library has it by default: strings of added tokens become those tokens."""
+        self._tokenizer.encode_special_tokens = False
+        try:
+            return self.ids(text)
+        finally:
+            self._tokenizer.encode_special_tokens = True
+
     def ends(self, ids: list[int]) -> np.ndarray:
         """The byte at which each token ends."""
         return np.cumsum(self._sizes[ids])
@@ -128,11 +136,16 @@ class Encoder:
     A blank between two other characters that are no white space always begins a new match of the
     splitting pattern, so texts are cut there and each distinct piece is encoded once; new pieces
     are encoded together, and the tokens' byte offsets tell which piece they belong to.  ``made`` turns a
-    piece's ids into bytes, one value or more, which are then gathered for the whole texts.
+    piece's ids into bytes, one value or more, which are then gathered for the whole texts.  With
+    ``added``, texts that hold the string of an added token are encoded whole, as the library does.
     """
 
-    def __init__(self, spec: str, made: Callable[[ByteBpe, list[int]], tuple[bytes, ...]]) -> None:
+    def __init__(
+        self, spec: str, made: Callable[[ByteBpe, list[int]], tuple[bytes, ...]], added: bool = False
+    ) -> None:
         self._bpe, self._made = ByteBpe(spec), made
+        tokens = json.loads(spec).get("added_tokens") or [] if added else []
+        self._added = [token["content"] for token in tokens]
         self._known: dict[str, tuple[bytes, ...]] = {}
         self._heads: dict[str, tuple[bytes, ...]] = {}
         self._width = len(made(self._bpe, []))
@@ -178,6 +191,10 @@ class Encoder:
         open_ended = np.array([p[-1:].isspace() for p in begins], bool) & (np.diff(bounds) > 1)
         odd[heads] = open_ended
         whole = np.add.reduceat(odd.astype(np.int64), heads) > 0
+        special = np.zeros(len(texts), bool)
+        for content in self._added:
+            special |= pc.match_substring(texts, content).to_numpy(zero_copy_only=False)
+        whole |= special
         for at in np.flatnonzero(whole).tolist():
             begins[at] = texts[at].as_py()
             codes[bounds[at] : bounds[at + 1]] = len(pieces)
@@ -186,9 +203,11 @@ class Encoder:
         none = (b"",) * self._width
         values = [none if value is None else value for value in values]
         values.append(none)
-        for begin, alone in zip(begins, whole.tolist()):
-            value = self._heads.get(begin)
-            if value is None:
+        for begin, alone, added in zip(begins, whole.tolist(), special.tolist()):
+            value = None if added else self._heads.get(begin)
+            if added:
+                value = self._made(self._bpe, self._bpe.ids_with_added(begin))
+            elif value is None:
                 value = self._made(self._bpe, self._bpe.ids(begin))
                 if not alone:
                     self._heads[begin] = value
@@ -204,9 +223,11 @@ class Encoder:
 
 
 @lru_cache(2)
-def encoder(spec: str, made: Callable[[ByteBpe, list[int]], tuple[bytes, ...]]) -> Encoder:
+def encoder(
+    spec: str, made: Callable[[ByteBpe, list[int]], tuple[bytes, ...]], added: bool = False
+) -> Encoder:
     """One for each worker, so that what is remembered outlives a task."""
-    return Encoder(spec, made)
+    return Encoder(spec, made, added)
 
 
 def shared_spec(spark: SparkSession, spec: str):

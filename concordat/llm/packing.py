@@ -38,13 +38,14 @@ PIECE = "doc_id {}, piece int, start long, length long, ids_crc32 long"
 def token_pieces(docs: DataFrame, spec: str, capacity: int, end: int) -> DataFrame:
     """Each document's ids and the ``end`` id, cut where longer than ``capacity``.
 
+    The ids are the library's own: the string of an added token, as <|endoftext|>, is that token.
     The first piece of a long document takes what full pieces leave over.
     """
     sent = shared_spec(docs.sparkSession, spec)
     last = np.asarray([end], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode_texts = encoder(sent.value, little_endian)
+        encode_texts = encoder(sent.value, little_endian, added=True)
         for batch in batches:
             found = []
             texts = (raw for (some,) in encode_texts(batch.column(1)) for raw in some)

@@ -9,7 +9,7 @@ import public_tokenizers
 from tokenizers import Tokenizer
 
 from concordat.llm.common import table
-from concordat.llm.packing import Packing, crossed, evolved, pack
+from concordat.llm.packing import Packing, crossed, evolved, pack, token_pieces
 from concordat.llm.queries import file_spec
 
 
@@ -68,6 +68,18 @@ def test_large_and_missing_ids(spark):
     check(rows, packed, capacity=128)
 
 
+def test_added_tokens(spark):
+    plain = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    mark = "<|endoftext|>"
+    texts = [f"a {mark} b", mark, f"{mark}{mark} a", f"a\n{mark}", f"x {mark[:-1]} y", "a b", f"a {mark}b c"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    found = {row.doc_id: row for row in token_pieces(docs, file_spec(), 1024, 2).collect()}
+    for doc_id, text in enumerate(texts):
+        ids = [*plain.encode(text, add_special_tokens=False).ids, 2]
+        crc = zlib.crc32(np.asarray(ids, "<u4").tobytes())
+        assert (found[doc_id].length, found[doc_id].ids_crc32) == (len(ids), crc)
+
+
 def test_crossing_keeps_every_piece():
     rng = np.random.default_rng(3)
     lengths = rng.integers(1, 1024, 500)
