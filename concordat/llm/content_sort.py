@@ -2,8 +2,9 @@
 
 Sampled cuts range-partition the normalised texts; each part is sorted, which places equal texts
 next to each other; neighbours are compared in full and every run of equal texts is folded to its
-best row.  A text that fills several parts by itself is dealt over them by its id, and its runs
-are joined by digest.
+best row.  A text that fills several parts by itself is dealt over them by its id.  All runs are
+grouped again by SHA-256 and length, and every row finds its group by the digest, so in the result
+equal texts are those of equal digest.
 """
 
 from __future__ import annotations
