@@ -1,8 +1,9 @@
-"""Repeated runs of lines by winnowing.
+"""Repeated runs of lines by an index of all windows.
 
-Of the hashes of every ``window`` successive lines the smallest is a fingerprint, so any run of at
-least ``window`` lines that two places share has a fingerprint in common.  Places meet on their
-fingerprints, are extended to both sides line by line, and all but the first copy of a run goes.
+Of the hashes of every ``window`` successive lines the smallest is a fingerprint; it only filters
+out the windows whose fingerprint has one place.  All others meet on the hashes of all their lines,
+and matching windows chain to runs, instead of an extension line by line from a few selected
+fingerprints as in winnowing.  All but the first copy of a run goes.
 """
 
 from __future__ import annotations
@@ -52,8 +53,7 @@ def _windows(docs: DataFrame, window: int, words: int | None) -> DataFrame:
 def repeated_runs(docs: DataFrame, window: int = WINDOW, words: int | None = None) -> DataFrame:
     """The runs to delete: ``doc_id``, ``body_hash`` and the run's first and past-the-end line.
 
-    ``docs`` has ``doc_id``, ``body`` and ``body_hash``.  Extending a match to both sides line by
-    line covers the windows that match one by one, so a run is a chain of matching windows.  Each
+    ``docs`` has ``doc_id``, ``body`` and ``body_hash``.  A run is a chain of matching windows.  Each
     window meets the first place with its fingerprint and lines, never every other place, so a
     passage with very many copies costs one row a copy.
     """
