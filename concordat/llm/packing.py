@@ -211,7 +211,7 @@ def _island(capacity: int):
     def run(rows: pa.Table) -> pa.Table:
         patterns = [p for p in rows["pattern"].to_pylist() if p is not None]
         rows = rows.filter(pc.is_valid(rows["length"]))
-        order = [(name, "ascending") for name in ("length", "doc_id", "piece", "start")]
+        order = [(name, "ascending") for name in ("length", "doc_id", "piece", "start", "ids_crc32", "copy")]
         rows = rows.take(pc.sort_indices(rows, order))
         lengths = rows["length"].to_numpy().astype(np.int64)
         small = np.flatnonzero(lengths < capacity)
@@ -233,6 +233,22 @@ def _island(capacity: int):
 # --- islands together --------------------------------------------------------------------------
 
 
+def _with_copies(pieces: DataFrame) -> DataFrame:
+    """The pieces with ``copy``, a number within rows that are the same in all columns.
+
+    Such rows are folded and told apart again in bounded steps, so no task holds all of them.
+    """
+    folded = pieces.groupBy(*pieces.columns).agg(F.count("*").alias("n"))
+    blocks = F.sequence(F.lit(0), F.floor((F.col("n") - 1) / ISLAND))
+    first = F.col("block") * ISLAND
+    copies = F.sequence(first, F.least(F.col("n"), first + ISLAND) - 1)
+    return (
+        folded.withColumn("block", F.explode(blocks))
+        .withColumn("copy", F.explode(copies))
+        .drop("n", "block")
+    )
+
+
 def pack(docs: DataFrame, spec: str, capacity: int = 1024, end: int = 2) -> DataFrame:
     """Every piece of every document with its ``sequence_id`` and ``offset``.
 
@@ -244,14 +260,16 @@ def pack(docs: DataFrame, spec: str, capacity: int = 1024, end: int = 2) -> Data
     pieces = staged(token_pieces(docs, spec, capacity, end), "pieces")
     islands = max(1, math.ceil(pieces.count() / ISLAND))
     own = ["doc_id", "piece", "start", "length", "ids_crc32"]
-    schema = f"{PIECE.format(docs.schema['doc_id'].dataType.simpleString())}, island int, sequence long"
+    # Whatever ids repeat or miss, pieces spread evenly over islands by all that tells them apart.
+    told = [*own, "copy"]
+    schema = f"{PIECE.format(docs.schema['doc_id'].dataType.simpleString())}, copy long, island int, sequence long"
 
     def epoch(rows: DataFrame) -> DataFrame:
         return rows.groupBy("island").applyInArrow(_island(capacity), schema)
 
-    dealt = pieces.select(
-        *own,
-        F.pmod(F.xxhash64("doc_id", "piece", "start"), F.lit(islands)).cast("int").alias("island"),
+    dealt = _with_copies(pieces).select(
+        *told,
+        F.pmod(F.xxhash64(*told), F.lit(islands)).cast("int").alias("island"),
         F.lit(None).cast("long").alias("sequence"),
         F.lit(None).cast("array<int>").alias("pattern"),
     )
@@ -281,8 +299,8 @@ def pack(docs: DataFrame, spec: str, capacity: int = 1024, end: int = 2) -> Data
     loose = marked.where("again")
     merged = max(1, math.ceil(loose.count() / ISLAND))
     redealt = loose.select(
-        *own,
-        (islands + F.pmod(F.xxhash64("doc_id", "piece", "start"), F.lit(merged))).cast("int").alias("island"),
+        *told,
+        (islands + F.pmod(F.xxhash64(*told), F.lit(merged))).cast("int").alias("island"),
         F.lit(None).cast("long").alias("sequence"),
         F.lit(None).cast("array<int>").alias("pattern"),
     )

@@ -2,12 +2,13 @@
 
 import math
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
 from tokenizers import Tokenizer
 
+from concordat.llm import packing
 from concordat.llm.common import table
 from concordat.llm.packing import Packing, crossed, evolved, pack, token_pieces
 from concordat.llm.queries import file_spec
@@ -80,6 +81,16 @@ def test_added_tokens(spark):
         assert (found[doc_id].length, found[doc_id].ids_crc32) == (len(ids), crc)
 
 
+def test_repeated_rows_spread_over_islands(spark, monkeypatch):
+    monkeypatch.setattr(packing, "ISLAND", 32)
+    rows = [(7, "the same row")] * 150 + [(None, "no id")] * 150 + [(None, f"no id {i}") for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(4)
+    packed = pack(docs, file_spec(), capacity=16).collect()
+    assert len(packed) == len(rows)
+    assert sorted(Counter(row.doc_id for row in packed).values()) == [150, 170]
+    assert max(Counter(row.sequence_id >> 32 for row in packed).values()) <= 80
+
+
 def test_crossing_keeps_every_piece():
     rng = np.random.default_rng(3)
     lengths = rng.integers(1, 1024, 500)
