@@ -14,6 +14,7 @@ from concordat.llm.fingerprints import fingerprint_documents
 from concordat.llm.line_runs import drop_repeated_runs
 from concordat.llm.ngram_join import join_alike
 from concordat.llm.packing import pack
+from concordat.llm.scalar_tables import cluster_vectors
 from concordat.llm.shards import assign_shards
 from concordat.llm.site_quality import judge_quality
 from concordat.llm.suffix_dedup import remove_repeats
@@ -172,3 +173,58 @@ def op9_induced_sort(spark, sf_dir):
 @query
 def op10_prefix_tree(spark, sf_dir):
     return join_alike(table(spark, sf_dir, "documents"), words=4, percent=85)
+
+
+@query
+def op11_scalar_tables(spark, sf_dir):
+    return cluster_vectors(table(spark, sf_dir, "embeddings"))
+
+
+def _rounds_sql(k: int, rounds: int) -> str:
+    """k-means in plain SQL: a chain of assignments and floored means."""
+    steps = [
+        """whole AS MATERIALIZED (
+            SELECT row_number() OVER () AS n, vec_id,
+                   list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+            FROM embeddings WHERE len(embedding) = 64
+                AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64
+        )""",
+        f"""centre_0 AS MATERIALIZED (
+            SELECT row_number() OVER (ORDER BY sha256('3:' || vec_id), v) - 1 AS cluster, v
+            FROM whole ORDER BY cluster LIMIT {k}
+        )""",
+    ]
+    for i in range(rounds + 1):
+        steps.append(
+            f"""placed_{i} AS MATERIALIZED (
+            SELECT n, any_value(vec_id) AS vec_id, any_value(v) AS v,
+                   arg_min(cluster, (distance, cluster)) AS cluster, min(distance) AS distance
+            FROM (SELECT w.n, w.vec_id, w.v, c.cluster, CAST(list_sum(list_transform(
+                      list_zip(w.v, c.v), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS BIGINT) AS distance
+                  FROM whole w, centre_{i} c) GROUP BY n
+        )"""
+        )
+        if i < rounds:
+            steps.append(
+                f"""centre_{i + 1} AS MATERIALIZED (
+            WITH sums AS (
+                SELECT cluster, d, CAST(sum(x) AS BIGINT) AS s, count(*) AS m
+                FROM (SELECT cluster, unnest(v) AS x, unnest(range(64)) AS d FROM placed_{i})
+                GROUP BY cluster, d
+            ), means AS (
+                SELECT cluster, list((s - ((s % m) + m) % m) // m ORDER BY d) AS v
+                FROM sums GROUP BY cluster
+            )
+            SELECT c.cluster, coalesce(m.v, c.v) AS v
+            FROM centre_{i} c LEFT JOIN means m ON c.cluster = m.cluster
+        )"""
+            )
+    return f"""WITH {", ".join(steps)}
+        SELECT vec_id, CAST(p.cluster AS INTEGER) AS cluster, distance,
+               CAST(sum(distance) OVER (PARTITION BY p.cluster) AS BIGINT) AS cluster_inertia,
+               CAST(sum(distance) OVER () AS BIGINT) AS inertia,
+               sha256(array_to_string(c.v, ',')) AS centroid_sha256
+        FROM placed_{rounds} p JOIN centre_{rounds} c ON p.cluster = c.cluster"""
+
+
+ORACLE["op11_scalar_tables"] = _rounds_sql(8, 10)
