@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from concordat.llm.byte_bpe import encode_digests, spec_from_file, spec_from_ranks
+from concordat.llm.collocations import mine_phrases
 from concordat.llm.common import table
 from concordat.llm.content_sort import exact_duplicates
 from concordat.llm.fingerprints import fingerprint_documents
@@ -228,3 +229,54 @@ def _rounds_sql(k: int, rounds: int) -> str:
 
 
 ORACLE["op11_scalar_tables"] = _rounds_sql(8, 10)
+
+
+@query
+def op12_de_bruijn(spark, sf_dir):
+    return mine_phrases(table(spark, sf_dir, "documents"))
+
+
+ORACLE["op12_de_bruijn"] = r"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang,
+           unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+               'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents
+), worded AS (
+    SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces
+), runs AS (
+    SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS gram
+    FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i
+          FROM worded, (VALUES (1), (2), (3), (4)) AS t(k))
+), counted AS (
+    SELECT lang, k, gram, count(*) AS a FROM runs GROUP BY ALL
+), totals AS (
+    SELECT lang, CAST(sum(a) AS BIGINT) AS n FROM counted WHERE k = 1 GROUP BY lang
+), candidates AS (
+    SELECT lang, k, gram, a, string_split(gram, ' ') AS w FROM counted WHERE k > 1 AND a >= 30
+), held AS (
+    SELECT lang, part, max(a) AS held
+    FROM (SELECT lang, a, array_to_string(w[i:i + j - 1], ' ') AS part
+          FROM (SELECT *, unnest(range(1, k - j + 2)) AS i
+                FROM candidates, (VALUES (2), (3)) AS t(j) WHERE j < k))
+    GROUP BY lang, part
+), kept AS (
+    SELECT c.* FROM candidates c LEFT JOIN held h ON h.lang = c.lang AND h.part = c.gram
+    WHERE 100 * CAST(coalesce(h.held, 0) AS HUGEINT) < 80 * CAST(c.a AS HUGEINT)
+), cuts AS (
+    SELECT lang, gram, a, j, array_to_string(w[1:j], ' ') AS lpart, array_to_string(w[j + 1:], ' ') AS rpart
+    FROM kept, (VALUES (1), (2), (3)) AS t(j) WHERE j < k
+), scored AS (
+    SELECT c.lang, c.gram, c.a, c.j, l.a AS l, r.a AS r,
+           CAST(2000000 * CAST(c.a AS HUGEINT) // (CAST(l.a AS HUGEINT) + r.a) AS BIGINT) AS score
+    FROM cuts c JOIN counted l ON l.lang = c.lang AND l.gram = c.lpart
+                JOIN counted r ON r.lang = c.lang AND r.gram = c.rpart
+), least AS (
+    SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, gram ORDER BY score, j) = 1
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(gram)) AS rank
+    FROM least
+)
+SELECT s.lang, rank, gram AS phrase, a, l, r, t.n, score
+FROM ranked s JOIN totals t ON t.lang = s.lang WHERE rank <= 2000
+"""
