@@ -22,11 +22,13 @@ from concordat.llm.common import partitions, staged, text_or_empty
 
 LONGEST = 4
 # Text counted at once, and text whose edges make up one part of the graph.
-CHUNK_BYTES = 8 * 1024 * 1024
-PART_BYTES = 6 * 1024 * 1024
+CHUNK_BYTES = 2 * 1024 * 1024
+PART_BYTES = 4 * 1024 * 1024
 # Documents whose word pairs tell which pairs are too common for one part: balance only.
 PAIR_SAMPLE = 4096
 HOT_PAIRS = 1024
+# Bytes at each end of a word that its hash looks at.
+OUTER_BYTES = 8
 # Every so many nodes a path is cut, so that no path, and no row, grows without end.
 PATH_CUT = 64
 
@@ -76,18 +78,29 @@ class _Words:
         return pc.binary_join_element_wise(*columns, last.take(pa.array(ids.T[-1])), _bytes(b" "))
 
     def hashes(self, lang: str) -> np.ndarray:
-        seed = zlib.crc32(lang.encode())
-        return np.array([zlib.crc32(w, seed) for w in self.names.to_pylist()], np.uint64)
+        """A number for every word from its length and its outer bytes; it only deals out work."""
+        offsets = np.frombuffer(self.names.buffers()[1], np.int64)[: len(self.names) + 1]
+        data = np.frombuffer(self.names.buffers()[2], np.uint8)
+        starts, sizes = offsets[:-1], np.diff(offsets)
+        key = sizes.astype(np.uint64) + np.uint64(zlib.crc32(lang.encode()))
+        for j in range(OUTER_BYTES):
+            inside = j < sizes
+            for at in (starts + j, starts + sizes - 1 - j):
+                byte = data[np.where(inside, at, 0)]
+                key = key * _MIX + np.where(inside, byte, 0).astype(np.uint64)
+        return key ^ (key >> np.uint64(31))
 
 
 def _codes(ids: np.ndarray, many: int) -> tuple[np.ndarray, np.ndarray]:
     """A number for every distinct row of word numbers, and a row that has it."""
     code = ids[:, 0]
-    first = None
-    for column in ids.T[1:]:
-        _, first, code = np.unique(code * many + column, return_index=True, return_inverse=True)
-    if first is None:
-        _, first, code = np.unique(code, return_index=True, return_inverse=True)
+    for column in ids.T[1:-1]:
+        code = np.unique(code * many + column, return_inverse=True)[1]
+    if ids.shape[1] > 1:
+        code = code * many + ids[:, -1]
+    found, code = np.unique(code, return_inverse=True)
+    first = np.empty(len(found), np.int64)
+    first[code] = np.arange(len(code))
     return code, first
 
 
@@ -197,10 +210,13 @@ def _packed(
             named = words.named(rows[order], b"\n")
             offsets = np.frombuffer(named.buffers()[1], np.int64)[: len(named) + 1]
             data = memoryview(named.buffers()[2])
+            often = often[order]
             there, starts = np.unique(part[order], return_index=True)
-            for p, a, b in zip(there.tolist(), starts, [*starts[1:], len(part)]):
-                lines.setdefault(p, []).append(bytes(data[offsets[a] : offsets[b]]))
-                counts.setdefault(p, []).append(often[order][a:b])
+            bounds = [*starts.tolist(), len(part)]
+            places = offsets[bounds].tolist()
+            for i, p in enumerate(there.tolist()):
+                lines.setdefault(p, []).append(bytes(data[places[i] : places[i + 1]]))
+                counts.setdefault(p, []).append(often[bounds[i] : bounds[i + 1]])
         if lines:
             yield pa.RecordBatch.from_arrays(
                 [
