@@ -16,6 +16,7 @@ from concordat.llm.line_runs import drop_repeated_runs
 from concordat.llm.ngram_join import join_alike
 from concordat.llm.packing import pack
 from concordat.llm.scalar_tables import cluster_vectors
+from concordat.llm.secret_owners import find_secrets
 from concordat.llm.shards import assign_shards
 from concordat.llm.site_quality import judge_quality
 from concordat.llm.suffix_dedup import remove_repeats
@@ -280,3 +281,77 @@ WITH pieces AS (
 SELECT s.lang, rank, gram AS phrase, a, l, r, t.n, score
 FROM ranked s JOIN totals t ON t.lang = s.lang WHERE rank <= 2000
 """
+
+
+@query
+def op13_ownership_frequency(spark, sf_dir):
+    """A document's source is the owner, its languages are the owner's repositories."""
+    docs = table(spark, sf_dir, "documents")
+    return find_secrets(docs, F.struct("source", "lang"), F.col("source"))
+
+
+ORACLE["op13_ownership_frequency"] = r"""
+WITH kinds(kind, name, pattern, least) AS (VALUES
+    (0, 'assign', '([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)', 6),
+    (1, 'access', 'AKIA[A-Z0-9]+', 20),
+    (2, 'hex', '[0-9a-f]+', 24),
+    (3, 'owned', '[A-Za-z0-9+/_.=-]+', 12)
+), cut AS (
+    SELECT doc_id, source, coalesce(text, '') AS text FROM documents
+), matches AS (
+    SELECT doc_id, source, 0 AS kind, unnest(regexp_extract_all(text, (SELECT pattern FROM kinds WHERE kind = 0))) AS m,
+           unnest(string_split_regex(text, (SELECT pattern FROM kinds WHERE kind = 0))[:-2]) AS gap,
+           generate_subscripts(regexp_extract_all(text, (SELECT pattern FROM kinds WHERE kind = 0)), 1) AS i FROM cut
+    UNION ALL
+    SELECT doc_id, source, 1, unnest(regexp_extract_all(text, 'AKIA[A-Z0-9]+')),
+           unnest(string_split_regex(text, 'AKIA[A-Z0-9]+')[:-2]),
+           generate_subscripts(regexp_extract_all(text, 'AKIA[A-Z0-9]+'), 1) FROM cut
+    UNION ALL
+    SELECT doc_id, source, 2, unnest(regexp_extract_all(text, '[0-9a-f]{24,}')),
+           unnest(string_split_regex(text, '[0-9a-f]{24,}')[:-2]),
+           generate_subscripts(regexp_extract_all(text, '[0-9a-f]{24,}'), 1) FROM cut
+    UNION ALL
+    SELECT doc_id, source, 3, unnest(regexp_extract_all(text, '[A-Za-z0-9+/_.=-]{12,}')),
+           unnest(string_split_regex(text, '[A-Za-z0-9+/_.=-]{12,}')[:-2]),
+           generate_subscripts(regexp_extract_all(text, '[A-Za-z0-9+/_.=-]{12,}'), 1) FROM cut
+), placed AS (
+    SELECT doc_id, source, kind, m,
+           sum(length(gap) + length(m)) OVER (PARTITION BY doc_id, kind ORDER BY i) AS stop
+    FROM matches
+), valued AS (
+    SELECT p.doc_id, p.source, p.kind, k.name, CAST(stop - length(m) AS BIGINT) AS start,
+           CAST(stop AS BIGINT) AS stop,
+           CASE WHEN p.kind = 0 THEN regexp_extract(m, k.pattern, 2) ELSE m END AS value
+    FROM placed p JOIN kinds k ON k.kind = p.kind
+    WHERE length(CASE WHEN p.kind = 0 THEN regexp_extract(m, k.pattern, 2) ELSE m END) >= k.least
+), base AS (
+    SELECT * FROM valued WHERE kind < 3
+), spans AS (
+    SELECT * FROM base
+    UNION ALL
+    SELECT * FROM valued t WHERE kind = 3 AND regexp_matches(value, '[0-9]')
+        AND regexp_matches(value, '[A-Za-z]') AND NOT EXISTS (
+            SELECT 1 FROM base b WHERE b.doc_id = t.doc_id AND b.start < t.stop AND t.start < b.stop)
+), judged AS (
+    SELECT value, CASE
+        WHEN count(DISTINCT coalesce(source, chr(0))) >= 2 THEN 'example'
+        WHEN bool_or(kind < 3) OR (length(value) >= 20 AND len(list_distinct(string_split(value, ''))) >= 10
+            AND regexp_matches(value, '[A-Z]') AND regexp_matches(value, '[a-z]')) THEN 'live'
+        ELSE 'plain' END AS verdict
+    FROM spans GROUP BY value
+), kept AS (
+    SELECT s.*, verdict, name || ':' || start || ':' || stop AS told
+    FROM spans s JOIN judged j ON j.value = s.value WHERE kind < 3 OR verdict = 'live'
+), told AS (
+    SELECT doc_id, count(*) FILTER (kind = 0) AS n_assign, count(*) FILTER (kind = 1) AS n_access,
+           count(*) FILTER (kind = 2) AS n_hex,
+           string_agg(told, ',' ORDER BY start, kind) FILTER (kind < 3) AS base,
+           string_agg(told, ',' ORDER BY start, kind) AS spans,
+           count(*) FILTER (verdict = 'live') AS n_live, count(*) FILTER (verdict = 'example') AS n_example
+    FROM kept GROUP BY doc_id
+)
+SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access,
+       coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256,
+       coalesce(spans, '') AS spans, coalesce(n_live, 0) AS n_live, coalesce(n_example, 0) AS n_example
+FROM documents d LEFT JOIN told t ON t.doc_id = d.doc_id
+"""
