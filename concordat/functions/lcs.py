@@ -13,7 +13,6 @@ _WORD = 64
 _PAIR_CHUNK = 4096
 # Characters from which a pair runs alone.
 _LONG = 255
-_HISTOGRAM_BINS = 64
 
 
 def _code_points(strings: list[str]) -> np.ndarray:
@@ -67,13 +66,8 @@ def _zero_bits(state: list[np.ndarray], size: np.ndarray | int) -> np.ndarray:
     return found
 
 
-def _ones(words: int, count: int, kind: type = np.uint64) -> list[np.ndarray]:
-    return [np.full(count, np.iinfo(kind).max, dtype=kind) for _ in range(words)]
-
-
-def _word_kind(length: int) -> type:
-    """The smallest machine word holding ``length`` bits; the largest where none does."""
-    return next((k for k in (np.uint16, np.uint32) if length <= np.iinfo(k).bits), np.uint64)
+def _ones(words: int, count: int) -> list[np.ndarray]:
+    return [np.full(count, np.iinfo(np.uint64).max, dtype=np.uint64) for _ in range(words)]
 
 
 def _lcs_words(left: list[str], right: list[str]) -> np.ndarray:
@@ -133,116 +127,3 @@ def ratio_pairs(left: list[str], right: list[str]) -> np.ndarray:
     scores = ratio(lcs_pairs(left, right), _lengths(left) + _lengths(right))
     same = np.fromiter((a == b for a, b in zip(left, right)), dtype=bool, count=len(left))
     return np.where(same, 100, scores).astype(np.int32)
-
-
-class _Trie:
-    """Names merged by common beginnings, level by level.
-
-    The recurrence reads a name character by character, so names that begin alike share its first
-    steps.  Of the two directions a name can be read in, the one with more sharing is taken; the
-    common subsequence is as long either way.
-    """
-
-    def __init__(self, names: list[str], ranks: np.ndarray):
-        forward, backward = (self._sorted(names, step) for step in (1, -1))
-        self.step, order, codes, fresh = min(
-            (forward, backward), key=lambda candidate: int(candidate[3].sum())
-        )
-        self.ranks = ranks[order]
-        self.lengths = (codes != 0).sum(axis=1)
-        self.alphabet, dense = np.unique(codes, return_inverse=True)
-        dense = dense.reshape(codes.shape)
-        # Per level: each node's parent and character, and the rows that end there with their node.
-        self.levels = []
-        node, width = np.zeros(len(names), dtype=np.int64), 1
-        for level in range(codes.shape[1]):
-            first = np.flatnonzero(fresh[:, level])
-            parents = node[first]
-            if level and np.array_equal(parents, np.arange(width)):
-                parents = None  # every node of the level above goes on to exactly one
-            node, width = np.cumsum(fresh[:, level]) - 1, len(first)
-            ended = np.flatnonzero(self.lengths == level + 1)
-            self.levels.append((parents, dense[first, level], ended, node[ended]))
-        counts = np.zeros((len(names), _HISTOGRAM_BINS), dtype=np.int64)
-        rows, places = np.nonzero(codes)
-        np.add.at(counts, (rows, codes[rows, places] % _HISTOGRAM_BINS), 1)
-        self.most = counts.max(axis=0)
-
-    @staticmethod
-    def _sorted(names: list[str], step: int):
-        turned = [name[::step] for name in names]
-        order = np.array(sorted(range(len(names)), key=turned.__getitem__))
-        codes = _code_points([turned[i] for i in order])
-        fresh = np.ones(codes.shape, dtype=bool)
-        fresh[1:] = np.logical_or.accumulate(codes[1:] != codes[:-1], axis=1)
-        return step, order, codes, fresh & (codes != 0)
-
-    def bound(self, query: str) -> int:
-        """No name here scores higher: letter counts limit the common subsequence.
-
-        Letters are folded into a fixed number of bins, which can only raise the limit.
-        """
-        letters = np.bincount(
-            [ord(ch) % _HISTOGRAM_BINS for ch in query], minlength=_HISTOGRAM_BINS
-        )
-        shared = int(np.minimum(letters, self.most).sum())
-        length = np.clip(shared, self.lengths.min(), self.lengths.max())
-        return int(ratio(np.minimum(shared, length), length + len(query)))
-
-    def scores(self, query: str) -> np.ndarray:
-        """Similarity of ``query`` to every name."""
-        kind = _word_kind(len(query))
-        width = np.iinfo(kind).bits
-        words = -(-len(query) // width)
-        masks = np.zeros((words, len(self.alphabet)), dtype=kind)
-        letters = [ord(ch) for ch in query[:: self.step]]
-        for position, slot in enumerate(np.searchsorted(self.alphabet, letters)):
-            if slot < len(self.alphabet) and self.alphabet[slot] == letters[position]:
-                masks[position // width, slot] |= kind(1) << kind(position % width)
-        final = _ones(words, len(self.ranks), kind)
-        state = _ones(words, 1, kind)
-        for parents, letter, ended, node in self.levels:
-            if parents is not None:
-                state = [row.take(parents) for row in state]
-            state = _advance(state, [mask.take(letter) for mask in masks])
-            if len(ended):
-                for row, reached in zip(final, state):
-                    row[ended] = reached.take(node)
-        # The ratio depends on two small numbers only, so it is looked up.
-        common, longest = np.arange(len(query) + 1), int(self.lengths.max())
-        table = ratio(common, np.arange(longest + 1)[:, None] + len(query))
-        return table.ravel().take(self.lengths * len(common) + _zero_bits(final, len(query)))
-
-
-class NameBlock:
-    """A bounded set of names prepared for repeated best-match searches.
-
-    Names are grouped by the magnitude of their length, so that one very long name does not widen
-    the tables of all the others and groups out of reach are passed over.
-    """
-
-    def __init__(self, names: list[str], ids: np.ndarray):
-        # Ids of any sortable type are compared by their rank.
-        self.by_rank, ranks = np.unique(np.asarray(ids), return_inverse=True)
-        magnitude = np.array([len(name).bit_length() for name in names])
-        self.tries = [
-            _Trie([names[i] for i in np.flatnonzero(magnitude == m)], ranks[magnitude == m])
-            for m in np.unique(magnitude[magnitude > 0])
-        ]
-
-    def best(self, query: str) -> tuple[int, object] | None:
-        """Highest score and, among equals, the lowest id; none where every score is 0."""
-        if not query:
-            return None
-        top, winner = 0, len(self.by_rank)
-        bounds = [(trie.bound(query), trie) for trie in self.tries]
-        for bound, trie in sorted(bounds, key=lambda entry: -entry[0]):
-            if bound < max(top, 1):
-                break
-            scores = trie.scores(query)
-            here = int(scores.max())
-            if here > 0 and here >= top:
-                first = int(trie.ranks[scores == here].min())
-                if here > top or first < winner:
-                    top, winner = here, first
-        return (top, self.by_rank[winner].item()) if top else None

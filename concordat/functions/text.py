@@ -54,6 +54,11 @@ def _ratio(left: pd.Series, right: pd.Series) -> pd.Series:
     return pd.Series(ratio_pairs(left.tolist(), right.tolist()))
 
 
+def key_ratio(a: Column, b: Column) -> Column:
+    """Similarity of two names that are already keys; see ``token_sort_ratio``."""
+    return _ratio(a, b)
+
+
 def token_sort_ratio(a: Column, b: Column) -> Column:
     """Similarity of two names from 0 to 100, blind to word order, case and punctuation.
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from concordat import schemas as S
 from concordat.functions.checks import texts_that_apply
 from concordat.functions.text import present, shown, token_sort_key
-from concordat.operators.nearest import best_names
+from concordat.operators.name_search import best_names
 from concordat.operators.ordinal import in_batches
 from concordat.operators.skew import lookup_join
 from concordat.session import materialize

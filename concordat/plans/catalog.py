@@ -15,7 +15,8 @@ from concordat.operators import curated as C
 from concordat.operators import quality as Q
 from concordat.operators import registry_views as V
 from concordat.operators import resolution as R
-from concordat.operators.nearest import best_names, top_vectors
+from concordat.operators.name_search import best_names
+from concordat.operators.nearest import top_vectors
 from concordat.operators.ordinal import in_batches
 from concordat.operators.validation import (
     match_registry,

@@ -48,6 +48,10 @@ def run_folder(spark: SparkSession, purpose: str) -> str:
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` out once and go on from the copy, so a lost executor costs a re-read only."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint()
+    """Write ``df`` out once and go on from the copy, so a lost executor costs a re-read only.
+
+    The copy is columnar: later steps read the columns they need and push their filters into it.
+    """
+    path = run_folder(df.sparkSession, "step")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

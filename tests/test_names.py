@@ -1,14 +1,15 @@
 import random
 import time
 
-import numpy as np
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from concordat.functions.lcs import NameBlock, lcs_pairs, ratio_pairs
+from concordat.functions.lcs import lcs_pairs, ratio_pairs
 from concordat.functions.text import normalized, token_sort_key, token_sort_ratio
-from concordat.operators.nearest import best_names
+from concordat.operators import name_search
+from concordat.operators.name_search import best_names, candidate_pairs, measured
 
 
 def table_lcs(a, b):
@@ -60,16 +61,6 @@ def test_one_very_long_pair_does_not_hold_up_a_chunk():
     assert time.process_time() - start < 2
 
 
-@settings(max_examples=60, deadline=None)
-@given(LETTERS, st.lists(LETTERS, min_size=1, max_size=30))
-def test_block_search_equals_trying_every_name(query, names):
-    ids = np.arange(len(names))[::-1].copy()
-    scores = [(-plain_ratio(query, n), int(i)) for n, i in zip(names, ids) if n and query]
-    best = min(scores, default=(0, 0))
-    expected = (-best[0], best[1]) if best[0] else None
-    assert NameBlock(names, ids).best(query) == expected
-
-
 KEYS = [
     ("Apple Inc.", "apple inc"),
     ("Inc. Apple", "apple inc"),
@@ -120,7 +111,17 @@ def brute_force(queries, items):
     return best
 
 
-def test_best_names_equals_trying_every_pair(spark):
+def found(spark, queries, items):
+    asked = spark.createDataFrame([(q,) for q in queries] * 2, "key string")
+    offered = spark.createDataFrame(items, "key string, id string")
+    rows = best_names(asked, offered).collect()
+    assert len(rows) == len({row.key for row in rows})
+    return {row.key: (row.score, row.id) for row in rows}
+
+
+@pytest.mark.parametrize("block_rows", [256, 16])
+def test_best_names_equals_trying_every_pair(spark, monkeypatch, block_rows):
+    monkeypatch.setattr(name_search, "BLOCK_ROWS", block_rows)
     random.seed(5)
 
     def name(longest):
@@ -129,13 +130,44 @@ def test_best_names_equals_trying_every_pair(spark):
     queries = {name(12) for _ in range(150)} | {"x" * 210, "x" * 120, "", "zz"}
     items = [(name(12), f"L{i:03}") for i in range(200)]
     items += [("x" * 209, "L901"), ("x" * 211, "L900"), ("x" * 120, "L950"), ("x" * 120, "L940")]
-    asked = spark.createDataFrame([(q,) for q in queries] * 2, "key string")
+    assert found(spark, queries, items) == brute_force(queries, items)
+
+
+def skewed_names(seed, n):
+    """Names of a few words, one of which a third of all names and most queries share."""
+    rng = random.Random(seed)
+    words = ["".join(rng.choices("abcdeiorstn 0é字", k=rng.randint(2, 9))).strip() or "a" for _ in range(60)]
+
+    def name():
+        some = rng.sample(words, rng.randint(1, 3))
+        return " ".join(sorted([*some, "holdings"] if rng.random() < 0.4 else some))
+
+    def typo(text):
+        at = rng.randrange(len(text) + 1)
+        return text[:at] + rng.choice(["", "x", "q"]) + text[at + rng.randint(0, 2) :]
+
+    items = [(name(), f"L{i:04}") for i in range(n)]
+    queries = {typo(typo(key)) for key, _ in rng.sample(items, n // 3)} | {name() for _ in range(n // 5)}
+    return queries | {"q", "holdings", "0123456789" * 12}, items
+
+
+@pytest.mark.parametrize("pieces, block_rows", [((1, 2, 4, 8), 256), ((1, 2, 4, 8), 20), ((3,), 50)])
+def test_skewed_words(spark, monkeypatch, pieces, block_rows):
+    monkeypatch.setattr(name_search, "BLOCK_ROWS", block_rows)
+    monkeypatch.setattr(name_search, "DIFFERENCES", pieces)
+    queries, items = skewed_names(block_rows, 300)
+    assert found(spark, queries, items) == brute_force(queries, items)
+
+
+def test_few_pairs_are_compared(spark):
+    """Numbered names that share all other words, as registries have them."""
+    items = [(f"{i:09} customer plc {('retail', 'trade', 'energy')[i % 3]}", f"L{i:05}") for i in range(2000)]
+    asked = [(f"{i:09} customer plc {('retail', 'trade', 'energy')[i % 3]}",) for i in range(2000, 2300)]
+    asked += [(f"{i:09} customer plc retial",) for i in range(0, 2000, 20)]
+    queries = spark.createDataFrame(asked, "key string")
     offered = spark.createDataFrame(items, "key string, id string")
-    expected = brute_force(queries, items)
-    for rows in (50_000, 64):
-        found = best_names(asked, offered, block_rows=rows).collect()
-        assert {row.key: (row.score, row.id) for row in found} == expected
-        assert len(found) == len(expected)
+    pairs = candidate_pairs(measured(queries), measured(offered)).distinct().count()
+    assert len(asked) <= pairs < 0.2 * len(asked) * len(items)
 
 
 def test_no_names_to_search(spark):
