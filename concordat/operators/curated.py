@@ -1,32 +1,30 @@
-"""The curated table: keyed merges on plain Parquet, and reads over it.
-
-Rows lie in ``data/version=V/bucket=B``, the bucket being a hash of the client id.  A merge writes
-its own rows only, as a delta under a new version, and then appends its buckets to ``commits``; it
-reads nothing of the old table.  Readers take each bucket's newest base and the deltas after it and
-let the row with the greatest order win per client.  Buckets with many deltas are folded into a new
-base.  Readers never see half a merge and never lose files under a running read.  One merge runs at
-a time.
+"""The curated table: keyed merges into plain partitioned Parquet, and reads over it.
+
+Rows lie in ``data/bucket=B``, the bucket being a hash of the client id.  A merge reads the buckets
+its rows fall into, keeps what is newer there and overwrites just these partitions.  A merge that
+fails before its commit leaves the table as it was; one that is cut off while its partitions are
+moved into place is put right by merging the same batch again.  One merge runs at a time, and reads
+that run beside it may have to be repeated.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from concordat import schemas as S
 from concordat.operators.dedupe import last_wins
 from concordat.operators.quality import history_row
-
-COMMIT_SCHEMA = "version bigint, bucket int, buckets int, base boolean"
-# Deltas of a bucket from which a merge folds it.
-MOST_DELTAS = 8
+from concordat.operators.skew import lookup_join
+from concordat.session import materialize
 
 _STORED = T.StructType(
     [
         *S.CURATED.fields,
         T.StructField("ordered_at", T.TimestampType()),
         T.StructField("tie", T.LongType()),
+        T.StructField("bucket", T.IntegerType()),
     ]
 )
 
@@ -55,64 +53,53 @@ class CuratedStore:
         self.spark = spark
         self.root = root.rstrip("/")
         # "ignore" leaves an existing table alone.
-        spark.createDataFrame([(0, -1, buckets, True)], COMMIT_SCHEMA).coalesce(1).write.mode(
-            "ignore"
-        ).parquet(self._commits)
+        settings = spark.createDataFrame([(buckets,)], "buckets int")
+        settings.coalesce(1).write.mode("ignore").parquet(f"{self.root}/settings")
+        none = spark.createDataFrame([], _STORED)
+        none.write.mode("ignore").partitionBy("bucket").parquet(self._data)
         spark.createDataFrame([], S.HISTORY).write.mode("ignore").parquet(self._history)
-        self.buckets = int(self._commit_log().agg(F.max("buckets")).first()[0])
+        self.buckets = spark.read.parquet(f"{self.root}/settings").first().buckets
 
     @property
     def _data(self) -> str:
         return f"{self.root}/data"
 
-    @property
-    def _commits(self) -> str:
-        return f"{self.root}/commits"
-
     @property
     def _history(self) -> str:
         return f"{self.root}/history"
 
-    def _commit_log(self) -> DataFrame:
-        return self.spark.read.schema(COMMIT_SCHEMA).parquet(self._commits)
-
     def _bucket(self) -> Column:
         return F.pmod(F.xxhash64("client_id"), F.lit(self.buckets)).cast("int")
 
-    def _live(self) -> tuple[list[str], list[str]]:
-        """The folders to read: of buckets in one folder, and of buckets in several.
-
-        The log has at most ``MOST_DELTAS`` folders of a bucket after its newest base.
-        """
-        log = self._commit_log().where(F.col("bucket") >= 0)
-        newest = F.max(F.when(F.col("base"), F.col("version"))).alias("since")
-        since = F.coalesce(F.col("since"), F.lit(0))
-        every = log.groupBy("bucket").agg(newest, F.collect_set("version").alias("versions"))
-        rows = every.select("bucket", F.filter("versions", lambda v: v >= since).alias("versions"))
-        alone, several = [], []
-        for row in rows.collect():
-            into = alone if len(row.versions) == 1 else several
-            into += [f"{self._data}/version={v}/bucket={row.bucket}" for v in row.versions]
-        return alone, several
-
-    def _rows(self, folders: list[str]) -> DataFrame:
-        fields = [*_STORED, T.StructField("bucket", T.IntegerType())]
-        versioned = T.StructType([*fields, T.StructField("version", T.LongType())])
-        if not folders:
-            return self.spark.createDataFrame([], versioned)
-        return self.spark.read.option("basePath", self._data).schema(versioned).parquet(*folders)
-
-    def _newest(self, folders: list[str]) -> DataFrame:
-        order = F.struct("ordered_at", "tie", "version")
-        return last_wins(self._rows(folders), "client_id", order)
+    def _stored(self) -> DataFrame:
+        return self.spark.read.schema(_STORED).parquet(self._data)
 
     def read(self) -> DataFrame:
         """The curated table as of the last merge."""
-        alone, several = self._live()
-        rows = self._rows(alone).select(*S.CURATED_COLUMNS)
-        if several:
-            rows = rows.unionByName(self._newest(several).select(*S.CURATED_COLUMNS))
-        return rows
+        return self._stored().select(*S.CURATED_COLUMNS)
+
+    def merged(self, rows: DataFrame) -> DataFrame:
+        """The touched buckets as they are after ``rows``, which hold each client once.
+
+        A small batch is sent to the stored rows, which then stay where they are; beyond that both
+        sides are shuffled once.
+        """
+        # At most as many as the table has buckets.
+        touched = [row.bucket for row in rows.select("bucket").distinct().collect()]
+        arriving = rows.select(
+            "client_id",
+            F.col("ordered_at").alias("new_at"),
+            F.col("tie").alias("new_tie"),
+            F.lit(True).alias("meets"),
+        )
+        beside = lookup_join(self._stored().where(F.col("bucket").isin(touched)), arriving, "client_id")
+        newer = F.struct("ordered_at", "tie") > F.struct(
+            F.col("new_at").alias("ordered_at"), F.col("new_tie").alias("tie")
+        )
+        kept = beside.where(F.col("meets").isNull() | newer).select(*_STORED.names)
+        late = beside.where(F.col("meets") & newer).select("client_id")
+        won = rows.join(late, "client_id", "left_anti").select(*_STORED.names)
+        return kept.unionByName(won.hint("rebalance", "bucket"))
 
     def upsert(
         self,
@@ -137,38 +124,9 @@ class CuratedStore:
             (F.lit(0) if tie is None else tie).cast("long").alias("tie"),
             self._bucket().alias("bucket"),
         )
-        self._write(rows, base=False)
-        log = self._commit_log().where(F.col("bucket") >= 0)
-        last = F.max(F.when(F.col("base"), F.col("version"))).over(Window.partitionBy("bucket"))
-        after = log.withColumn("since", F.coalesce(last, F.lit(-1))).where("version > since")
-        many = after.groupBy("bucket").agg(F.count("*").alias("n")).where(F.col("n") >= MOST_DELTAS)
-        if not many.isEmpty():
-            self.fold()
-
-    def fold(self) -> None:
-        """Rewrite every bucket that has deltas as one base."""
-        _, several = self._live()
-        if several:
-            self._write(self._newest(several).drop("version"), base=True)
-
-    def _write(self, rows: DataFrame, base: bool) -> None:
-        version = int(self._commit_log().agg(F.max("version")).first()[0]) + 1
-        target = f"{self._data}/version={version}"
-        # Rebalancing gathers each bucket into files of even size and splits a large one.
-        # A version that failed before its commit is written over.
-        rows.hint("rebalance", "bucket").write.mode("overwrite").partitionBy("bucket").parquet(target)
-        schema = T.StructType([*_STORED, T.StructField("bucket", T.IntegerType())])
-        written = self.spark.read.schema(schema).parquet(target)
-        self._commit(version, written.select("bucket").distinct(), base)
-
-    def _commit(self, version: int, touched: DataFrame, base: bool) -> None:
-        rows = touched.select(
-            F.lit(version).cast("bigint").alias("version"),
-            "bucket",
-            F.lit(self.buckets).alias("buckets"),
-            F.lit(base).alias("base"),
-        )
-        rows.coalesce(1).write.mode("append").parquet(self._commits)
+        # Only partitions that the result has rows for are replaced, when all of it is written.
+        write = self.merged(materialize(rows)).write.option("partitionOverwriteMode", "dynamic")
+        write.mode("overwrite").partitionBy("bucket").parquet(self._data)
 
     def append_history(self, report: DataFrame, run_id: str, run_at: Column) -> None:
         history_row(report, run_id, run_at).write.mode("append").parquet(self._history)

@@ -373,9 +373,10 @@ _CANDIDATES = [
 ]
 ORACLE["rerank_requests"] = _select(
     _fixtures("registry", "client") + _CANDIDATES,
-    """SELECT listed.client_id, concat('"', coalesce(any_value(entity_name), 'None'), '" (country: ',
+    """SELECT listed.client_id, CASE WHEN count(client.client_id) > 0 THEN
+        concat('"', coalesce(any_value(entity_name), 'None'), '" (country: ',
         coalesce(nullif(any_value(client.country), ''), 'unknown'), ', legal form: ',
-        coalesce(nullif(any_value(client.legal_form), ''), 'unknown'), ')') AS client_line,
+        coalesce(nullif(any_value(client.legal_form), ''), 'unknown'), ')') END AS client_line,
         cast(count(*) AS INT) AS n, string_agg(concat(rank, '. ',
         coalesce(name, 'None'), ' | ', coalesce(listed.country, 'None'), ' | ',
         coalesce(listed.legal_form, 'None'), ' | ', coalesce(lei, 'None')), chr(10) ORDER BY rank)

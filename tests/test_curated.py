@@ -1,15 +1,17 @@
 import glob
 import os
+import re
 
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from concordat import schemas as S
-from concordat.operators import curated
+from concordat.operators import skew
 from concordat.operators.curated import CuratedStore, issues_json, top_entities
 from concordat.operators.quality import batch_report
-from tests.helpers import at
+from concordat.session import materialize
+from tests.helpers import at, plan
 
 
 def batch(spark, *rows):
@@ -43,13 +45,19 @@ def test_upsert_is_idempotent_and_last_wins(spark, tmp_path):
     assert again.read().schema.fieldNames() == list(S.CURATED_COLUMNS)
 
 
+def files(root):
+    return {path: os.path.getmtime(path) for path in glob.glob(f"{root}/data/bucket=*/*.parquet")}
+
+
 def test_untouched_buckets_keep_their_files(spark, tmp_path):
     root = str(tmp_path / "s")
     store = CuratedStore(spark, root, buckets=16)
     store.upsert(batch(spark, *[(f"C{i}", i, 0.4, "MISMATCH") for i in range(200)]), "place", at())
+    before = files(root)
     store.upsert(batch(spark, ("C7", 1, 1.0, "VERIFIED")), "place", at("2024-01-02 00:00:00"))
-    assert len(glob.glob(f"{root}/data/version=1/bucket=*")) == 16
-    assert len(glob.glob(f"{root}/data/version=2/bucket=*")) == 1
+    after = files(root)
+    assert len({os.path.dirname(path) for path in before}) == 16
+    assert len({os.path.dirname(path) for path in set(before) ^ set(after)}) == 1
     assert store.read().count() == 200
     assert store.read().where("client_id = 'C7'").first().quality_score == 1.0
 
@@ -59,8 +67,13 @@ def test_failed_merge_is_never_seen(spark, tmp_path):
     store.upsert(batch(spark, ("A", 1, 0.2, "MISMATCH")), "place", at())
     before = contents(store)
     broken = CuratedStore(spark, store.root)
-    broken._commit = lambda *args: (_ for _ in ()).throw(OSError("lost"))
-    with pytest.raises(OSError):
+    whole = broken.merged
+
+    def failing(rows):
+        return whole(rows).where(F.when(F.col("client_id") == "Z", F.raise_error(F.lit("lost"))).isNull())
+
+    broken.merged = failing
+    with pytest.raises(Exception, match="lost"):
         broken.upsert(batch(spark, ("A", 1, 1.0, "VERIFIED"), ("Z", 2, 1.0, "VERIFIED")), "place", at())
     assert contents(CuratedStore(spark, store.root)) == before
     store.upsert(batch(spark, ("B", 1, 0.4, "MISMATCH")), "place", at())
@@ -87,28 +100,39 @@ def test_late_rows_do_not_replace_newer_ones(spark, tmp_path):
     assert contents(store)["B"][0] == 0.9
 
 
-def test_a_merge_writes_its_own_rows_only(spark, tmp_path):
-    store = CuratedStore(spark, str(tmp_path / "s"), buckets=1)
-    store.upsert(batch(spark, *[(f"C{i}", i, 0.4, "MISMATCH") for i in range(500)]), "place", at())
-    store.upsert(batch(spark, ("C7", 1, 1.0, "VERIFIED")), "place", at("2024-01-02 00:00:00"))
-    assert spark.read.parquet(f"{store.root}/data/version=2").count() == 1
-    assert store.read().count() == 500
+@pytest.mark.parametrize("small", [True, False])
+def test_merges_of_any_size_give_the_same(spark, tmp_path, monkeypatch, small):
+    if not small:
+        monkeypatch.setattr(skew, "BROADCAST_ROWS", -1)
+    store = CuratedStore(spark, str(tmp_path / "s"), buckets=3)
+    expected = {}
+    for day, first in ((2, 0), (1, 40), (3, 80)):
+        names = [f"C{i}" for i in range(first, first + 60)]
+        rows = batch(spark, *[(name, 1, day / 10, "MISMATCH") for name in names])
+        store.upsert(rows, "place", at(f"2024-01-0{day} 00:00:00"))
+        expected |= {n: day / 10 for n in names if expected.get(n, 0) <= day / 10}
+    assert {name: score for name, (score, _) in contents(store).items()} == expected
 
 
-def test_many_deltas_are_folded(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(curated, "MOST_DELTAS", 3)
-    store = CuratedStore(spark, str(tmp_path / "s"), buckets=1)
-    for day in range(1, 6):
-        rows = batch(spark, ("A", 1, day / 10, "MISMATCH"), (f"B{day}", 2, 0.1, "MISSING"))
-        store.upsert(rows, "place", at(f"2024-01-0{day} 00:00:00"))
-        assert contents(store)["A"][0] == day / 10 and store.read().count() == day + 1
-    alone, several = store._live()
-    assert len(alone) + len(several) <= 3
-    store.fold()
-    alone, several = store._live()
-    assert len(alone) == 1 and not several and store.read().count() == 6
-    store.upsert(batch(spark, ("A", 1, 0.0, "MISSING")), "place", at("2023-01-01 00:00:00"))
-    assert contents(store)["A"][0] == 0.5
+def exchanged(df, folder, column):
+    """Exchanges of the plan that carry ``column`` as scanned from ``folder``."""
+    steps = re.split(r"\n\(\d+\) ", plan(df))
+    scans = [step for step in steps if step.startswith("Scan parquet") and folder in step]
+    marks = [re.search(rf"{column}#\d+", step)[0] for step in scans if f"{column}#" in step]
+    assert marks
+    return [s for s in steps if s.startswith("Exchange") and any(f"{m}," in s for m in marks)]
+
+
+@pytest.mark.parametrize("small", [True, False])
+def test_a_small_batch_moves_no_stored_rows(spark, tmp_path, no_auto_broadcast, monkeypatch, small):
+    if not small:
+        monkeypatch.setattr(skew, "BROADCAST_ROWS", -1)
+    store = CuratedStore(spark, str(tmp_path / "s"), buckets=4)
+    store.upsert(batch(spark, *[(f"C{i}", i, 0.4, "MISMATCH") for i in range(300)]), "place", at())
+    rows = materialize(store._stored().where("client_id < 'C2'"))
+    merged = store.merged(rows)
+    assert merged.count() == 300
+    assert bool(exchanged(merged, f"{store.root}/data", "gleif_name")) != small
 
 
 def test_listing_history_export(spark, tmp_path):
