@@ -346,7 +346,9 @@ def _top(queries: str, items: str, out: str) -> str:
 ORACLE["vector_topk"] = _select(
     [
         "vectors AS (SELECT vec_id AS id, embedding::DOUBLE[] AS vector FROM embeddings)",
-        _top("vectors", "vectors", "best"),
+        "asking AS (SELECT * FROM vectors WHERE id % 10 = 0)",
+        "offered AS (SELECT * FROM vectors WHERE id % 10 <> 0)",
+        _top("asking", "offered", "best"),
     ],
     "SELECT query_id, rank, id, score FROM best",
 )
