@@ -1,8 +1,9 @@
 """The curated table: keyed merges into plain partitioned Parquet, and reads over it.
 
 Rows lie in ``data/bucket=B``, the bucket being a hash of the client id.  A merge reads the buckets
-its rows fall into, keeps what is newer there and overwrites just these partitions.  A merge that
-fails before its commit leaves the table as it was; one that is cut off while its partitions are
+its rows fall into, keeps what is newer there and overwrites just these partitions; then it writes
+their totals anew, from which reports and the status mart are merged without reading a row.  A merge
+that fails before its commit leaves the table as it was; one that is cut off while its partitions are
 moved into place is put right by merging the same batch again.  One merge runs at a time, and reads
 that run beside it may have to be repeated.
 """
@@ -15,7 +16,7 @@ from pyspark.sql import types as T
 
 from concordat import schemas as S
 from concordat.operators.dedupe import last_wins
-from concordat.operators.quality import history_row
+from concordat.operators.quality import history_row, mart_of, partials, report_of
 from concordat.operators.skew import lookup_join
 from concordat.session import materialize
 
@@ -57,6 +58,9 @@ class CuratedStore:
         settings.coalesce(1).write.mode("ignore").parquet(f"{self.root}/settings")
         none = spark.createDataFrame([], _STORED)
         none.write.mode("ignore").partitionBy("bucket").parquet(self._data)
+        self._totals_schema = partials(none, "bucket").schema
+        nothing = spark.createDataFrame([], self._totals_schema)
+        nothing.write.mode("ignore").partitionBy("bucket").parquet(self._totals)
         spark.createDataFrame([], S.HISTORY).write.mode("ignore").parquet(self._history)
         self.buckets = spark.read.parquet(f"{self.root}/settings").first().buckets
 
@@ -64,6 +68,10 @@ class CuratedStore:
     def _data(self) -> str:
         return f"{self.root}/data"
 
+    @property
+    def _totals(self) -> str:
+        return f"{self.root}/totals"
+
     @property
     def _history(self) -> str:
         return f"{self.root}/history"
@@ -78,21 +86,41 @@ class CuratedStore:
         """The curated table as of the last merge."""
         return self._stored().select(*S.CURATED_COLUMNS)
 
+    def totals(self) -> DataFrame:
+        """Additive totals of the table by bucket, country and status."""
+        return self.spark.read.schema(self._totals_schema).parquet(self._totals)
+
+    def report(self) -> DataFrame:
+        """``store_report`` of the whole table, merged from its totals."""
+        return report_of(self.totals())
+
+    def mart(self) -> DataFrame:
+        """The status mart of the whole table, merged from its totals."""
+        return mart_of(self.totals())
+
+    def _touched(self, rows: DataFrame) -> DataFrame:
+        """The stored rows of the buckets that ``rows`` fall into: at most all buckets are listed."""
+        touched = [row.bucket for row in rows.select("bucket").distinct().collect()]
+        return self._stored().where(F.col("bucket").isin(touched))
+
+    def _replace(self, rows: DataFrame, path: str) -> None:
+        """Replace the partitions ``rows`` has rows for, once all of them are written."""
+        write = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        write.partitionBy("bucket").parquet(path)
+
     def merged(self, rows: DataFrame) -> DataFrame:
         """The touched buckets as they are after ``rows``, which hold each client once.
 
         A small batch is sent to the stored rows, which then stay where they are; beyond that both
         sides are shuffled once.
         """
-        # At most as many as the table has buckets.
-        touched = [row.bucket for row in rows.select("bucket").distinct().collect()]
         arriving = rows.select(
             "client_id",
             F.col("ordered_at").alias("new_at"),
             F.col("tie").alias("new_tie"),
             F.lit(True).alias("meets"),
         )
-        beside = lookup_join(self._stored().where(F.col("bucket").isin(touched)), arriving, "client_id")
+        beside = lookup_join(self._touched(rows), arriving, "client_id")
         newer = F.struct("ordered_at", "tie") > F.struct(
             F.col("new_at").alias("ordered_at"), F.col("new_tie").alias("tie")
         )
@@ -124,9 +152,9 @@ class CuratedStore:
             (F.lit(0) if tie is None else tie).cast("long").alias("tie"),
             self._bucket().alias("bucket"),
         )
-        # Only partitions that the result has rows for are replaced, when all of it is written.
-        write = self.merged(materialize(rows)).write.option("partitionOverwriteMode", "dynamic")
-        write.mode("overwrite").partitionBy("bucket").parquet(self._data)
+        rows = materialize(rows)
+        self._replace(self.merged(rows), self._data)
+        self._replace(partials(self._touched(rows), "bucket"), self._totals)
 
     def append_history(self, report: DataFrame, run_id: str, run_at: Column) -> None:
         history_row(report, run_id, run_at).write.mode("append").parquet(self._history)

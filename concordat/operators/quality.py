@@ -78,6 +78,8 @@ def alerts() -> Column:
     )
 
 
+# Fields whose completeness the report of the whole table gives.
+_SHARED_FIELDS = {"lei": "entity_lei", "name": "gleif_name", "country": "gleif_country"}
 _REPORT_COUNTS = ("total_records", "verified", "mismatched", "inactive", "missing")
 
 
@@ -109,12 +111,11 @@ def store_report(curated: DataFrame) -> DataFrame:
     Completeness here asks for any value, so an empty text counts as present, unlike in
     ``batch_report``; there are no alerts.
     """
-    fields = {"lei": "entity_lei", "name": "gleif_name", "country": "gleif_country"}
-    shares = [non_null_share(column).alias(f"share_{name}") for name, column in fields.items()]
+    shares = [non_null_share(c).alias(f"share_{name}") for name, c in _SHARED_FIELDS.items()]
     totals = curated.agg(
         *status_counts(), overall_score().alias("overall_quality_score"), *shares
     )
-    pairs = [part for name in fields for part in (F.lit(name), F.col(f"share_{name}"))]
+    pairs = [part for name in _SHARED_FIELDS for part in (F.lit(name), F.col(f"share_{name}"))]
     return totals.select(
         *_REPORT_COUNTS,
         "overall_quality_score",
@@ -123,6 +124,51 @@ def store_report(curated: DataFrame) -> DataFrame:
     )
 
 
+def partials(curated: DataFrame, *keys: str) -> DataFrame:
+    """Additive totals per ``keys``, country and status, from which reports and marts are merged."""
+    given = [F.count(column).alias(f"given_{name}") for name, column in _SHARED_FIELDS.items()]
+    return curated.groupBy(*keys, "gleif_country", "verification_status").agg(
+        F.count("*").alias("records"),
+        F.count("quality_score").alias("scored"),
+        F.coalesce(F.sum(F.round(F.col("quality_score") * 10).cast("bigint")), F.lit(0)).alias("tenths"),
+        *given,
+    )
+
+
+def report_of(totals: DataFrame) -> DataFrame:
+    """``store_report`` from the totals of ``partials`` in place of the rows."""
+    status, records = F.col("verification_status"), F.col("records")
+
+    def rows(wanted: Column | None = None) -> Column:
+        counted = records if wanted is None else F.when(wanted, records)
+        return F.coalesce(F.sum(counted), F.lit(0))
+
+    def share(name: str) -> Column:
+        nulls = rows() - F.coalesce(F.sum(f"given_{name}"), F.lit(0))
+        return F.coalesce(F.round(F.lit(1.0) - F.try_divide(nulls, rows()), 3), F.lit(0.0))
+
+    score = F.round(F.try_divide(F.sum("tenths"), F.sum("scored") * 10), 4)
+    pairs = [part for name in _SHARED_FIELDS for part in (F.lit(name), share(name))]
+    return totals.agg(
+        rows().alias("total_records"),
+        rows(status == S.VERIFIED).alias("verified"),
+        rows(status == S.MISMATCH).alias("mismatched"),
+        rows(status == S.INACTIVE).alias("inactive"),
+        rows(status.isin(S.MISSING, S.UNVERIFIED)).alias("missing"),
+        F.coalesce(score, F.lit(0.0)).alias("overall_quality_score"),
+        F.create_map(*pairs).alias("field_completeness"),
+        F.array().cast("array<string>").alias("issues_summary"),
+    )
+
+
+def mart_of(totals: DataFrame) -> DataFrame:
+    """Rows and mean score by country and status, from the totals of ``partials``."""
+    return totals.groupBy("gleif_country", "verification_status").agg(
+        F.sum("records").alias("records"),
+        F.round(F.sum("tenths") / (F.sum("records") * 10), 4).alias("mean_score"),
+    )
+
+
 def history_row(report: DataFrame, run_id: str, run_at: Column) -> DataFrame:
     """The report as a row of the quality history."""
     return report.select(

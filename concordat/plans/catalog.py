@@ -317,6 +317,28 @@ def upsert_merge(spark, sf_dir):
     return _flat_results(store.read(), _time("processed_at"))
 
 
+def _merged_three_times(spark, sf_dir) -> C.CuratedStore:
+    """A store that takes all clients in three merges, which overlap and come out of order."""
+    results = _results(spark, sf_dir)
+    number = F.substring("client_id", 2, 20).cast("long")
+    store = C.CuratedStore(spark, run_folder(spark, "merges"), buckets=8)
+    store.upsert(results.where(number % 2 == 0), "client_id", at(LATER))
+    store.upsert(results.where(number % 3 == 0).withColumn("quality_score", F.lit(0.1)), "client_id", at(RUN_AT))
+    store.upsert(results.where(number % 2 == 1), "client_id", at(LATER))
+    return store
+
+
+@query
+def merged_store_report(spark, sf_dir):
+    """The store's report from the totals that merges leave behind."""
+    return _flat_report(_merged_three_times(spark, sf_dir).report(), "lei", "name", "country")
+
+
+@query
+def merged_status_mart(spark, sf_dir):
+    return _merged_three_times(spark, sf_dir).mart()
+
+
 @query
 def issues_json(spark, sf_dir):
     return _results(spark, sf_dir).select("client_id", C.issues_json(F.col("issues")).alias("issues"))

@@ -493,6 +493,9 @@ ORACLE["status_mart"] = _select(
     FROM results GROUP BY gleif_country, verification_status""",
 )
 
+ORACLE["merged_store_report"] = ORACLE["store_quality_report"]
+ORACLE["merged_status_mart"] = ORACLE["status_mart"]
+
 # --- whole jobs --------------------------------------------------------------------------------
 
 # Empty fields of an upload are absent, names included.

@@ -9,7 +9,8 @@ from pyspark.sql import types as T
 from concordat import schemas as S
 from concordat.operators import skew
 from concordat.operators.curated import CuratedStore, issues_json, top_entities
-from concordat.operators.quality import batch_report
+from concordat.operators.quality import batch_report, store_report
+from concordat.operators.registry_views import status_mart
 from concordat.session import materialize
 from tests.helpers import at, plan
 
@@ -114,6 +115,18 @@ def test_merges_of_any_size_give_the_same(spark, tmp_path, monkeypatch, small):
     assert {name: score for name, (score, _) in contents(store).items()} == expected
 
 
+def test_totals_give_the_report_of_the_rows(spark, tmp_path):
+    store = CuratedStore(spark, str(tmp_path / "s"), buckets=3)
+    assert store.report().collect() == store_report(store.read()).collect()
+    for day, first in ((2, 0), (1, 40), (3, 80)):
+        rows = [(f"C{i}", 1, i % 11 / 10, ("MISSING", "VERIFIED")[i % 2]) for i in range(first, first + 60)]
+        new = batch(spark, *rows).withColumn("gleif_name", F.expr("if(place = 1 and quality_score > 0.5, null, '')"))
+        store.upsert(new, "place", at(f"2024-01-0{day} 00:00:00"))
+        assert store.report().collect() == store_report(store.read()).collect()
+        assert sorted(store.mart().collect()) == sorted(status_mart(store.read()).collect())
+    assert store.report().first().total_records == 140
+
+
 def exchanged(df, folder, column):
     """Exchanges of the plan that carry ``column`` as scanned from ``folder``."""
     steps = re.split(r"\n\(\d+\) ", plan(df))
