@@ -11,6 +11,8 @@ from concordat.functions.text import normalized, token_sort_key, token_sort_rati
 from concordat.operators import name_search
 from concordat.operators.name_search import best_names, candidate_pairs, measured
 
+from tests.helpers import plan
+
 
 def table_lcs(a, b):
     row = [0] * (len(b) + 1)
@@ -95,6 +97,18 @@ def test_keys_and_ratios(spark):
     assert [row[0] for row in got] == [score for _, _, score in RATIOS]
 
 
+def test_ratio_expression_equals_the_table(spark):
+    rng = random.Random(12)
+    sizes = [(0, 3), (59, 60), (60, 61), (61, 121), (180, 33), (300, 250), (7, 7), (20, 24)] * 4
+    pairs = [tuple("".join(rng.choices("abc字é😀0", k=n)) for n in size) for size in sizes]
+    pairs += [(a, a[1:] + "x") for a, _ in pairs if a]
+    names = spark.createDataFrame(pairs, "a string, b string")
+    keyed = names.select(token_sort_key(F.col("a")), token_sort_key(F.col("b"))).collect()
+    ratio = names.select(token_sort_ratio(F.col("a"), F.col("b")))
+    assert [row[0] for row in ratio.collect()] == [plain_ratio(a, b) for a, b in keyed]
+    assert "EvalPython" not in plan(ratio)
+
+
 def test_normalizing_cuts_all_white_space(spark):
     texts = ["\t A\x1f", " b c ", None, "", "É　"]
     rows = spark.createDataFrame([(t,) for t in texts], "t string")
