@@ -6,9 +6,10 @@ from pyspark.sql import functions as F
 from concordat import schemas as S
 from concordat.operators.ordinal import with_ordinal
 from concordat.sources import registry as G
+from concordat.sources import staging
 from concordat.sources.staging import clear, latest_staged, read_staged, stage
 from concordat.sources.upload import accepted, check_suffix, read_upload, rejected, to_clients
-from tests.helpers import MATCHING, at, client, clients, registry
+from tests.helpers import MATCHING, at, client, clients, plan, registry
 
 UPLOAD = """ Client ID ,Entity Name,ENTITY_LEI,country,legal form,contact_email,Notes
 C1,"Acme, Inc.",00012,NA,LLC,a@x,"said ""hi"", left"
@@ -198,3 +199,30 @@ def test_last_record_of_an_extract_wins(spark, tmp_path):
     pages = G.read_pages(spark, str(tmp_path), ordered=True)
     records = G.current_records(G.flatten_pages(pages))
     assert {r.lei: r.status for r in records.collect()} == {"L1": "c", "L2": "e", "L3": "f"}
+
+
+@pytest.mark.parametrize("spread", ["own", "few", "one", "hot"])
+def test_newest_rows_whatever_the_times(spark, spread):
+    n = 20_000
+    time = {"own": "id", "few": "id % 7", "one": "5", "hot": "if(id % 3 = 0, 9000, id)"}[spread]
+    rows = spark.range(n).select(
+        *[F.concat(F.lit(name), F.lpad(F.col("id").cast("string"), 6, "0")).alias(name) for name in S.CLIENT_COLUMNS],
+        F.expr(f"if(id % 50 = 49, null, timestamp_seconds({time}))").alias("ingested_at"),
+    )
+    expected = rows.orderBy(F.desc("ingested_at"), "client_id").limit(300).collect()
+    newest = latest_staged(rows, 300)
+    assert newest.collect() == expected
+    assert "Window" not in plan(newest)
+    if spread == "own":
+        # What is left to sort is little more than what is asked for.
+        cut = staging._cut(rows, 300)
+        assert 300 <= rows.where(F.col("ingested_at") >= cut).count() <= 1000
+
+
+def test_fewer_staged_rows_than_asked_for(spark):
+    rows = spark.range(3).select(
+        *[F.col("id").cast("string").alias(name) for name in S.CLIENT_COLUMNS],
+        F.lit(None).cast("timestamp").alias("ingested_at"),
+    )
+    assert [r.client_id for r in latest_staged(rows, 10).collect()] == ["0", "1", "2"]
+    assert latest_staged(rows.limit(0), 10).count() == 0
