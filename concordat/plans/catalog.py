@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from concordat import schemas as S
 from concordat.functions.checks import is_inactive, is_missing_lei
 from concordat.functions.text import normalized, token_sort_key, token_sort_ratio
-from concordat.functions.vectors import name_vectors, unit
+from concordat.functions.vectors import fit_name_vectors, name_vectors, unit, weighted_name_vectors
 from concordat.operators import curated as C
 from concordat.operators import quality as Q
 from concordat.operators import registry_views as V
@@ -408,6 +409,21 @@ def name_vector_topk(spark, sf_dir):
     return top_vectors(name_vectors(clients, "entity_name"), name_vectors(records, "name"))
 
 
+@query
+def weighted_name_topk(spark, sf_dir):
+    """Nearest registry names by vectors whose weights are fitted on the registry, saved and read
+    again before the clients come."""
+    clients = fixture(spark, sf_dir, "client").select(F.col("client_id").alias("id"), "entity_name")
+    records = fixture(spark, sf_dir, "registry").select(F.col("lei").alias("id"), "name")
+    path = run_folder(spark, "name-model")
+    fit_name_vectors(records, "name").write().save(path)
+    model = PipelineModel.load(path)
+    return top_vectors(
+        weighted_name_vectors(model, clients, "entity_name"),
+        weighted_name_vectors(model, records, "name"),
+    )
+
+
 def _candidates(spark, sf_dir) -> DataFrame:
     """Registry candidates of the clients that have an embedding."""
     lei = F.concat(

@@ -575,8 +575,24 @@ _NAME_PRODUCTS = """names AS (SELECT 'c' AS side, client_id AS id, entity_name A
     products AS (SELECT query_id, id, coalesce(s, 0) AS s
         FROM (SELECT client_id AS query_id FROM client) CROSS JOIN (SELECT lei AS id FROM registry)
         LEFT JOIN shared USING (query_id, id))"""
+# The same with the weight of each slot worked out from the registry's names.
+_WEIGHTED_PRODUCTS = _NAME_PRODUCTS.replace(
+    "counts AS (SELECT side, id, slot, count(*)::DOUBLE AS n FROM m9 GROUP BY ALL)",
+    """plain AS (SELECT side, id, slot, count(*)::DOUBLE AS n FROM m9 GROUP BY ALL),
+    seen AS (SELECT slot, count(*) AS df FROM plain WHERE side = 'r' GROUP BY slot),
+    weights AS (SELECT slot, ln(((SELECT count(*) FROM registry) + 1.0)::DOUBLE / (coalesce(df, 0) + 1)) AS w
+        FROM (SELECT DISTINCT slot FROM plain) LEFT JOIN seen USING (slot)),
+    counts AS (SELECT side, id, slot, n * w AS n FROM plain JOIN weights USING (slot))""",
+).replace("(n / sqrt(sum(n * n) OVER (PARTITION BY side, id)))", "(CASE WHEN sum(n * n) OVER d > 0 THEN n / sqrt(sum(n * n) OVER d) ELSE 0 END)").replace(
+    "AS v FROM counts)", "AS v FROM counts WINDOW d AS (PARTITION BY side, id))"
+)
 ORACLE["name_vector_topk"] = _select(
     [*_fixtures("client", "registry"), _NAME_PRODUCTS],
     """SELECT query_id, cast(row_number() OVER (PARTITION BY query_id ORDER BY round(s, 12) DESC, id) AS INT) AS rank,
         id, round(s, 6) AS score FROM products QUALIFY rank <= 5""",
 )
+ORACLE["weighted_name_topk"] = _select(
+    [*_fixtures("client", "registry"), _WEIGHTED_PRODUCTS],
+    """SELECT query_id, cast(row_number() OVER (PARTITION BY query_id ORDER BY round(s, 12) DESC, id) AS INT) AS rank,
+        id, round(s, 6) AS score FROM products QUALIFY rank <= 5""",
+)
