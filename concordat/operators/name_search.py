@@ -93,8 +93,9 @@ def _differing(length: Column, other: Column, score: Column) -> Column:
     return F.floor((length + other) * (F.lit(201) - score * 2) / 200).cast("int")
 
 
-def first_scores(asked: DataFrame, offered: DataFrame) -> DataFrame:
-    """Adds ``floor``: the best score with a few names that share a word, 1 where there are none."""
+def first_scores(asked: DataFrame, offered: DataFrame, least: int = 1) -> DataFrame:
+    """Adds ``floor``: the best score with a few names that share a word, ``least`` where there are
+    none, or none so good."""
     words = F.explode(F.array_distinct(F.split("key", " ")))
     by_word = offered.select("id", F.col("key").alias("other"), words.alias("word"))
     nth = F.row_number().over(Window.partitionBy("word").orderBy("id"))
@@ -104,7 +105,7 @@ def first_scores(asked: DataFrame, offered: DataFrame) -> DataFrame:
     met = lookup_join(asked.select("key", words.alias("word")), seeds, "word", "inner")
     pairs = met.select("key", F.explode("others").alias("other")).distinct()
     found = pairs.groupBy("key").agg(F.max(key_ratio(F.col("key"), F.col("other"))).alias("floor"))
-    best = F.greatest(F.coalesce("floor", F.lit(1)), F.lit(1)).alias("floor")
+    best = F.greatest(F.col("floor"), F.lit(least)).alias("floor")
     return asked.join(found, "key", "left").select(*asked.columns, best)
 
 
@@ -253,12 +254,13 @@ def _raised(asked: DataFrame, offered: DataFrame, sizes: DataFrame) -> DataFrame
     return asked.join(told, "key", "left").select(*rest, F.greatest("floor", "reached").alias("floor"))
 
 
-def candidate_pairs(asked: DataFrame, offered: DataFrame) -> DataFrame:
-    """``key``, ``other`` and ``id`` of all pairs that may be a best match; all ties are among them.
+def candidate_pairs(asked: DataFrame, offered: DataFrame, least: int = 1) -> DataFrame:
+    """``key``, ``other`` and ``id`` of all pairs that may be a best match of ``least`` or more; all
+    ties are among them.
 
     Both sides come from ``measured``; ``asked`` has non-empty keys, ``offered`` each key once.
     """
-    scored = first_scores(asked, offered)
+    scored = first_scores(asked, offered, least)
     scored = materialize(scored.withColumn("cuts", _cut_for(F.col("length"), F.col("floor"))))
     near, far = scored.where("cuts is not null"), scored.where("cuts is null").drop("cuts")
     sizes = _class_sizes(offered)
@@ -276,12 +278,13 @@ def _best_of_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield kept.groupby("key", as_index=False).agg({"score": "first", "id": "min"})
 
 
-def best_names(queries: DataFrame, items: DataFrame) -> DataFrame:
-    """For each name key the most similar item: columns ``key``, ``score`` (1 to 100), ``id``.
+def best_names(queries: DataFrame, items: DataFrame, least: int = 1) -> DataFrame:
+    """For each name key the most similar item: columns ``key``, ``score`` (``least`` to 100), ``id``.
 
     ``queries`` has column ``key`` and ``items`` columns ``key`` and ``id``; keys come from
     ``functions.text.token_sort_key``.  Among equal scores the lowest id wins; a query with no
-    similarity to any item has no row.  Nothing is capped: pairs are left out only where their
+    such similarity to any item has no row, and the higher ``least``, the fewer pairs are looked at.
+    Nothing is capped: pairs are left out only where their
     lengths, pieces or letters show that they score less than a pair already known.
     """
     offered = materialize(measured(items.groupBy("key").agg(F.min("id").alias("id"))))
@@ -295,10 +298,10 @@ def best_names(queries: DataFrame, items: DataFrame) -> DataFrame:
     settled = asked.where(F.col("same").isNotNull() & alone)
     settled = settled.select("key", F.lit(100).alias("score"), F.col("same").alias("id"))
     still = asked.where((F.col("same").isNull() | ~alone) & (F.col("length") > 0)).drop("same")
-    pairs = candidate_pairs(still, offered.where("length > 0"))
+    pairs = candidate_pairs(still, offered.where("length > 0"), least)
     ids = items.schema["id"].dataType.simpleString()
     scored = pairs.mapInPandas(_best_of_batches, f"key string, score int, id {ids}")
     order = F.struct(-F.col("score"), F.col("id"))
-    best = scored.groupBy("key").agg(F.min_by(F.struct("score", "id"), order).alias("best"))
+    best = scored.where(F.col("score") >= least).groupBy("key").agg(F.min_by(F.struct("score", "id"), order).alias("best"))
     # Written out, so that no later step scores the pairs again.
     return materialize(settled.unionByName(best.select("key", "best.score", "best.id")))

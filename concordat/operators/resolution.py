@@ -6,6 +6,8 @@ and the most similar name.  The outcome of each way is a struct of record, score
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -45,12 +47,14 @@ def outcome(record: Column, score: Column, method: Column) -> Column:
     )
 
 
-def by_name(clients: DataFrame, registry: DataFrame) -> DataFrame:
+def by_name(clients: DataFrame, registry: DataFrame, min_score: float = 0.0) -> DataFrame:
     """Add ``by_name``: the most similar registry name among all; ties go to the lowest
-    identifier.  No similarity at all leaves the record null at score 0."""
+    identifier.  No similarity at all, or none of ``min_score`` (0 to 1), leaves the record null at
+    score 0."""
     keyed = clients.withColumn(_KEY, token_sort_key(F.col("entity_name")))
     names = registry.select(token_sort_key(F.col("name")).alias("key"), F.col("lei").alias("id"))
-    found = best_names(keyed.select(F.col(_KEY).alias("key")), names)
+    least = max(1, math.ceil(round(min_score * 100, 6)))
+    found = best_names(keyed.select(F.col(_KEY).alias("key")), names, least)
     records = registry.select(F.col("lei").alias("id"), _record())
     # Many names may share one best record; one name may belong to many clients.
     matched = lookup_join(found, records, "id", "left").select(
@@ -216,22 +220,26 @@ def resolve(
     candidates: DataFrame | None = None,
     answers: DataFrame | None = None,
     names: bool = True,
+    min_score: float = 0.0,
 ) -> DataFrame:
     """Resolve every client row against the whole registry.
 
     With ``candidates`` (``query_id`` holding client ids, from ``top_vectors``) the vector ways
     are used and name similarity serves the clients that have none; without, name similarity
     alone.  Without ``names`` such clients stay open: as having no candidates, or no index to
-    search where ``candidates`` are not given at all.
+    search where ``candidates`` are not given at all.  Name similarity below ``min_score`` is no
+    match; by default the best name stands however low its score.
     """
     if candidates is None:
-        return finish(by_name(clients, registry), "by_name") if names else finish(clients, otherwise=NO_INDEX)
+        if not names:
+            return finish(clients, otherwise=NO_INDEX)
+        return finish(by_name(clients, registry, min_score), "by_name")
     found = materialize(by_vector(candidate_lists(candidates, registry), answers))
     seen = lookup_join(clients, found, "client_id", "left")
     if not names:
         return finish(seen, "by_vector", otherwise=NO_CANDIDATES)
     # Outcomes by name are only worked out for the clients that need them.
-    rest = by_name(seen.where(F.col("by_vector").isNull()).drop("by_vector"), registry)
+    rest = by_name(seen.where(F.col("by_vector").isNull()).drop("by_vector"), registry, min_score)
     resolved = seen.where(F.col("by_vector").isNotNull())
     return finish(resolved, "by_vector").unionByName(finish(rest, "by_name"))
 

@@ -518,6 +518,12 @@ def resolve_by_name(spark, sf_dir):
     return _flat_resolutions(R.resolve(*_unmatched_and_registry(spark, sf_dir)))
 
 
+@query
+def resolve_by_close_name(spark, sf_dir):
+    """Only names of similarity 0.73 or more are matches: some of the shortened ones."""
+    return _flat_resolutions(R.resolve(*_unmatched_and_registry(spark, sf_dir), min_score=0.73))
+
+
 @query
 def resolve_entities(spark, sf_dir):
     """All ways at once: answers, candidates, and names for the clients without a vector."""

@@ -449,6 +449,12 @@ _RESOLVED = f"""SELECT client_id, lei, name, round(raw_score, 4) AS match_score,
 ORACLE["resolve_by_name"] = _select(
     _results() + [_UNMATCHED] + _by_name("open"), f"{_RESOLVED} FROM by_name"
 )
+ORACLE["resolve_by_close_name"] = _select(
+    _results() + [_UNMATCHED] + _by_name("open"),
+    f"""{_RESOLVED} FROM (SELECT client_id, CASE WHEN raw_score >= 0.73 THEN lei END AS lei,
+        CASE WHEN raw_score >= 0.73 THEN name END AS name,
+        CASE WHEN raw_score >= 0.73 THEN raw_score ELSE 0 END::DOUBLE AS raw_score, match_method FROM by_name)""",
+)
 ORACLE["resolve_entities"] = _select(
     _results()
     + _fixtures("rerank_answers")

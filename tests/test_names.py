@@ -173,6 +173,15 @@ def test_skewed_words(spark, monkeypatch, pieces, block_rows):
     assert found(spark, queries, items) == brute_force(queries, items)
 
 
+@pytest.mark.parametrize("least", [60, 90])
+def test_least_score(spark, least):
+    queries, items = skewed_names(7, 200)
+    asked = spark.createDataFrame([(q,) for q in queries], "key string")
+    rows = best_names(asked, spark.createDataFrame(items, "key string, id string"), least).collect()
+    expected = {q: best for q, best in brute_force(queries, items).items() if best[0] >= least}
+    assert {row.key: (row.score, row.id) for row in rows} == expected
+
+
 def test_few_pairs_are_compared(spark):
     """Numbered names that share all other words, as registries have them."""
     items = [(f"{i:09} customer plc {('retail', 'trade', 'energy')[i % 3]}", f"L{i:05}") for i in range(2000)]
