@@ -20,6 +20,9 @@ from concordat.operators.quality import history_row, mart_of, partials, report_o
 from concordat.operators.skew import lookup_join
 from concordat.session import materialize
 
+# Buckets whose totals, a row for each country and status, are read by one task.
+FEW_BUCKETS = 64
+
 _STORED = T.StructType(
     [
         *S.CURATED.fields,
@@ -87,8 +90,12 @@ class CuratedStore:
         return self._stored().select(*S.CURATED_COLUMNS)
 
     def totals(self) -> DataFrame:
-        """Additive totals of the table by bucket, country and status."""
-        return self.spark.read.schema(self._totals_schema).parquet(self._totals)
+        """Additive totals of the table by bucket, country and status.
+
+        Those of few buckets are read by one task, which spares their reader a shuffle.
+        """
+        totals = self.spark.read.schema(self._totals_schema).parquet(self._totals)
+        return totals.coalesce(1) if self.buckets <= FEW_BUCKETS else totals
 
     def report(self) -> DataFrame:
         """``store_report`` of the whole table, merged from its totals."""
