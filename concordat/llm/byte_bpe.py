@@ -2,7 +2,8 @@
 
 Every byte has a printable character; the library merges those characters, and the same table read
 backwards turns tokens into bytes again.  Texts are cut at single blanks between words, where the
-splitting pattern always cuts too, and a worker encodes each distinct piece once.
+splitting pattern always cuts too, and each distinct piece of a block of texts is encoded once.
+Nothing is remembered from one block to the next, so memory is that of a block.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ import base64
 import codecs
 import hashlib
 import json
-import struct
+import os
 from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 
@@ -22,10 +23,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from concordat.llm.common import text_or_empty
 
-# Pieces that a worker remembers; beyond that it starts afresh, which costs time but no results.
-REMEMBERED = 500_000
-# Bytes of text, unless one text alone has more, and new pieces encoded at a time.
-BYTES = 8 << 20
+# Bytes of texts that make a block, unless one text alone has more, and pieces encoded in one string.
+BYTES = 16 << 20
 TOGETHER = 256
 
 
@@ -81,6 +80,8 @@ class ByteBpe:
     def __init__(self, spec: str) -> None:
         from tokenizers import Tokenizer
 
+        # A task has one core; the library's own threads would take those of other tasks.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self._tokenizer = Tokenizer.from_str(spec)
         self._tokenizer.encode_special_tokens = True
         byte_of = {name: byte for byte, name in enumerate(byte_characters())}
@@ -91,10 +92,13 @@ class ByteBpe:
         }
         self._sizes = np.zeros(max(self._bytes) + 1, np.int64)
         self._sizes[list(self._bytes)] = [len(token) for token in self._bytes.values()]
-        self.numerals = [b" %d" % number for number in range(max(self._bytes) + 1)]
+        numbers = range(max(self._bytes) + 1)
+        #: Each token as a blank and its number, and as its bytes.
+        self.numerals = pa.array([b" %d" % number for number in numbers], pa.large_binary())
+        self.contents = pa.array([self._bytes.get(n, b"") for n in numbers], pa.large_binary())
 
     def ids(self, text: str) -> list[int]:
-        return self._tokenizer.encode(text, add_special_tokens=False).ids
+        return self._tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
 
     def ids_with_added(self, text: str) -> list[int]:
         """As the library has it by default: strings of added tokens become those tokens."""
@@ -104,7 +108,7 @@ class ByteBpe:
         finally:
             self._tokenizer.encode_special_tokens = True
 
-    def ends(self, ids: list[int]) -> np.ndarray:
+    def ends(self, ids: np.ndarray) -> np.ndarray:
         """The byte at which each token ends."""
         return np.cumsum(self._sizes[ids])
 
@@ -130,35 +134,59 @@ class ByteBpe:
             yield decoder.decode(token)
 
 
+#: For each value of the tokens, where each token's bytes begin, the end, and all bytes.
+Values = list[tuple[np.ndarray, np.ndarray]]
+
+
 class Encoder:
     """Encodes an Arrow column of texts piece by piece.
 
     A blank between two other characters that are no white space always begins a new match of the
-    splitting pattern, so texts are cut there and each distinct piece is encoded once; new pieces
-    are encoded together, and the tokens' byte offsets tell which piece they belong to.  ``made`` turns a
-    piece's ids into bytes, one value or more, which are then gathered for the whole texts.  With
-    ``added``, texts that hold the string of an added token are encoded whole, as the library does.
+    splitting pattern, so texts are cut there and each distinct piece of a block is encoded once.
+    Many pieces are encoded together, and the tokens' byte offsets tell which piece they belong to.
+    ``made`` turns ids into bytes, one value or more for each, which are then gathered for the whole
+    texts.  With ``added``, texts that hold the string of an added token are encoded whole, as the
+    library does.
     """
 
     def __init__(
-        self, spec: str, made: Callable[[ByteBpe, list[int]], tuple[bytes, ...]], added: bool = False
+        self, spec: str, made: Callable[[ByteBpe, np.ndarray], Values], added: bool = False
     ) -> None:
         self._bpe, self._made = ByteBpe(spec), made
         tokens = json.loads(spec).get("added_tokens") or [] if added else []
         self._added = [token["content"] for token in tokens]
-        self._known: dict[str, tuple[bytes, ...]] = {}
-        self._heads: dict[str, tuple[bytes, ...]] = {}
-        self._width = len(made(self._bpe, []))
-
-    def _learn(self, pieces: list[str]) -> None:
-        """Remember pieces that follow a blank."""
-        for at in range(0, len(pieces), TOGETHER):
-            some = pieces[at : at + TOGETHER]
-            ids = self._bpe.ids(" " + " ".join(some))
-            sizes = np.cumsum([len(piece.encode()) + 1 for piece in some])
-            cuts = [0, *np.searchsorted(self._bpe.ends(ids), sizes, "right").tolist()]
-            for piece, a, b in zip(some, cuts, cuts[1:]):
-                self._known[piece] = self._made(self._bpe, ids[a:b])
+
+    def _together(self, pieces: pa.Array, before: str, after: str) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of pieces that each stand between ``before`` and ``after``, one of them a blank or
+        a line feed and the other empty, and where each piece's ids begin."""
+        cuts = pa.array([*range(0, len(pieces), TOGETHER), len(pieces)], pa.int32())
+        grouped = pa.ListArray.from_arrays(cuts, pieces)
+        between = pa.scalar(before + after, pa.large_string())
+        strings = pc.binary_join(grouped, between).to_pylist()
+        found = [np.zeros(0, np.int64)]
+        found += [np.array(self._bpe.ids(before + one + after), np.int64) for one in strings]
+        ids = np.concatenate(found)
+        past = np.cumsum(pc.binary_length(pieces).to_numpy(zero_copy_only=False) + 1)
+        return ids, np.append(0, np.searchsorted(self._bpe.ends(ids), past, "right"))
+
+    def _openings(self, begins: pa.Array, alone: np.ndarray, added: np.ndarray) -> list[np.ndarray]:
+        """The ids of the texts' first pieces, and of whole texts."""
+        none = np.zeros(0, np.int64)
+        found = [none] * len(begins)
+        safe = (~alone & ~_touching_white(begins)).nonzero()[0]
+        if len(safe):
+            # A single line feed between other characters is always a match of its own.
+            ids, cuts = self._together(begins.take(pa.array(safe)), "", "\n")
+            for at, a, b in zip(safe.tolist(), cuts.tolist(), cuts[1:].tolist()):
+                found[at] = ids[a : b - 1]
+        rest = np.ones(len(begins), bool)
+        rest[safe] = False
+        for at in np.flatnonzero(rest).tolist():
+            text = begins[at].as_py()
+            if text:
+                encoded = self._bpe.ids_with_added if added[at] else self._bpe.ids
+                found[at] = np.array(encoded(text), np.int64)
+        return found
 
     def __call__(self, texts: pa.Array) -> Iterator[list[list[memoryview]]]:
         """For some texts after others, each of the values of every text."""
@@ -175,46 +203,41 @@ class Encoder:
         cut = pc.split_pattern(texts, " ")
         bounds = np.append(0, np.cumsum(pc.list_value_length(cut).to_numpy(zero_copy_only=False)))
         heads = bounds[:-1]
-        coded = cut.flatten().dictionary_encode()
-        pieces = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
-        codes = coded.indices.to_numpy().astype(np.int64)
-        for known in (self._known, self._heads):
-            if len(known) > REMEMBERED:
-                known.clear()
-        # Pieces that touch other white space are never known, and texts with one are encoded whole.
-        self._learn(
-            [p for p in pieces if p not in self._known and p and not (p[0].isspace() or p[-1].isspace())]
-        )
-        values = list(map(self._known.get, pieces))
-        odd = np.array([value is None for value in values], bool)[codes]
-        begins = [pieces[code] for code in codes[heads].tolist()]
-        open_ended = np.array([p[-1:].isspace() for p in begins], bool) & (np.diff(bounds) > 1)
-        odd[heads] = open_ended
+        flat = cut.flatten()
+        coded = flat.dictionary_encode()
+        pieces, codes = coded.dictionary, coded.indices.to_numpy().astype(np.int64)
+        # Pieces that touch other white space tell nothing alone, and texts with one are encoded whole.
+        white = _touching_white(pieces)
+        odd = white[codes]
+        firsts = flat.take(pa.array(heads))
+        many = pa.array(np.diff(bounds) > 1)
+        open_ended = pc.not_equal(pc.utf8_rtrim_whitespace(firsts), firsts)
+        odd[heads] = pc.and_(open_ended, many).to_numpy(zero_copy_only=False)
         whole = np.add.reduceat(odd.astype(np.int64), heads) > 0
         special = np.zeros(len(texts), bool)
         for content in self._added:
             special |= pc.match_substring(texts, content).to_numpy(zero_copy_only=False)
         whole |= special
-        for at in np.flatnonzero(whole).tolist():
-            begins[at] = texts[at].as_py()
-            codes[bounds[at] : bounds[at + 1]] = len(pieces)
-        # The first piece of a text follows no blank, so each text's is a value of its own.
-        codes[heads] = len(pieces) + 1 + np.arange(len(heads))
-        none = (b"",) * self._width
-        values = [none if value is None else value for value in values]
-        values.append(none)
-        for begin, alone, added in zip(begins, whole.tolist(), special.tolist()):
-            value = None if added else self._heads.get(begin)
-            if added:
-                value = self._made(self._bpe, self._bpe.ids_with_added(begin))
-            elif value is None:
-                value = self._made(self._bpe, self._bpe.ids(begin))
-                if not alone:
-                    self._heads[begin] = value
-            values.append(value)
+        safe = np.flatnonzero(~white)
+        ids, cuts = self._together(pieces.take(pa.array(safe)), " ", "")
+        begins = pc.if_else(pa.array(whole), texts, firsts)
+        opening = self._openings(begins, whole, special)
+        # Values are numbered: none, the safe pieces, and the texts' openings.  The first piece of a
+        # text follows no blank, so each text's is a value of its own.
+        place = np.zeros(len(pieces), np.int64)
+        place[safe] = 1 + np.arange(len(safe))
+        codes = place[codes]
+        codes[np.repeat(whole, np.diff(bounds))] = 0
+        codes[heads] = 1 + len(safe) + np.arange(len(heads))
+        sizes = np.cumsum([len(one) for one in opening])
+        starts = np.concatenate([[0], cuts, cuts[-1] + sizes])
         found = []
-        for column in zip(*values):
-            joined = pa.array(column, pa.large_binary()).take(pa.array(codes))
+        for offsets, data in self._made(self._bpe, np.concatenate([ids, *opening])):
+            at = pa.py_buffer(offsets[starts].astype(np.int64))
+            values = pa.LargeBinaryArray.from_buffers(
+                pa.large_binary(), len(starts) - 1, [None, at, pa.py_buffer(data)]
+            )
+            joined = values.take(pa.array(codes))
             _, at, data = joined.buffers()
             ends = np.frombuffer(at, np.int64)[joined.offset :][bounds].tolist()
             view = memoryview(data) if data else memoryview(b"")
@@ -222,11 +245,18 @@ class Encoder:
         return found
 
 
+def _touching_white(texts: pa.Array) -> np.ndarray:
+    """Whether each text is empty, or begins or ends with white space."""
+    trimmed = pc.binary_length(pc.utf8_trim_whitespace(texts))
+    same = pc.equal(trimmed, pc.binary_length(texts))
+    return ~pc.and_(same, pc.greater(trimmed, 0)).to_numpy(zero_copy_only=False)
+
+
 @lru_cache(2)
 def encoder(
-    spec: str, made: Callable[[ByteBpe, list[int]], tuple[bytes, ...]], added: bool = False
+    spec: str, made: Callable[[ByteBpe, np.ndarray], Values], added: bool = False
 ) -> Encoder:
-    """One for each worker, so that what is remembered outlives a task."""
+    """One for each worker, so that the tokenizer is built once."""
     return Encoder(spec, made, added)
 
 
@@ -235,9 +265,9 @@ def shared_spec(spark: SparkSession, spec: str):
     return spark.sparkContext.broadcast(spec)
 
 
-def little_endian(bpe: ByteBpe, ids: list[int]) -> tuple[bytes]:
+def little_endian(bpe: ByteBpe, ids: np.ndarray) -> Values:
     """The ids as 32-bit numbers."""
-    return (struct.pack(f"<{len(ids)}I", *ids),)
+    return [(4 * np.arange(len(ids) + 1), ids.astype("<u4"))]
 
 
 def encode(docs: DataFrame, spec: str) -> DataFrame:
@@ -281,9 +311,14 @@ def decode(tokens: DataFrame, spec: str) -> DataFrame:
     return tokens.select("doc_id", "ids").mapInArrow(run, f"doc_id {kind}, data binary")
 
 
-def _digested(bpe: ByteBpe, ids: list[int]) -> tuple[bytes, bytes]:
+def _digested(bpe: ByteBpe, ids: np.ndarray) -> Values:
     """The ids as text and what they decode to; both are joined piece by piece."""
-    return b"".join([bpe.numerals[number] for number in ids]), bpe.decode(ids)
+    found = []
+    for tokens in (bpe.numerals, bpe.contents):
+        taken = tokens.take(pa.array(ids))
+        _, offsets, data = taken.buffers()
+        found.append((np.frombuffer(offsets, np.int64)[: len(ids) + 1], data or b""))
+    return found
 
 
 def encode_digests(docs: DataFrame, spec: str) -> DataFrame:
