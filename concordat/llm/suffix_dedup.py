@@ -12,11 +12,11 @@ from __future__ import annotations
 
 import hashlib
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -163,10 +163,10 @@ def _joined(batches: Iterator[pa.RecordBatch], *kinds) -> list[np.ndarray]:
     return [np.concatenate(part) if part else np.zeros(0, kind) for part, kind in zip(found, kinds)]
 
 
-def _repeating(packed: DataFrame) -> DataFrame:
-    """``doc``, ``tag`` and its segments whose anchor occurs again; also counts of heavy anchors.
+def _repeating(packed: DataFrame, parts: int) -> DataFrame:
+    """The segments whose anchor occurs again, packed into one row for each part of the texts.
 
-    A count has the anchor as its ``tag`` and no ``doc``.
+    Heavy anchors have rows of their own, with the anchor as ``heavy`` and its count as ``many``.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -184,23 +184,63 @@ def _repeating(packed: DataFrame) -> DataFrame:
         live = live[np.lexsort((made["start"][live], tag[live], doc[live]))]
         cuts = _runs(doc[live], tag[live])
         heads = live[cuts[:-1]]
-        texts = [made[live[a:b]].tobytes() for a, b in zip(cuts, cuts[1:])] if len(live) else []
-        texts += [int(total[i]).to_bytes(8, "little") for i in much]
+        bodies = [made[live[a:b]] for a, b in zip(cuts, cuts[1:])] if len(live) else []
+        yield _by_text_part(doc[heads], tag[heads], bodies, parts)
         heavy = keys[order[bounds[much]]].view(np.int64)
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array([*doc[heads].tolist(), *[None] * len(much)], pa.int64()),
-                pa.array([*tag[heads].tolist(), *heavy.tolist()], pa.int64()),
-                pa.array(texts, pa.binary()),
-            ],
-            ["doc", "tag", "made"],
-        )
+        none = [pa.nulls(len(much), pa.int32())] + [pa.nulls(len(much), pa.binary())] * 4
+        counted = [pa.array(heavy), pa.array(total[much].astype(np.int64))]
+        yield pa.RecordBatch.from_arrays([*none, *counted], PACKED)
 
     return packed.select("keys", "weights", "docs", "tags", "made").mapInArrow(
-        run, "doc long, tag long, made binary"
+        run,
+        "part int, docs binary, tags binary, counts binary, made binary, heavy long, many long",
     )
 
 
+PACKED = ["part", "docs", "tags", "counts", "made", "heavy", "many"]
+
+
+def _text_part(doc: int, tag: int, parts: int) -> int:
+    """The part of a text, as ``_part_column`` gives it too."""
+    return zlib.crc32(b"%d" % (doc ^ tag)) % parts
+
+
+def _part_column(parts: int) -> Column:
+    """The part of a text; rows that share an id are dealt by their tag."""
+    number = F.col("doc").bitwiseXOR(F.col("tag"))
+    return F.pmod(F.crc32(number.cast("string").cast("binary")), F.lit(parts)).cast("int")
+
+
+def _by_text_part(
+    docs: np.ndarray, tags: np.ndarray, bodies: list[np.ndarray], parts: int
+) -> pa.RecordBatch:
+    """What is known of some texts, one row for each part of the texts."""
+    part = [_text_part(doc, tag, parts) for doc, tag in zip(docs.tolist(), tags.tolist())]
+    part = np.array(part, np.int64)
+    order = np.argsort(part, kind="stable")
+    bounds = _runs(part[order])
+    found = []
+    for a, b in zip(bounds, bounds[1:]):
+        own = order[a:b]
+        counts = np.array([len(bodies[i]) for i in own], "<u4")
+        body = np.concatenate([bodies[i] for i in own])
+        texts = (docs[own].astype("<i8"), tags[own].astype("<i8"), counts, body)
+        found.append((int(part[own[0]]), *(column.tobytes() for column in texts), None, None))
+    kinds = [pa.int32()] + [pa.binary()] * 4 + [pa.int64()] * 2
+    values = zip(*found) if found else [[]] * 7
+    arrays = [pa.array(column, kind) for column, kind in zip(values, kinds)]
+    return pa.RecordBatch.from_arrays(arrays, PACKED)
+
+
+def _unpacked(found: dict, packed: Iterable[bytes], kind) -> None:
+    """Add the texts of a row of ``_by_text_part`` to ``found``, under their number and tag."""
+    docs, tags, counts, made = packed
+    pairs = zip(np.frombuffer(docs, "<i8").tolist(), np.frombuffer(tags, "<i8").tolist())
+    cuts = np.cumsum(np.frombuffer(counts, "<u4"))[:-1]
+    for pair, own in zip(pairs, np.split(np.frombuffer(made, kind), cuts)):
+        found.setdefault(pair, []).append(own)
+
+
 # --- segments to their shards --------------------------------------------------------------------
 
 _SHARD = "part int, keys binary, docs binary, tags binary, made binary, data binary, spans binary"
@@ -226,8 +266,9 @@ def _narrowed(key: int, text: bytes, made) -> Iterator[tuple[int, int, int]]:
 def _segment_rows(rows: DataFrame, parts: int, heavy) -> DataFrame:
     """The texts' repeating segments, packed by the part of their anchor.
 
-    ``rows`` has the texts, each after its segments.  Equal segments in a batch are folded: all but
-    the first become spans at once.
+    Each partition of ``rows`` has its packed segments before its texts, which are in order.  It
+    holds the segments while it reads the texts: six bytes for each piece of text between two
+    anchors.  Equal segments in a batch are folded: all but the first become spans at once.
     """
 
     def packed(found: list, spans: list) -> Iterator[pa.RecordBatch]:
@@ -259,21 +300,21 @@ def _segment_rows(rows: DataFrame, parts: int, heavy) -> DataFrame:
         yield pa.RecordBatch.from_arrays(arrays, list(columns))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        here, waiting, done = None, [], None
+        known: dict[tuple[int, int], list[np.ndarray]] = {}
         much = heavy.value
         for batch in batches:
             # A segment is known by its bytes alone: they say where its anchor is.
             seen, found, spans = {}, [], []
             pending = []
-            for doc, tag, made, text in zip(*(column.to_pylist() for column in batch.columns)):
-                if (doc, tag) != here:
-                    here, waiting = (doc, tag), []
-                if made is not None:
-                    waiting.append(np.frombuffer(made, SEGMENT))
+            for doc, tag, text, *more in zip(*(column.to_pylist() for column in batch.columns)):
+                if more[0] is not None:
+                    _unpacked(known, more, SEGMENT)
                     continue
-                if not waiting or done == here:
+                # Rows that repeat both id and text are one document.
+                waiting = known.pop((doc, tag), None)
+                if waiting is None:
                     continue
-                done, raw = here, text.encode()
+                raw = text.encode()
                 every = np.sort(np.concatenate(waiting), order="start")
                 for one in every.tolist():
                     start, windows, anchor = one
@@ -297,7 +338,8 @@ def _segment_rows(rows: DataFrame, parts: int, heavy) -> DataFrame:
                         found.append((key, doc, tag, one[0], one[1], body))
             yield from packed(found, spans)
 
-    return rows.select("doc", "tag", "made", "text").mapInArrow(run, _SHARD)
+    columns = ("doc", "tag", "text", "docs", "tags", "counts", "made")
+    return rows.select(*columns).mapInArrow(run, _SHARD)
 
 
 def _later_windows(bodies: list[bytes], windows: np.ndarray, memory: int) -> np.ndarray:
@@ -335,11 +377,6 @@ def _sorted_together(rows: np.ndarray, keys: np.ndarray, windows: np.ndarray) ->
         yield rows[own == number]
 
 
-def _text_part(doc: int, parts: int) -> int:
-    """The part of a text's number, as ``F.crc32`` of its decimals gives it too."""
-    return zlib.crc32(b"%d" % doc) % parts
-
-
 def _shard_spans(packed: DataFrame, memory: int, parts: int) -> DataFrame:
     """The spans to remove that each shard finds, packed into one row for each part of the texts."""
 
@@ -387,21 +424,8 @@ def _shard_spans(packed: DataFrame, memory: int, parts: int) -> DataFrame:
         merged = [_merged(spans[a:b]).astype("<u4") for a, b in zip(cuts, cuts[1:])]
         heads = cuts[:-1] if len(docs) else cuts[:0]
         docs, tags = docs[heads], tags[heads]
-        part = np.array([_text_part(doc, parts) for doc in docs.tolist()], np.int64)
-        order = np.argsort(part, kind="stable")
-        found = []
-        bounds = _runs(part[order])
-        for a, b in zip(bounds[:-1], bounds[1:]):
-            own = order[a:b]
-            counts = np.array([len(merged[i]) for i in own], "<u4")
-            body = np.concatenate([merged[i] for i in own])
-            texts = (docs[own].astype("<i8"), tags[own].astype("<i8"), counts, body)
-            found.append((int(part[own[0]]), *(column.tobytes() for column in texts)))
-        names = ["part", "docs", "tags", "counts", "made"]
-        kinds = [pa.int32()] + [pa.binary()] * 4
-        values = zip(*found) if found else [[]] * 5
-        arrays = [pa.array(column, kind) for column, kind in zip(values, kinds)]
-        yield pa.RecordBatch.from_arrays(arrays, names)
+        whole = _by_text_part(docs, tags, merged, parts)
+        yield whole.select(PACKED[:5])
 
     columns = ("keys", "docs", "tags", "made", "data", "spans")
     return packed.select(*columns).mapInArrow(
@@ -440,21 +464,17 @@ def repeated_spans(docs: DataFrame, parts: int, memory: int = MEMORY) -> DataFra
     parts = partitions(spark)
     texts = docs.select("doc", "tag", text_or_empty().alias("text"))
     packed = _anchor_rows(texts, PARTS * parts).repartition(parts, "part")
-    repeating = staged(_repeating(packed), "repeating")
-    counts = repeating.where("doc is null")
+    repeating = staged(_repeating(packed, parts), "repeating")
+    found = repeating.where("part is not null").drop("heavy", "many")
     # Heavy anchors are at least one in a million of all segments that repeat.
-    total = repeating.where("doc is not null").agg(F.sum(F.octet_length("made"))).first()[0] or 0
+    total = found.agg(F.sum(F.octet_length("made"))).first()[0] or 0
     least = max(HEAVY, total // SEGMENT.itemsize >> 20)
-    much = {
-        row.tag % (1 << 64)
-        for row in counts.collect()
-        if int.from_bytes(row.made, "little") >= least
-    }
-    heavy = spark.sparkContext.broadcast(much)
-    found = repeating.where("doc is not null").withColumn("text", F.lit(None).cast("string"))
-    rows = texts.withColumn("made", F.lit(None).cast("binary")).unionByName(found)
-    rows = rows.repartition(parts, "doc", "tag").sortWithinPartitions(
-        "doc", "tag", F.col("made").isNull()
+    counts = repeating.where(F.col("many") >= least).select("heavy")
+    heavy = spark.sparkContext.broadcast({row.heavy % (1 << 64) for row in counts.collect()})
+    rows = texts.select(_part_column(parts).alias("part"), "doc", "tag", "text")
+    rows = rows.unionByName(found, allowMissingColumns=True)
+    rows = rows.repartitionById(parts, "part").sortWithinPartitions(
+        F.col("docs").isNull(), "doc", "tag"
     )
     shards = _segment_rows(rows, PARTS * parts, heavy).repartition(parts, "part")
     return staged(_shard_spans(shards, memory, text_parts), "spans")
@@ -488,10 +508,7 @@ def remove_repeats(docs: DataFrame, memory: int = MEMORY) -> DataFrame:
                 if part != here:
                     here, found = part, {}
                 if packed is not None:
-                    pairs = zip(np.frombuffer(packed, "<i8").tolist(), np.frombuffer(tag, "<i8").tolist())
-                    cuts = np.cumsum(np.frombuffer(counts, "<u4"))[:-1]
-                    for pair, own in zip(pairs, np.split(np.frombuffer(made, SPAN), cuts)):
-                        found.setdefault(pair, []).append(own)
+                    _unpacked(found, (packed, tag, counts, made), SPAN)
                     continue
                 raw, spans = (text or "").encode(), np.zeros((0, 2), np.int64)
                 waiting = found.get((doc, int.from_bytes(tag, "big", signed=True)))
@@ -522,10 +539,9 @@ def remove_repeats(docs: DataFrame, memory: int = MEMORY) -> DataFrame:
     for name in ("n_bytes", "n_removed", "n_spans"):
         schema = schema.add(name, "long")
     schema = schema.add("kept_sha256", "string")
-    part = F.pmod(F.crc32(F.col("doc").cast("string").cast("binary")), F.lit(parts)).cast("int")
     none = F.lit(None).cast("binary")
     texts = placed.select(
-        part.alias("part"),
+        _part_column(parts).alias("part"),
         "doc",
         F.unhex(F.lpad(F.hex("tag"), 16, "0")).alias("tags"),
         *[none.alias(name) for name in ("docs", "counts", "made")],
