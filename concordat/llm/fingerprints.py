@@ -3,7 +3,7 @@
 A paragraph is hashed to a wide vector and a text's fingerprint is the sum of its paragraphs'
 vectors, so it does not depend on their order and changes by a difference when paragraphs come or
 go.  The vector has two parts: numbers modulo 2**64 drawn from a cryptographic hash of the whole
-paragraph, which settle equality, and numbers modulo 2**16 that count the paragraph's word pairs
+paragraph, which settle equality, and numbers modulo 2**32 that count the paragraph's word pairs
 with random signs, from which the likeness of two texts is estimated.
 """
 
@@ -22,7 +22,7 @@ from concordat.llm.bytescan import BLOCK, Texts, blocks, mixed, words
 from concordat.llm.common import below, partitions, sampled_cuts, text_or_empty
 
 WIDE = 32  # numbers modulo 2**64
-LANES = 256  # numbers modulo 2**16
+LANES = 256  # numbers modulo 2**32
 # Parts for each shuffle partition.
 PARTS = 4
 
@@ -39,7 +39,7 @@ def _exact(texts: list[str]) -> np.ndarray:
 
 
 def _signed(block: Texts) -> np.ndarray:
-    """For each text its word pairs, within paragraphs, counted with random signs modulo 2**16."""
+    """For each text its word pairs, within paragraphs, counted with random signs modulo 2**32."""
     found = words(block)
     breaks = np.cumsum(block.data == 0x0A)
     paragraph = breaks[found.starts] if len(found.starts) else breaks[:0]
@@ -53,12 +53,12 @@ def _signed(block: Texts) -> np.ndarray:
     lanes = (keys >> np.uint64(33)).astype(np.int64) % LANES
     signs = (keys & np.uint64(1)).astype(float) * 2 - 1
     total = np.bincount(rows * LANES + lanes, signs, block.number * LANES)
-    return total.astype(np.int64).astype(np.uint16).reshape(-1, LANES)
+    return total.astype(np.int64).astype(np.uint32).reshape(-1, LANES)
 
 
 def fingerprints(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Both parts of the fingerprints of ``texts``, as the rows of two arrays."""
-    signed = [np.zeros((0, LANES), np.uint16)]
+    signed = [np.zeros((0, LANES), np.uint32)]
     signed += [_signed(block) for block in blocks(pa.array(texts, pa.large_string()))]
     return _exact(texts), np.concatenate(signed)
 
@@ -66,7 +66,7 @@ def fingerprints(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
 def written(exact: np.ndarray, signed: np.ndarray) -> list[str]:
     return [
         base64.b64encode(a.tobytes() + b.tobytes()).decode()
-        for a, b in zip(exact.astype("<u8"), signed.astype("<u2"))
+        for a, b in zip(exact.astype("<u8"), signed.astype("<u4"))
     ]
 
 
@@ -75,9 +75,9 @@ def likeness(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray])
 
     Equal fingerprints give 1.  A text without words is unlike any other.
     """
-    one, two = (part[1].astype(np.int16).astype(float) for part in (a, b))
+    one, two = (part[1].astype(np.int32).astype(float) for part in (a, b))
     # The difference is taken before the numbers are read as signed, so that it wraps as they do.
-    apart = np.square((a[1] - b[1]).astype(np.int16).astype(float)).sum(1)
+    apart = np.square((a[1] - b[1]).astype(np.int32).astype(float)).sum(1)
     sizes = np.square(one).sum(1), np.square(two).sum(1)
     norms = np.sqrt(sizes[0] * sizes[1])
     cosine = (sizes[0] + sizes[1] - apart) / np.where(norms > 0, 2 * norms, 1)
@@ -92,7 +92,7 @@ def changed(fingerprint, gone: list[str], come: list[str]):
     minus, plus = (fingerprints(paragraphs) for paragraphs in (gone, come))
     return (
         exact - minus[0].sum(0, dtype=np.uint64) + plus[0].sum(0, dtype=np.uint64),
-        signed - minus[1].sum(0, dtype=np.uint16) + plus[1].sum(0, dtype=np.uint16),
+        signed - minus[1].sum(0, dtype=np.uint32) + plus[1].sum(0, dtype=np.uint32),
     )
 
 

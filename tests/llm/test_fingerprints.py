@@ -67,3 +67,8 @@ def test_odd_rows(spark):
     assert fp.fingerprint_documents(docs.limit(0)).collect() == []
     alone = fp.fingerprint_documents(docs.where("doc_id = 7")).first()
     assert (alone.near_next, alone.n_chars) == (1.0, 7)
+
+
+def test_very_frequent_words_do_not_wrap():
+    one, other = (fp.fingerprints(["ha " * n]) for n in (65_537, 30_000))
+    assert fp.likeness(one, other)[0] > 0.999
