@@ -7,12 +7,16 @@ many words as they need.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 
 _WORD = 64
 _PAIR_CHUNK = 4096
 # Characters from which a pair runs alone.
 _LONG = 255
+# Bytes of one word of the rows that a block of strings holds at a time.
+_ROW_BYTES = 1 << 21
 
 
 def _code_points(strings: list[str]) -> np.ndarray:
@@ -127,3 +131,110 @@ def ratio_pairs(left: list[str], right: list[str]) -> np.ndarray:
     scores = ratio(lcs_pairs(left, right), _lengths(left) + _lengths(right))
     same = np.fromiter((a == b for a, b in zip(left, right)), dtype=bool, count=len(left))
     return np.where(same, 100, scores).astype(np.int32)
+
+
+class Beginnings:
+    """Distinct strings whose equal beginnings are one node each, to be met by many others."""
+
+    def __init__(self, strings: list[str]) -> None:
+        self.order = np.array(sorted(range(len(strings)), key=strings.__getitem__), dtype=np.int64)
+        codes = _code_points([strings[i] for i in self.order])
+        sizes = _lengths([strings[i] for i in self.order])
+        self.letters = np.unique(codes[codes != 0])
+        same = codes[1:] == codes[:-1]
+        differs = np.append(~same, np.ones((len(same), 1), dtype=bool), axis=1).argmax(axis=1)
+        shared = np.append(0, differs)
+        # For each place the letters of its nodes, the nodes they follow, and which strings end there.
+        self.levels = []
+        before = None
+        for at, column in enumerate(codes.T):
+            nodes = np.flatnonzero((shared <= at) & (at < sizes))
+            follows = None
+            if before is not None and not np.array_equal(before, nodes):
+                follows = np.searchsorted(before, nodes, "right") - 1
+            # In the given order, so that the first of equals is the first that was given.
+            ends = np.flatnonzero(sizes == at + 1)
+            ends = ends[np.argsort(self.order[ends])]
+            last = np.searchsorted(nodes, ends, "right") - 1 if len(ends) else ends
+            letters = np.searchsorted(self.letters, column[nodes])
+            if len(letters) and (letters == letters[0]).all():
+                letters = letters[:1]
+            self.levels.append((letters, follows, last, self.order[ends]))
+            before = nodes
+
+    def _masks(self, others: list[str], kind: np.dtype, words: int) -> list[np.ndarray]:
+        """For each word and each letter, where it stands in each of ``others``."""
+        width = kind.itemsize * 8
+        masks = [np.zeros((len(self.letters), len(others)), kind) for _ in range(words)]
+        codes = _code_points(others)
+        if not len(self.letters):
+            return masks
+        places = np.minimum(np.searchsorted(self.letters, codes), len(self.letters) - 1)
+        known = (self.letters[places] == codes) & (codes != 0)
+        for word, mask in enumerate(masks):
+            row, at = np.nonzero(known[:, word * width : (word + 1) * width])
+            bits = np.left_shift(kind.type(1), at.astype(kind))
+            np.bitwise_or.at(mask, (places[row, at + word * width], row), bits)
+        return masks
+
+    def common(self, others: list[str]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """For each length the strings that have it and what they have in common with ``others``:
+        one row for each string and one column for each of the others."""
+        longest = max(map(len, others))
+        kind = next((k for k in (np.uint8, np.uint16, np.uint32) if longest <= 8 * k().nbytes), np.uint64)
+        kind = np.dtype(kind)
+        words = max(1, -(-longest // (kind.itemsize * 8)))
+        masks = self._masks(others, kind, words)
+        state = [np.full((1, len(others)), np.iinfo(kind).max, kind) for _ in range(words)]
+        for size, (letters, follows, last, ends) in enumerate(self.levels, 1):
+            behind = state if follows is None else [row.take(follows, axis=0) for row in state]
+            state = _advance(behind, [mask.take(letters, axis=0) for mask in masks])
+            if len(ends):
+                counts = [np.bitwise_count(~row.take(last, axis=0)) for row in state]
+                yield size, ends, counts[0] if words == 1 else sum(c.astype(np.int32) for c in counts)
+
+
+def best_ratios(left: list[str], right: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """For each of ``left`` its best ``ratio_pairs`` with all of ``right``, and the first place in
+    ``right`` that reaches it.
+
+    ``right`` has distinct strings, none of them empty, and ``left`` none that is empty.
+    """
+    best = np.zeros(len(left), dtype=np.int32)
+    where = np.zeros(len(left), dtype=np.int64)
+    offered = Beginnings(right)
+    sizes = _lengths(left)
+    by_size = np.argsort(sizes, kind="stable")
+    start = 0
+    while start < len(left):
+        # Strings of about one length at a time.
+        words = -(-int(sizes[by_size[start]]) // _WORD)
+        step = max(1, min(64, _ROW_BYTES // (8 * words * len(right))))
+        chosen = by_size[start : start + step]
+        start += step
+        reached = np.zeros(len(chosen), dtype=np.int32)
+        first = np.full(len(chosen), len(right), dtype=np.int64)
+        for size, ends, common in offered.common([left[i] for i in chosen]):
+            total = sizes[chosen] + size
+            most = common.max(axis=0)
+            score = ratio(most.astype(np.int64), total)
+            told = np.flatnonzero(score >= reached)
+            if not len(told):
+                continue
+            some, score = common[:, told], score[told]
+            if total.max() >= 200:
+                # Fewer common letters may round to the same.
+                alike = ratio(some.astype(np.int64), total[told]) == score
+            else:
+                alike = some == most[told]
+            place = ends[alike.argmax(axis=0)]
+            first[told] = np.where(score > reached[told], place, np.minimum(first[told], place))
+            reached[told] = score
+        best[chosen], where[chosen] = reached, np.minimum(first, len(right) - 1)
+    places = {text: place for place, text in enumerate(right)}
+    for place, text in enumerate(left):
+        if text in places:
+            # Equal strings are 100; others may only round to it.
+            if best[place] < 100 or places[text] < where[place]:
+                best[place], where[place] = 100, places[text]
+    return best, where

@@ -2,19 +2,20 @@
 
 A first score for each name comes from names with which it shares a word.  That score bounds how
 many letters may differ, and so which names are still worth comparing: names that differ in few
-letters must share an intact piece, which is an equi-join; the rest meet within bounds of length
-and letter counts.  Only pairs that pass these bounds are compared letter by letter.
+letters must share an intact piece, which is an equi-join; the rest meet all names within bounds of length,
+in blocks whose equal beginnings are compared once.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from concordat.functions.lcs import ratio_pairs
+from concordat.functions.lcs import best_ratios, ratio_pairs
 from concordat.functions.text import key_ratio
 from concordat.operators.skew import fits_broadcast, lookup_join
 from concordat.session import materialize
@@ -28,6 +29,10 @@ DIFFERENCES = (1, 2, 4, 8)
 SHORTEST_PIECE = 3
 # Names that one probe meets at a time.
 BLOCK_ROWS = 256
+# Names, and letters of them, that a task compares whole, and how many it compares them with.
+WHOLE_ROWS = 1 << 16
+WHOLE_LETTERS = 1 << 21
+ASKED_ROWS = 1 << 15
 
 # Two different strings can only round up to 100 from this joint length on.
 _ROUNDS_TO_EQUAL = 200
@@ -254,21 +259,81 @@ def _raised(asked: DataFrame, offered: DataFrame, sizes: DataFrame) -> DataFrame
     return asked.join(told, "key", "left").select(*rest, F.greatest("floor", "reached").alias("floor"))
 
 
+def _near_and_far(asked: DataFrame, offered: DataFrame, least: int) -> tuple[DataFrame, DataFrame]:
+    """Names that must share a piece with their best match, and the others."""
+    scored = first_scores(asked, offered, least)
+    scored = materialize(scored.withColumn("cuts", _cut_for(F.col("length"), F.col("floor"))))
+    return scored.where("cuts is not null"), scored.where("cuts is null").drop("cuts")
+
+
 def candidate_pairs(asked: DataFrame, offered: DataFrame, least: int = 1) -> DataFrame:
     """``key``, ``other`` and ``id`` of all pairs that may be a best match of ``least`` or more; all
     ties are among them.
 
     Both sides come from ``measured``; ``asked`` has non-empty keys, ``offered`` each key once.
     """
-    scored = first_scores(asked, offered, least)
-    scored = materialize(scored.withColumn("cuts", _cut_for(F.col("length"), F.col("floor"))))
-    near, far = scored.where("cuts is not null"), scored.where("cuts is null").drop("cuts")
+    near, far = _near_and_far(asked, offered, least)
     sizes = _class_sizes(offered)
     raised = materialize(_raised(far, offered, sizes))
     pairs = _by_length(raised, offered, sizes).select(*_pair())
     return pairs if near.isEmpty() else _by_pieces(near, offered).unionByName(pairs)
 
 
+def _whole_blocks(asked: int, offered: DataFrame, tasks: int) -> DataFrame:
+    """For each class of lengths how many ``blocks`` its items make, and into how many ``parts`` the
+    names that ask are dealt so that there are cells for all ``tasks``."""
+    counts = offered.groupBy(_class(F.col("length")).alias("class")).count().collect()
+    blocks = []
+    for row in counts:
+        rows = min(WHOLE_ROWS, max(1, int(WHOLE_LETTERS / 2 ** ((row["class"] + 1) / 4))))
+        blocks.append((row["class"], -(-row["count"] // rows)))
+    most = max((number for _, number in blocks), default=1)
+    parts = max(-(-asked // ASKED_ROWS), min(-(-tasks // most), -(-asked // 64)), 1)
+    kinds = "class int, blocks int, parts int"
+    return offered.sparkSession.createDataFrame([(*one, parts) for one in blocks], kinds)
+
+
+def _best_in_cell(asked: pd.DataFrame, offered: pd.DataFrame) -> pd.DataFrame:
+    """The best item of a cell for each name that asks there."""
+    if not len(asked) or not len(offered):
+        return pd.DataFrame([], columns=["key", "score", "id"])
+    # Items in id order, so that the first of equal scores has the lowest id.
+    offered = offered.sort_values("id", kind="stable", na_position="last")
+    score, place = best_ratios(asked["key"].tolist(), offered["key"].tolist())
+    some = np.flatnonzero(score)
+    keys, ids = asked["key"].to_numpy(object)[some], offered["id"].to_numpy(object)[place[some]]
+    columns = {"key": pd.Series(keys, dtype=object), "score": score[some]}
+    return pd.DataFrame(columns | {"id": pd.Series(ids, dtype=object)})
+
+
+def _best_by_length(asked: DataFrame, offered: DataFrame) -> DataFrame:
+    """``key``, ``score`` and ``id``: the best of each cell that a name's floor lets it meet.
+
+    Names that are like none by pieces meet all of a fitting length, block against block; a block's
+    equal beginnings are compared once, so no pair ever is a row.
+    """
+    spark = asked.sparkSession
+    tasks = 4 * spark.sparkContext.defaultParallelism
+    sizes = F.broadcast(_whole_blocks(asked.count(), offered, tasks))
+    length, score = F.col("length"), F.col("floor")
+    classes = F.sequence(
+        _class(F.greatest(_shortest(length, score), F.lit(1))), _class(_longest(length, score))
+    )
+    part = F.pmod(F.xxhash64("key"), F.col("parts")).cast("int").alias("part")
+    block = F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int").alias("block")
+    probes = asked.select("key", F.explode(classes).alias("class")).join(sizes, "class")
+    probes = probes.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    probes = probes.select("key", "class", "block", part)
+    rows = offered.select("key", "id", _class(length).alias("class")).join(sizes, "class")
+    rows = rows.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    rows = rows.select("key", "id", "class", block, "part")
+    cell = ["class", "block", "part"]
+    # An explicit count: the cells are small in bytes but long to work on.
+    left, right = (side.repartition(4 * tasks, *cell).groupBy(*cell) for side in (probes, rows))
+    ids = offered.schema["id"].dataType.simpleString()
+    return left.cogroup(right).applyInPandas(_best_in_cell, f"key string, score int, id {ids}")
+
+
 def _best_of_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """The scores of pairs, of which each batch passes on the best of each name."""
     for pairs in batches:
@@ -298,9 +363,13 @@ def best_names(queries: DataFrame, items: DataFrame, least: int = 1) -> DataFram
     settled = asked.where(F.col("same").isNotNull() & alone)
     settled = settled.select("key", F.lit(100).alias("score"), F.col("same").alias("id"))
     still = asked.where((F.col("same").isNull() | ~alone) & (F.col("length") > 0)).drop("same")
-    pairs = candidate_pairs(still, offered.where("length > 0"), least)
-    ids = items.schema["id"].dataType.simpleString()
-    scored = pairs.mapInPandas(_best_of_batches, f"key string, score int, id {ids}")
+    near, far = _near_and_far(still, offered.where("length > 0"), least)
+    scored = _best_by_length(far, offered.where("length > 0"))
+    if not near.isEmpty():
+        ids = items.schema["id"].dataType.simpleString()
+        pairs = _by_pieces(near, offered.where("length > 0"))
+        by_pieces = pairs.mapInPandas(_best_of_batches, f"key string, score int, id {ids}")
+        scored = scored.unionByName(by_pieces)
     order = F.struct(-F.col("score"), F.col("id"))
     best = scored.where(F.col("score") >= least).groupBy("key").agg(F.min_by(F.struct("score", "id"), order).alias("best"))
     # Written out, so that no later step scores the pairs again.

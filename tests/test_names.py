@@ -6,7 +6,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from concordat.functions.lcs import lcs_pairs, ratio_pairs
+from concordat.functions.lcs import best_ratios, lcs_pairs, ratio_pairs
 from concordat.functions.text import normalized, token_sort_key, token_sort_ratio
 from concordat.operators import name_search
 from concordat.operators.name_search import best_names, candidate_pairs, measured
@@ -198,3 +198,25 @@ def test_no_names_to_search(spark):
     none = spark.createDataFrame([], "key string, id long")
     assert best_names(asked, none).count() == 0
     assert best_names(asked.limit(0), none).count() == 0
+
+
+@pytest.mark.parametrize("letters, longest", [("abcdef ", 12), ("ab 字é😀c", 40), ("abcde", 300)])
+def test_best_of_a_block_equals_trying_every_pair(letters, longest):
+    rng = random.Random(longest)
+    names = ["".join(rng.choices(letters, k=rng.randint(1, longest))) for _ in range(150)]
+    right, left = list(dict.fromkeys(names[:100])), names[90:]
+    score, place = best_ratios(left, right)
+    for i, name in enumerate(left):
+        every = ratio_pairs([name] * len(right), right).tolist()
+        assert score[i] == max(every)
+        assert not score[i] or place[i] == every.index(score[i])
+
+
+def test_names_like_none_are_never_paired_as_rows(spark, monkeypatch):
+    """Renamed clients, which no word or piece brings near any name: blocks meet, not rows."""
+    items = [(f"{i % 7} customer{i:06} plc", f"L{i:05}") for i in range(400)]
+    queries = {f"{i}x renamed" for i in range(60)}
+    monkeypatch.setattr(name_search, "_by_length", None)
+    monkeypatch.setattr(name_search, "WHOLE_ROWS", 64)
+    monkeypatch.setattr(name_search, "ASKED_ROWS", 16)
+    assert found(spark, queries, items) == brute_force(queries, items)
