@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from concordat.llm.bytescan import Texts, blocks, mixed, words
+from concordat.llm.bytescan import BLOCK, Texts, blocks, mixed, words
 from concordat.llm.common import staged, text_or_empty
 
 # Labelled documents that the model is fitted on, at most: those with the smallest hashes.
@@ -52,7 +52,8 @@ def _features(block: Texts) -> np.ndarray:
 
 
 def features(column: pa.Array) -> np.ndarray:
-    found = [_features(block) for block in blocks(column)]
+    # A quarter of a block: its tables take some 70 bytes for each byte of text, in every task.
+    found = [_features(block) for block in blocks(column, BLOCK // 4)]
     return np.concatenate(found) if found else np.zeros((0, _ASCII + 5))
 
 

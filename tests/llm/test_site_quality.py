@@ -1,5 +1,8 @@
 """Quality: held-out accuracy, shrinkage, and odd rows."""
 
+import tracemalloc
+
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -58,3 +61,12 @@ def test_one_kind_of_label_is_no_evidence(bad):
 
     model = site_quality.fit(np.ones((3, 133)), np.ones(3))
     assert model.evidence(np.zeros((2, 133))).tolist() == [0, 0]
+
+
+def test_features_hold_little_beside_the_texts():
+    texts = pa.array([f"word{i % 97} and more of number {i} " * 20 for i in range(6000)])
+    tracemalloc.start()
+    found = site_quality.features(texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(found) == len(texts) and peak < 45 * 1024 * 1024
