@@ -21,6 +21,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -39,6 +40,9 @@ FAMILY_ELEMENTS = 1 << 22
 # Elements of a set that an edge of the tree holds.
 EDGE = 32
 PARTS = 4
+# Bits of the map that tells whose texts are wanted, at most, and in a row of it.
+MARKS = 1 << 27
+_CHUNK = 1 << 13
 # An n-gram is 48 bits of its hash, so that a block's texts and levels fit beside it.
 _BITS = np.uint64(48)
 _MASK = np.uint64((1 << 48) - 1)
@@ -136,6 +140,29 @@ def parity_maps(grams: np.ndarray, texts: np.ndarray, number: int) -> np.ndarray
     return np.packbits(odd.astype(np.uint8)).view("<i8").reshape(number, len(_MAP))
 
 
+def planes(values: np.ndarray, width: int) -> bytes:
+    """The lowest ``width`` bytes of numbers, all first bytes before all second ones.
+
+    Bytes that are zero in most numbers then lie side by side, and compress to next to nothing.
+    """
+    return np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T).tobytes()
+
+
+def of_planes(data: bytes, width: int) -> np.ndarray:
+    values = np.zeros((len(data) // width, 8), np.uint8)
+    values[:, :width] = np.frombuffer(data, np.uint8).reshape(width, -1).T
+    return values.view("<u8").reshape(-1)
+
+
+def packed_set(grams: np.ndarray) -> bytes:
+    """n-grams, in any order, as their differences modulo 2^48; sorted ones take least."""
+    return planes(np.diff(grams, prepend=np.uint64(0)) & _MASK, 6)
+
+
+def unpacked_set(data: bytes) -> np.ndarray:
+    return np.cumsum(of_planes(data, 6), dtype=np.uint64) & _MASK
+
+
 # --- passes over the texts -----------------------------------------------------------------------
 
 
@@ -242,9 +269,9 @@ def _meetings(docs: DataFrame, like: Likeness, order, parts: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([int(part[row[0]]) for row in rows], pa.int32()),
-                    pa.array([grams[row].astype("<u8").tobytes() for row in rows], pa.binary()),
+                    pa.array([packed_set(grams[row]) for row in rows], pa.binary()),
                     pa.array([classes[row].astype("<i8").tobytes() for row in rows], pa.binary()),
-                    pa.array([sizes[row].astype("<i4").tobytes() for row in rows], pa.binary()),
+                    pa.array([planes(sizes[row], 4) for row in rows], pa.binary()),
                 ],
                 ["part", "grams", "classes", "sizes"],
             )
@@ -261,10 +288,12 @@ def _live(packed: DataFrame, like: Likeness, order) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds, found = ("<u8", "<i8", "<i4"), ([], [], [])
+        found = ([], [], [])
         for batch in batches:
-            for column, kind, into in zip(batch.columns, kinds, found):
-                into += [np.frombuffer(data, kind) for data in column.to_pylist()]
+            grams, classes, sizes = (column.to_pylist() for column in batch.columns)
+            found[0].extend(unpacked_set(data) for data in grams)
+            found[1].extend(np.frombuffer(data, "<i8") for data in classes)
+            found[2].extend(of_planes(data, 4).astype(np.int32) for data in sizes)
         if not found[0]:
             return
         grams, classes, sizes = (np.concatenate(part) for part in found)
@@ -422,34 +451,50 @@ class PrefixTree:
                     waiting.append((below, now, depth + len(part)))
 
 
-def _sets(docs, classes, described, like: Likeness, order) -> DataFrame:
-    """``class`` and its set's ``elements`` in the global order, read from one document of each."""
-    known = described.where("doc_id is not null").select("doc_id", F.col("class").alias("of"))
-    wanted = classes.select(F.col("class").alias("of")).distinct()
-    first = known.join(wanted, "of").groupBy("of").agg(F.min("doc_id").alias("doc_id"))
-    first = staged(first, "firsts")
-    texts = docs.join(first, "doc_id").select("of", "text")
+def _marked(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose id is in ``ids``, and few others, without a shuffle of the texts.
+
+    Every id of ``ids`` sets one bit of a map, at most ``MARKS`` in all, that all tasks get; other
+    ids may share a bit, so that a join has to follow.
+    """
+    bits = min(max(1 << (128 * ids.count()).bit_length(), 8 * _CHUNK), MARKS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        maps: dict[int, np.ndarray] = {}
         for batch in batches:
-            wanted, data, classes = batch.column(0).to_numpy(zero_copy_only=False), [], []
-            for block in blocks(batch.column(1), most=_MOST):
-                grams, owners = ngram_sets(block, like.words, order.value)
-                sizes, found = set_classes(grams, owners, block.number)
-                classes.append(found)
-                cuts = np.cumsum(sizes)[:-1]
-                data += [part.astype("<u8").tobytes() for part in np.split(grams, cuts)]
-            if not data:
-                continue
-            # Where documents share an id, only the text that has the class is meant.
-            keep = np.flatnonzero(np.concatenate(classes) == wanted)
+            places = batch.column(0).to_numpy()
+            for chunk in np.unique(places // _CHUNK).tolist():
+                here = places[places // _CHUNK == chunk]
+                maps.setdefault(chunk, np.zeros(_CHUNK, bool))[here % _CHUNK] = True
+        if maps:
+            data = [np.packbits(one).tobytes() for one in maps.values()]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(wanted[keep], pa.int64()), pa.array([data[i] for i in keep], pa.binary())],
-                ["class", "elements"],
+                [pa.array(list(maps), pa.int64()), pa.array(data, pa.binary())], ["chunk", "data"]
             )
 
-    sets = texts.mapInArrow(run, "class long, elements binary").dropDuplicates(["class"])
-    return staged(sets, "sets")
+    spark = docs.sparkSession
+    places = ids.select(F.pmod(F.xxhash64("doc_id"), F.lit(bits)).alias("place"))
+    dealt = places.repartition(partitions(spark), F.floor(F.col("place") / _CHUNK))
+    marks = np.zeros(bits // 8, np.uint8)
+    for row in dealt.mapInArrow(run, "chunk long, data binary").collect():
+        at = row.chunk * _CHUNK // 8
+        marks[at : at + _CHUNK // 8] = np.frombuffer(row.data, np.uint8)
+    sent = spark.sparkContext.broadcast(marks)
+
+    @F.arrow_udf("boolean")
+    def marked(column: pa.Array) -> pa.Array:
+        place = column.to_numpy(zero_copy_only=False) % bits
+        return pa.array((sent.value[place >> 3] >> (7 - (place & 7)).astype(np.uint8) & 1).astype(bool))
+
+    return docs.where(marked(F.xxhash64("doc_id")))
+
+
+def _texts(placed: DataFrame, docs: DataFrame, described: DataFrame) -> DataFrame:
+    """``placed`` with the ``text`` of the first document of its ``class``."""
+    known = described.where("doc_id is not null").select("doc_id", "class")
+    first = known.join(placed.select("class").distinct(), "class")
+    first = staged(first.groupBy("class").agg(F.min("doc_id").alias("doc_id")), "firsts")
+    return _marked(docs, first).join(placed.join(first, "class"), "doc_id")
 
 
 def _families(pairs: DataFrame) -> DataFrame:
@@ -520,13 +565,41 @@ def _links(dealt, docs, described, like: Likeness, order, within: bool) -> DataF
     Each ``x`` is compared with its ``y``, and ``within`` also with all others of its group.
     """
     spark = docs.sparkSession
-    ends = dealt.select(F.col("x").alias("class")).unionByName(dealt.select(F.col("y").alias("class")))
-    sets = _sets(docs, ends, described, like, order)
-    x_sets = sets.select(F.col("class").alias("x"), "elements")
-    y_sets = sets.select(F.col("class").alias("y"), "elements")
-    members = dealt.join(x_sets, "x").select("y", "group", "x", "elements")
-    leaders = dealt.select("y", "group").distinct().join(y_sets, "y")
-    leaders = leaders.withColumn("x", F.lit(None).cast("long"))
+    members = dealt.select(F.col("x").alias("class"), "y", "group", "x")
+    leaders = dealt.select("y", "group").distinct()
+    leaders = leaders.select(F.col("y").alias("class"), "y", "group", F.lit(None).cast("long").alias("x"))
+    placed = staged(members.unionByName(leaders), "placed")
+
+    def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = set()
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            text, wanted = batch.column(0), batch.column(1).to_numpy(zero_copy_only=False)
+            # A text that goes to several places stands in successive rows.
+            again = pc.equal(text.slice(1), text.slice(0, len(text) - 1))
+            fresh = np.append(True, ~again.to_numpy(zero_copy_only=False))
+            data, classes = [], []
+            for block in blocks(text.filter(pa.array(fresh)), most=_MOST):
+                grams, owners = ngram_sets(block, like.words, order.value)
+                sizes, found = set_classes(grams, owners, block.number)
+                classes.append(found)
+                data += [packed_set(part) for part in np.split(grams, np.cumsum(sizes)[:-1])]
+            which = np.cumsum(fresh) - 1
+            # Where documents share an id, only the text that has the class is meant, and once.
+            keep = []
+            for i in np.flatnonzero(np.concatenate(classes)[which] == wanted).tolist():
+                place = tuple(batch.column(k)[i].as_py() for k in (2, 3, 4))
+                if place not in seen:
+                    seen.add(place)
+                    keep.append(i)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    *[batch.column(k).take(pa.array(keep, pa.int64())) for k in (2, 3, 4)],
+                    pa.array([data[which[i]] for i in keep], pa.binary()),
+                ],
+                ["y", "group", "x", "elements"],
+            )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         here, lead, names, sets, found = None, None, [], [], []
@@ -549,10 +622,10 @@ def _links(dealt, docs, described, like: Likeness, order, within: bool) -> DataF
                 if (y, group) != here:
                     done()
                     here, lead, names, sets = (y, group), None, [], []
-                elements = np.frombuffer(data, "<u8")
+                elements = unpacked_set(data)
                 if x is None:
                     lead = elements
-                else:
+                elif not names or names[-1] != x:
                     sets.append(elements)
                     names.append(x)
         done()
@@ -561,7 +634,8 @@ def _links(dealt, docs, described, like: Likeness, order, within: bool) -> DataF
             [pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"]
         )
 
-    rows = members.unionByName(leaders.select("y", "group", "x", "elements"))
+    texts = _texts(placed, docs, described).select("text", "class", "y", "group", "x")
+    rows = texts.mapInArrow(sets_of, "y long, group int, x long, elements binary")
     rows = rows.repartition(partitions(spark), "y", "group")
     rows = rows.sortWithinPartitions("y", "group", F.col("x").asc_nulls_first())
     return staged(rows.mapInArrow(run, "a long, b long"), "links")

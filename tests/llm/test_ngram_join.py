@@ -117,6 +117,25 @@ def test_odd_rows(spark):
     assert join_alike(docs.limit(0)).collect() == []
 
 
+def test_only_texts_that_are_compared_move(spark, no_auto_broadcast):
+    docs = spark.range(20_000).selectExpr("id AS doc_id", "repeat('some words ', 3) AS text")
+    ids = spark.createDataFrame([(3,), (19_999,), (77_777,)], "doc_id long")
+    found = {row.doc_id for row in ngram_join._marked(docs, ids).select("doc_id").collect()}
+    assert {3, 19_999} <= found and len(found) < 300
+    assert ngram_join._marked(docs, ids.limit(0)).count() == 0
+
+
+def test_packed_sets():
+    rng = np.random.default_rng(2)
+    for size in (0, 1, 2, 500):
+        one = rng.integers(0, 1 << 48, size).astype(np.uint64)
+        for some in (one, np.sort(one)):
+            assert (ngram_join.unpacked_set(ngram_join.packed_set(some)) == some).all()
+        assert len(ngram_join.packed_set(one)) == 6 * size
+    sizes = np.array([0, 1, 70_000, (1 << 31) - 1])
+    assert (ngram_join.of_planes(ngram_join.planes(sizes, 4), 4) == sizes).all()
+
+
 def test_tree():
     rng = np.random.default_rng(1)
     sets = [np.sort(rng.choice(300, rng.integers(1, 250), replace=False)).astype(np.uint64) for _ in range(80)]
