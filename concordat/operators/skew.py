@@ -12,9 +12,10 @@ _SALT = "__salt"
 _PIECES = "__pieces"
 
 # A right side within both limits is broadcast.  Sending it once to each executor costs far less
-# than shuffling the left side; the limits keep it well inside driver and executor memory.
+# than shuffling the left side.  Each goes through the driver, and a stream sends some in every
+# micro-batch, so the limits leave room for many in one job.
 BROADCAST_ROWS = 2_000_000
-BROADCAST_BYTES = 256 * 1024 * 1024
+BROADCAST_BYTES = 32 * 1024 * 1024
 # A key below this many rows is never worth splitting, whatever its share.
 MIN_HOT_ROWS = 20_000
 

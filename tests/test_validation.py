@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from concordat.operators import skew
 from concordat.operators.validation import (
     match_registry,
     not_found,
@@ -251,6 +252,12 @@ def test_shuffled_join_agrees_with_broadcast(spark, shuffled, no_auto_broadcast,
     assert unknown.count() == rows.where("entity_lei = 'L1'").count()
 
 
+def test_many_broadcasts_fit_the_driver(spark):
+    rows = spark.range(40_000)
+    assert skew.fits_broadcast(rows.withColumn("text", F.repeat(F.lit("x"), 700)))
+    assert not skew.fits_broadcast(rows.withColumn("text", F.repeat(F.lit("x"), 1000)))
+
+
 def test_rows_without_identifier_are_spread(spark, shuffled, no_auto_broadcast):
     """No key is hot here, yet most rows have none; exact copies of one row among them."""
     rows = spark.range(0, 8000, 1, 8).select(
