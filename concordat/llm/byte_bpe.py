@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from concordat.llm.common import text_or_empty
 
 # Bytes of texts that make a block, unless one text alone has more, and pieces encoded in one string.
-BYTES = 16 << 20
+BYTES = 4 << 20
 TOGETHER = 256
 
 

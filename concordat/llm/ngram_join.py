@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from concordat.llm.bytescan import Texts, blocks, mixed, words
-from concordat.llm.common import partitions, staged, text_or_empty
+from concordat.llm.common import partitions, releasing, staged, text_or_empty
 from concordat.llm.components import components
 
 # Counters of the frequency sketch, whatever the size of the corpus; each also sends one byte.
@@ -209,7 +209,7 @@ def _described(docs: DataFrame, like: Likeness) -> DataFrame:
     kind = docs.schema["doc_id"].dataType.simpleString()
     maps = ", ".join(f"{name} long" for name in _MAP)
     return docs.mapInArrow(
-        run, f"doc_id {kind}, n long, class long, {maps}, chunk int, counts binary"
+        releasing(run), f"doc_id {kind}, n long, class long, {maps}, chunk int, counts binary"
     )
 
 
@@ -233,8 +233,8 @@ def _levels(described: DataFrame) -> np.ndarray:
 
     # The sketches of all tasks are summed chunk by chunk; the sum's size is fixed.
     sketches = described.where("chunk is not null").select("chunk", "counts")
-    summed = sketches.mapInArrow(run, "chunk int, counts binary")
-    summed = summed.repartition(CHUNKS, "chunk").mapInArrow(run, "chunk int, counts binary")
+    summed = sketches.mapInArrow(releasing(run), "chunk int, counts binary")
+    summed = summed.repartition(CHUNKS, "chunk").mapInArrow(releasing(run), "chunk int, counts binary")
     counts = np.zeros(COUNTERS, np.uint64)
     width = COUNTERS // CHUNKS
     for row in summed.collect():
@@ -277,7 +277,7 @@ def _meetings(docs: DataFrame, like: Likeness, order, parts: int) -> DataFrame:
             )
 
     return docs.select("text").mapInArrow(
-        run, "part int, grams binary, classes binary, sizes binary"
+        releasing(run), "part int, grams binary, classes binary, sizes binary"
     )
 
 
@@ -314,7 +314,7 @@ def _live(packed: DataFrame, like: Likeness, order) -> DataFrame:
         )
 
     return packed.select("grams", "classes", "sizes").mapInArrow(
-        run, "gram long, class long, n long"
+        releasing(run), "gram long, class long, n long"
     )
 
 
@@ -476,7 +476,7 @@ def _marked(docs: DataFrame, ids: DataFrame) -> DataFrame:
     places = ids.select(F.pmod(F.xxhash64("doc_id"), F.lit(bits)).alias("place"))
     dealt = places.repartition(partitions(spark), F.floor(F.col("place") / _CHUNK))
     marks = np.zeros(bits // 8, np.uint8)
-    for row in dealt.mapInArrow(run, "chunk long, data binary").collect():
+    for row in dealt.mapInArrow(releasing(run), "chunk long, data binary").collect():
         at = row.chunk * _CHUNK // 8
         marks[at : at + _CHUNK // 8] = np.frombuffer(row.data, np.uint8)
     sent = spark.sparkContext.broadcast(marks)
@@ -635,10 +635,10 @@ def _links(dealt, docs, described, like: Likeness, order, within: bool) -> DataF
         )
 
     texts = _texts(placed, docs, described).select("text", "class", "y", "group", "x")
-    rows = texts.mapInArrow(sets_of, "y long, group int, x long, elements binary")
+    rows = texts.mapInArrow(releasing(sets_of), "y long, group int, x long, elements binary")
     rows = rows.repartition(partitions(spark), "y", "group")
     rows = rows.sortWithinPartitions("y", "group", F.col("x").asc_nulls_first())
-    return staged(rows.mapInArrow(run, "a long, b long"), "links")
+    return staged(rows.mapInArrow(releasing(run), "a long, b long"), "links")
 
 
 # --- the operator --------------------------------------------------------------------------------

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from concordat.llm.byte_bpe import encoder, little_endian, shared_spec
-from concordat.llm.common import staged, text_or_empty
+from concordat.llm.common import releasing, staged, text_or_empty
 
 ISLAND = 8192  # pieces on an island, about
 POPULATION = 5
@@ -66,7 +66,9 @@ def token_pieces(docs: DataFrame, spec: str, capacity: int, end: int) -> DataFra
             )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", text_or_empty().alias("text")).mapInArrow(run, PIECE.format(kind))
+    return docs.select("doc_id", text_or_empty().alias("text")).mapInArrow(
+        releasing(run), PIECE.format(kind)
+    )
 
 
 # --- one island --------------------------------------------------------------------------------

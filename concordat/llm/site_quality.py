@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from concordat.llm.bytescan import BLOCK, Texts, blocks, mixed, words
-from concordat.llm.common import staged, text_or_empty
+from concordat.llm.common import releasing, staged, text_or_empty
 
 # Labelled documents that the model is fitted on, at most: those with the smallest hashes.
 SAMPLE = 8000
@@ -108,7 +108,7 @@ def trained(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "quality", "found"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    rows = known.mapInArrow(run, f"doc_id {kind}, quality double, found array<double>")
+    rows = known.mapInArrow(releasing(run), f"doc_id {kind}, quality double, found array<double>")
     drawn = rows.orderBy(F.xxhash64("doc_id"), "doc_id", "quality").limit(sample).toArrow()
     found = np.array(drawn["found"].to_pylist(), float)
     return fit(found, drawn["quality"].to_numpy())
@@ -117,7 +117,9 @@ def trained(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
 def evidence(model: Model, text: Column) -> Column:
     @F.arrow_udf("double")
     def of(column: pa.Array) -> pa.Array:
-        return pa.array(model.evidence(features(column)))
+        found = pa.array(model.evidence(features(column)))
+        pa.default_memory_pool().release_unused()
+        return found
 
     return of(F.coalesce(text, F.lit("")))
 

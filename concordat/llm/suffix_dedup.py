@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from concordat.llm.bytescan import Texts, blocks, mixed
-from concordat.llm.common import partitions, staged, text_or_empty
+from concordat.llm.common import partitions, releasing, staged, text_or_empty
 from concordat.llm.induced_sort import MEMORY, shares, suffix_order
 
 LENGTH = 100
@@ -151,7 +151,7 @@ def _anchor_rows(docs: DataFrame, parts: int) -> DataFrame:
             yield pa.RecordBatch.from_pydict(columns)
 
     return docs.mapInArrow(
-        run, "part int, keys binary, weights binary, docs binary, tags binary, made binary"
+        releasing(run), "part int, keys binary, weights binary, docs binary, tags binary, made binary"
     )
 
 
@@ -192,7 +192,7 @@ def _repeating(packed: DataFrame, parts: int) -> DataFrame:
         yield pa.RecordBatch.from_arrays([*none, *counted], PACKED)
 
     return packed.select("keys", "weights", "docs", "tags", "made").mapInArrow(
-        run,
+        releasing(run),
         "part int, docs binary, tags binary, counts binary, made binary, heavy long, many long",
     )
 
@@ -339,7 +339,7 @@ def _segment_rows(rows: DataFrame, parts: int, heavy) -> DataFrame:
             yield from packed(found, spans)
 
     columns = ("doc", "tag", "text", "docs", "tags", "counts", "made")
-    return rows.select(*columns).mapInArrow(run, _SHARD)
+    return rows.select(*columns).mapInArrow(releasing(run), _SHARD)
 
 
 def _later_windows(bodies: list[bytes], windows: np.ndarray, memory: int) -> np.ndarray:
@@ -429,7 +429,7 @@ def _shard_spans(packed: DataFrame, memory: int, parts: int) -> DataFrame:
 
     columns = ("keys", "docs", "tags", "made", "data", "spans")
     return packed.select(*columns).mapInArrow(
-        run, "part int, docs binary, tags binary, counts binary, made binary"
+        releasing(run), "part int, docs binary, tags binary, counts binary, made binary"
     )
 
 
@@ -561,7 +561,7 @@ def remove_repeats(docs: DataFrame, memory: int = MEMORY) -> DataFrame:
         .repartition(tasks, "part")
         .sortWithinPartitions("part", F.col("docs").isNull())
     )
-    return rows.mapInArrow(run, schema).select(
+    return rows.mapInArrow(releasing(run), schema).select(
         *[F.col("text" if name == "text" else f"row.`{name}`") for name in docs.columns],
         F.struct("n_bytes", "n_removed", "n_spans", "kept_sha256").alias("repeats"),
     )
