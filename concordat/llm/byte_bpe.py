@@ -21,10 +21,10 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
-from concordat.llm.common import text_or_empty
+from concordat.llm.common import for_own_tasks, text_or_empty
 
 # Bytes of texts that make a block, unless one text alone has more, and pieces encoded in one string.
-BYTES = 4 << 20
+BYTES = 16 << 20
 TOGETHER = 256
 
 
@@ -252,11 +252,12 @@ def _touching_white(texts: pa.Array) -> np.ndarray:
     return ~pc.and_(same, pc.greater(trimmed, 0)).to_numpy(zero_copy_only=False)
 
 
+@for_own_tasks
 @lru_cache(2)
 def encoder(
     spec: str, made: Callable[[ByteBpe, np.ndarray], Values], added: bool = False
 ) -> Encoder:
-    """One for each worker, so that the tokenizer is built once."""
+    """One for each worker until it gets other work, so that the tokenizer is built once."""
     return Encoder(spec, made, added)
 
 

@@ -67,7 +67,7 @@ def token_pieces(docs: DataFrame, spec: str, capacity: int, end: int) -> DataFra
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", text_or_empty().alias("text")).mapInArrow(
-        releasing(run), PIECE.format(kind)
+        releasing(run, encoder), PIECE.format(kind)
     )
 
 

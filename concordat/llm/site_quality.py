@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from concordat.llm.bytescan import BLOCK, Texts, blocks, mixed, words
-from concordat.llm.common import releasing, staged, text_or_empty
+from concordat.llm.common import release, releasing, staged, text_or_empty
 
 # Labelled documents that the model is fitted on, at most: those with the smallest hashes.
 SAMPLE = 8000
@@ -118,7 +118,7 @@ def evidence(model: Model, text: Column) -> Column:
     @F.arrow_udf("double")
     def of(column: pa.Array) -> pa.Array:
         found = pa.array(model.evidence(features(column)))
-        pa.default_memory_pool().release_unused()
+        release()
         return found
 
     return of(F.coalesce(text, F.lit("")))
