@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from concordat.llm.common import staged
+from concordat.llm.common import discard, staged
 
 
 def _starred(links: DataFrame, large: bool) -> DataFrame:
@@ -41,7 +41,8 @@ def components(links: DataFrame) -> DataFrame:
     mark = F.count("*").alias("n"), F.sum(F.pmod(F.xxhash64("a", "b"), F.lit(1 << 31))).alias("sum")
     seen = now.agg(*mark).first()
     while seen.n:
-        now = staged(_starred(_starred(now, True), False), "links")
+        before, now = now, staged(_starred(_starred(now, True), False), "links")
+        discard(before)
         found = now.agg(*mark).first()
         if found == seen:
             break

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from concordat.llm.bytescan import Texts, blocks, mixed, words
-from concordat.llm.common import partitions, releasing, staged, text_or_empty
+from concordat.llm.common import discard, partitions, releasing, staged, text_or_empty
 from concordat.llm.components import components
 
 # Counters of the frequency sketch, whatever the size of the corpus; each also sends one byte.
@@ -355,8 +355,11 @@ def _first_pairs(live: DataFrame, like: Likeness) -> DataFrame:
     return best.select("x", F.col("best.y").alias("y"), F.col("best.nx").alias("nx"))
 
 
-def _other_pairs(live: DataFrame, roots: DataFrame, families: DataFrame, like: Likeness) -> DataFrame:
-    """Classes of different components that meet and that no family has compared.
+def _other_pairs(
+    live: DataFrame, roots: DataFrame, families: DataFrame, like: Likeness
+) -> tuple[DataFrame, DataFrame]:
+    """Classes of different components that meet and that no family has compared, and the staged
+    table of who meets.
 
     At each n-gram the component with most classes there stands aside: only the others' classes are
     paired, with all that are not of their own component.
@@ -397,7 +400,7 @@ def _other_pairs(live: DataFrame, roots: DataFrame, families: DataFrame, like: L
     n_low = F.when(F.col("x") < F.col("y"), F.col("nx")).otherwise(F.col("ny"))
     n_high = F.when(F.col("x") < F.col("y"), F.col("ny")).otherwise(F.col("nx"))
     met = met.select(low.alias("x"), high.alias("y"), n_low.alias("nx"), n_high.alias("ny"))
-    return _enough(met, like).select("x", "y", "nx")
+    return _enough(met, like).select("x", "y", "nx"), mixed_
 
 
 # --- comparison in prefix trees ------------------------------------------------------------------
@@ -489,12 +492,13 @@ def _marked(docs: DataFrame, ids: DataFrame) -> DataFrame:
     return docs.where(marked(F.xxhash64("doc_id")))
 
 
-def _texts(placed: DataFrame, docs: DataFrame, described: DataFrame) -> DataFrame:
-    """``placed`` with the ``text`` of the first document of its ``class``."""
+def _texts(placed: DataFrame, docs: DataFrame, described: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``placed`` with the ``text`` of the first document of its ``class``, and the staged table of
+    these documents."""
     known = described.where("doc_id is not null").select("doc_id", "class")
     first = known.join(placed.select("class").distinct(), "class")
     first = staged(first.groupBy("class").agg(F.min("doc_id").alias("doc_id")), "firsts")
-    return _marked(docs, first).join(placed.join(first, "class"), "doc_id")
+    return _marked(docs, first).join(placed.join(first, "class"), "doc_id"), first
 
 
 def _families(pairs: DataFrame) -> DataFrame:
@@ -505,7 +509,9 @@ def _families(pairs: DataFrame) -> DataFrame:
     company = company.select(F.xxhash64("y").alias("meet"), F.col("y").alias("leader"), "groups")
     dealt = pairs.withColumn("meet", F.xxhash64("y")).join(company, "meet").where("y = leader")
     group = F.pmod(F.xxhash64("x"), F.col("groups")).cast("int").alias("group")
-    return staged(dealt.select("x", "y", group), "families")
+    families = staged(dealt.select("x", "y", group), "families")
+    discard(pairs)
+    return families
 
 
 def _alike_members(sets: list[np.ndarray], lead: np.ndarray, like: Likeness) -> list[tuple[int, int]]:
@@ -634,11 +640,14 @@ def _links(dealt, docs, described, like: Likeness, order, within: bool) -> DataF
             [pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"]
         )
 
-    texts = _texts(placed, docs, described).select("text", "class", "y", "group", "x")
+    texts, first = _texts(placed, docs, described)
+    texts = texts.select("text", "class", "y", "group", "x")
     rows = texts.mapInArrow(releasing(sets_of), "y long, group int, x long, elements binary")
     rows = rows.repartition(partitions(spark), "y", "group")
     rows = rows.sortWithinPartitions("y", "group", F.col("x").asc_nulls_first())
-    return staged(rows.mapInArrow(releasing(run), "a long, b long"), "links")
+    links = staged(rows.mapInArrow(releasing(run), "a long, b long"), "links")
+    discard(placed, first)
+    return links
 
 
 # --- the operator --------------------------------------------------------------------------------
@@ -667,12 +676,16 @@ def join_alike(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     live = staged(_live(packed, like, order), "live")
     shared = live.groupBy(F.col("class").alias("of")).agg(F.count("*").alias("shared"))
     facts = maps.join(shared, "of")
-    live = staged(live.join(facts, F.col("class") == F.col("of")).drop("of"), "live")
+    bare, live = live, staged(live.join(facts, F.col("class") == F.col("of")).drop("of"), "live")
+    discard(bare)
     families = _families(_first_pairs(live, like))
     links = _links(families, named, known, like, order, within=True)
-    others = _families(_other_pairs(live, components(links), families, like))
+    pairs, meetings = _other_pairs(live, components(links), families, like)
+    others = _families(pairs)
+    discard(live, families, meetings)
     more = _links(others, named, known, like, order, within=False)
     roots = components(links.unionByName(more))
+    discard(others, links, more)
     classes = (
         known.where("n > 0 and doc_id is not null")
         .groupBy("class")
