@@ -3,7 +3,8 @@
 A first score for each name comes from names with which it shares a word.  That score bounds how
 many letters may differ, and so which names are still worth comparing: names that differ in few
 letters must share an intact piece, which is an equi-join; the rest meet all names within bounds of length,
-in blocks whose equal beginnings are compared once.
+in blocks whose equal beginnings and endings are compared once, those that cannot reach a score already
+known left out.
 """
 
 from __future__ import annotations
@@ -33,6 +34,9 @@ BLOCK_ROWS = 256
 WHOLE_ROWS = 1 << 16
 WHOLE_LETTERS = 1 << 21
 ASKED_ROWS = 1 << 15
+# Names, drawn by hash, that all who ask meet first, and values drawn for each cut between cells.
+DRAWN_ROWS = 1 << 13
+CUT_SAMPLE = 64
 
 # Two different strings can only round up to 100 from this joint length on.
 _ROUNDS_TO_EQUAL = 200
@@ -279,54 +283,85 @@ def candidate_pairs(asked: DataFrame, offered: DataFrame, least: int = 1) -> Dat
     return pairs if near.isEmpty() else _by_pieces(near, offered).unionByName(pairs)
 
 
-def _whole_blocks(asked: int, offered: DataFrame, tasks: int) -> DataFrame:
-    """For each class of lengths how many ``blocks`` its items make, and into how many ``parts`` the
-    names that ask are dealt so that there are cells for all ``tasks``."""
-    counts = offered.groupBy(_class(F.col("length")).alias("class")).count().collect()
-    blocks = []
-    for row in counts:
-        rows = min(WHOLE_ROWS, max(1, int(WHOLE_LETTERS / 2 ** ((row["class"] + 1) / 4))))
-        blocks.append((row["class"], -(-row["count"] // rows)))
-    most = max((number for _, number in blocks), default=1)
-    parts = max(-(-asked // ASKED_ROWS), min(-(-tasks // most), -(-asked // 64)), 1)
-    kinds = "class int, blocks int, parts int"
-    return offered.sparkSession.createDataFrame([(*one, parts) for one in blocks], kinds)
-
-
 def _best_in_cell(asked: pd.DataFrame, offered: pd.DataFrame) -> pd.DataFrame:
-    """The best item of a cell for each name that asks there."""
+    """The best item of a cell for each name that asks there, where it reaches the name's floor."""
     if not len(asked) or not len(offered):
         return pd.DataFrame([], columns=["key", "score", "id"])
     # Items in id order, so that the first of equal scores has the lowest id.
     offered = offered.sort_values("id", kind="stable", na_position="last")
-    score, place = best_ratios(asked["key"].tolist(), offered["key"].tolist())
-    some = np.flatnonzero(score)
+    floor = asked["floor"].to_numpy(np.int64)
+    score, place = best_ratios(asked["key"].tolist(), offered["key"].tolist(), floor)
+    some = np.flatnonzero((score > 0) & (score >= floor))
     keys, ids = asked["key"].to_numpy(object)[some], offered["id"].to_numpy(object)[place[some]]
     columns = {"key": pd.Series(keys, dtype=object), "score": score[some]}
     return pd.DataFrame(columns | {"id": pd.Series(ids, dtype=object)})
 
 
-def _best_by_length(asked: DataFrame, offered: DataFrame) -> DataFrame:
+def _drawn(rows: DataFrame, number: int, of: int) -> DataFrame:
+    """About ``number`` of the ``of`` rows, by the hash of their key."""
+    share = max(1, of // max(number, 1))
+    return rows.where(F.pmod(F.xxhash64("key", F.lit(1)), F.lit(share)) == 0)
+
+
+def _cuts(keys: list[str], parts: int) -> list[str]:
+    """Where to cut so that drawn keys fall into ``parts`` of about equal number."""
+    keys = sorted(keys, key=str.encode)
+    return [keys[len(keys) * i // parts] for i in range(1, parts)] if keys else []
+
+
+def _slot(cuts: str) -> Column:
+    return F.size(F.filter(cuts, lambda cut: cut <= F.col("key")))
+
+
+def _whole_blocks(asked: DataFrame, offered: DataFrame, tasks: int) -> DataFrame:
+    """For each class of lengths how many ``blocks`` its items make, and into how many ``parts`` the
+    names that ask are dealt so that there are cells for all ``tasks``.
+
+    Names that lie side by side come into one block, and into one part, by ``cuts`` from a sample: they
+    begin alike, so that more is compared once.  The result does not depend on the cuts.
+    """
+    counts = offered.groupBy(_class(F.col("length")).alias("class")).count().collect()
+    blocks = {}
+    for row in counts:
+        rows = min(WHOLE_ROWS, max(1, int(WHOLE_LETTERS / 2 ** ((row["class"] + 1) / 4))))
+        blocks[row["class"]] = -(-row["count"] // rows)
+    number = asked.count()
+    most = max(blocks.values(), default=1)
+    parts = max(-(-number // ASKED_ROWS), min(-(-tasks // most), -(-number // 64)), 1)
+    # CUT_SAMPLE keys for each block and part, about.
+    total = sum(row["count"] for row in counts)
+    drawn = _drawn(offered, CUT_SAMPLE * sum(blocks.values()), total) if most > 1 else offered.limit(0)
+    keys: dict[int, list[str]] = {}
+    for row in drawn.select(_class(F.col("length")).alias("class"), "key").collect():
+        keys.setdefault(row["class"], []).append(row["key"])
+    asking = _drawn(asked, CUT_SAMPLE * parts, number) if parts > 1 else asked.limit(0)
+    among = _cuts([row["key"] for row in asking.select("key").collect()], parts)
+    kinds = "class int, blocks int, parts int, item_cuts array<string>, asked_cuts array<string>"
+    rows = [(name, many, parts, _cuts(keys.get(name, []), many), among) for name, many in blocks.items()]
+    return offered.sparkSession.createDataFrame(rows, kinds)
+
+
+def _met_whole(asked: DataFrame, offered: DataFrame) -> DataFrame:
     """``key``, ``score`` and ``id``: the best of each cell that a name's floor lets it meet.
 
     Names that are like none by pieces meet all of a fitting length, block against block; a block's
-    equal beginnings are compared once, so no pair ever is a row.
+    equal beginnings and endings are compared once, so no pair ever is a row.
     """
     spark = asked.sparkSession
     tasks = 4 * spark.sparkContext.defaultParallelism
-    sizes = F.broadcast(_whole_blocks(asked.count(), offered, tasks))
+    sizes = F.broadcast(_whole_blocks(asked, offered, tasks))
     length, score = F.col("length"), F.col("floor")
     classes = F.sequence(
         _class(F.greatest(_shortest(length, score), F.lit(1))), _class(_longest(length, score))
     )
-    part = F.pmod(F.xxhash64("key"), F.col("parts")).cast("int").alias("part")
-    block = F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int").alias("block")
-    probes = asked.select("key", F.explode(classes).alias("class")).join(sizes, "class")
+    probes = asked.select("key", "floor", F.explode(classes).alias("class")).join(sizes, "class")
+    probes = probes.withColumn("part", _slot("asked_cuts"))
     probes = probes.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    probes = probes.select("key", "class", "block", part)
+    probes = probes.select("key", "floor", "class", "block", "part")
     rows = offered.select("key", "id", _class(length).alias("class")).join(sizes, "class")
+    rows = rows.withColumn("block", _slot("item_cuts"))
     rows = rows.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    rows = rows.select("key", "id", "class", block, "part")
+    rows = rows.select("key", "id", "class", "block", "part")
     cell = ["class", "block", "part"]
     # An explicit count: the cells are small in bytes but long to work on.
     left, right = (side.repartition(4 * tasks, *cell).groupBy(*cell) for side in (probes, rows))
@@ -334,6 +369,22 @@ def _best_by_length(asked: DataFrame, offered: DataFrame) -> DataFrame:
     return left.cogroup(right).applyInPandas(_best_in_cell, f"key string, score int, id {ids}")
 
 
+def _best_by_length(asked: DataFrame, offered: DataFrame) -> DataFrame:
+    """``key``, ``score`` and ``id``: the best of each cell that a name's floor lets it meet.
+
+    Where there are many items, a few of them, drawn by hash, are met first: the best score with these
+    raises the floor, so that most beginnings of names need not be followed to their end.
+    """
+    number = offered.count()
+    if number > 4 * DRAWN_ROWS:
+        first = _met_whole(asked, _drawn(offered, DRAWN_ROWS, number))
+        told = first.groupBy("key").agg(F.max("score").alias("reached"))
+        raised = F.greatest("floor", "reached").alias("floor")
+        others = [c for c in asked.columns if c != "floor"]
+        asked = materialize(asked.join(told, "key", "left").select(*others, raised))
+    return _met_whole(asked, offered)
+
+
 def _best_of_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """The scores of pairs, of which each batch passes on the best of each name."""
     for pairs in batches:

@@ -1,12 +1,13 @@
 import random
 import time
 
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from concordat.functions.lcs import best_ratios, lcs_pairs, ratio_pairs
+from concordat.functions.lcs import Beginnings, best_ratios, lcs_pairs, ratio_pairs
 from concordat.functions.text import normalized, token_sort_key, token_sort_ratio
 from concordat.operators import name_search
 from concordat.operators.name_search import best_names, candidate_pairs, measured
@@ -220,3 +221,31 @@ def test_names_like_none_are_never_paired_as_rows(spark, monkeypatch):
     monkeypatch.setattr(name_search, "WHOLE_ROWS", 64)
     monkeypatch.setattr(name_search, "ASKED_ROWS", 16)
     assert found(spark, queries, items) == brute_force(queries, items)
+
+
+@pytest.mark.parametrize("ending", [" plc", " trading company limited"])
+def test_best_of_names_that_end_alike_and_have_a_floor(ending):
+    rng = random.Random(len(ending))
+    right = list(dict.fromkeys(f"{rng.randint(0, 9999):06} {rng.choice('ab')}x{ending}" for _ in range(300)))
+    left = [f"{rng.randint(0, 9999)} renamed" for _ in range(80)] + right[:3] + ["plc", "?"]
+    every = [ratio_pairs([name] * len(right), right).tolist() for name in left]
+    for floor in (None, np.array([max(row) - i % 2 for i, row in enumerate(every)])):
+        score, place = best_ratios(left, right, floor)
+        assert score.tolist() == [max(row) for row in every]
+        assert all(place[i] == row.index(max(row)) for i, row in enumerate(every) if max(row))
+
+
+def test_beginnings_that_cannot_reach_the_floor_are_left_out():
+    """Of 1,000 numbered names only few are followed to their end."""
+    right = [f"{i:06} customer plc" for i in range(1000)]
+    ends, rows, common = Beginnings([name[:6] for name in right]).met(["000321"], np.array([6]))
+    assert 321 in ends.tolist() and len(ends) < 200
+
+
+def test_names_that_lie_side_by_side_meet_in_one_block(spark, monkeypatch):
+    items = [(f"{i:06} customer plc", f"L{i:05}") for i in range(400)]
+    queries = {f"{i} renamed" for i in range(0, 400, 7)}
+    monkeypatch.setattr(name_search, "WHOLE_ROWS", 64)
+    monkeypatch.setattr(name_search, "ASKED_ROWS", 16)
+    monkeypatch.setattr(name_search, "DRAWN_ROWS", 32)
+    assert found(spark, queries, items) == brute_force(queries, items)
