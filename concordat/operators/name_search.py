@@ -34,7 +34,8 @@ BLOCK_ROWS = 256
 WHOLE_ROWS = 1 << 16
 WHOLE_LETTERS = 1 << 21
 ASKED_ROWS = 1 << 15
-# Names, drawn by hash, that all who ask meet first, and values drawn for each cut between cells.
+# Names, drawn by hash, that all who ask meet first (then eight times as many, and so on), and keys drawn
+# for each block or part.
 DRAWN_ROWS = 1 << 13
 CUT_SAMPLE = 64
 
@@ -372,16 +373,17 @@ def _met_whole(asked: DataFrame, offered: DataFrame) -> DataFrame:
 def _best_by_length(asked: DataFrame, offered: DataFrame) -> DataFrame:
     """``key``, ``score`` and ``id``: the best of each cell that a name's floor lets it meet.
 
-    Where there are many items, a few of them, drawn by hash, are met first: the best score with these
-    raises the floor, so that most beginnings of names need not be followed to their end.
+    Where there are many items, a few of them, drawn by hash, are met first, then more: the best score
+    with these raises the floor, so that most beginnings of names need not be followed to their end.
     """
-    number = offered.count()
-    if number > 4 * DRAWN_ROWS:
-        first = _met_whole(asked, _drawn(offered, DRAWN_ROWS, number))
+    number, drawn = offered.count(), DRAWN_ROWS
+    while number > 4 * drawn:
+        first = _met_whole(asked, _drawn(offered, drawn, number))
         told = first.groupBy("key").agg(F.max("score").alias("reached"))
         raised = F.greatest("floor", "reached").alias("floor")
         others = [c for c in asked.columns if c != "floor"]
         asked = materialize(asked.join(told, "key", "left").select(*others, raised))
+        drawn *= 8
     return _met_whole(asked, offered)
 
 
@@ -403,8 +405,11 @@ def best_names(queries: DataFrame, items: DataFrame, least: int = 1) -> DataFram
     Nothing is capped: pairs are left out only where their
     lengths, pieces or letters show that they score less than a pair already known.
     """
-    offered = materialize(measured(items.groupBy("key").agg(F.min("id").alias("id"))))
-    asked = queries.select("key").distinct().join(
+    # Small in bytes but long to measure: an explicit count keeps them from being merged by size.
+    tasks = 4 * queries.sparkSession.sparkContext.defaultParallelism
+    offered = items.groupBy("key").agg(F.min("id").alias("id")).repartition(tasks, "key")
+    offered = materialize(measured(offered))
+    asked = queries.select("key").distinct().repartition(tasks, "key").join(
         offered.select("key", F.col("id").alias("same")), "key", "left"
     )
     asked = materialize(measured(asked))
